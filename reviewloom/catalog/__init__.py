@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from reviewloom.session import tune
 
-FAMILIES = ["sources", "scalars"]
+FAMILIES = ["sources", "scalars", "relational"]
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}

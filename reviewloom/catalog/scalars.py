@@ -165,8 +165,8 @@ def repair_json(t):
     "B18_flatten_predictions",
     """SELECT event_id, CASE WHEN event_id % 3 = 2 THEN NULL ELSE upper(event_type) END AS sentiment_label,
        CASE WHEN event_id % 3 = 2 THEN NULL ELSE value END AS POS_confidence,
-       CASE WHEN event_id % 3 = 2 THEN NULL ELSE 0.05 END AS NEU_confidence,
-       CASE WHEN event_id % 3 = 0 THEN 0.25 END AS NEG_confidence FROM events""",
+       CASE WHEN event_id % 3 = 2 THEN NULL ELSE CAST(0.05 AS DOUBLE) END AS NEU_confidence,
+       CASE WHEN event_id % 3 = 0 THEN CAST(0.25 AS DOUBLE) END AS NEG_confidence FROM events""",
 )
 def flatten_predictions(t):
     head = F.concat(F.lit('["'), F.upper("event_type"), F.lit('", {"POS": '), F.col("value").cast("string"), F.lit(', "NEU": 0.05'))
