@@ -32,7 +32,7 @@ def _range_pieces(rows: DataFrame, cols: Sequence[str], weight: str | None, buck
     return (
         rows.repartitionByRange(buckets, *cols)
         .groupBy(F.spark_partition_id().alias("piece"))
-        .agg(size.alias("size"), F.count(F.lit(1)).alias("n"), F.min(F.struct(*cols)).alias("lo"), F.max(F.struct(*cols)).alias("hi"))
+        .agg(size.alias("size"), F.min(F.struct(*cols)).alias("lo"), F.max(F.struct(*cols)).alias("hi"))
         .orderBy("lo")
         .collect()
     )
@@ -54,32 +54,47 @@ def order_statistics(
     neither a task nor the driver ever sees more than a piece.
     """
     cols = list(cols)
-    found: dict[int, tuple] = {}
     if not positions:
-        return found
-    pieces = _range_pieces(rows.select(*cols, *([weight] if weight else [])), cols, weight, buckets)
+        return {}
+    rows = rows.select(*cols, *([weight] if weight else []))
+    if rows.limit(sort_rows + 1).count() <= sort_rows:
+        return _sorted_piece(rows, cols, positions, weight)
+    pieces = _range_pieces(rows, cols, weight, buckets)
+    # positions grouped by the piece they fall into
+    wanted: dict[int, list[int]] = {}
+    starts, before = [], 0
+    for piece in pieces:
+        starts.append(before)
+        before += piece["size"]
     for position in positions:
-        before = 0
-        for piece in pieces:
-            if position < before + piece["size"]:
-                break
-            before += piece["size"]
-        else:
-            raise ValueError(f"position {position} is past the last row")
+        if not 0 <= position < before:
+            raise ValueError(f"position {position} is outside the rows")
+        wanted.setdefault(max(i for i, s in enumerate(starts) if s <= position), []).append(position)
+    found: dict[int, tuple] = {}
+    for i, inside in wanted.items():
+        low, high = pieces[i]["lo"], pieces[i]["hi"]
         # filter on the leading column too: it reaches the file scan
         part = rows.filter(
-            F.col(cols[0]).between(F.lit(piece["lo"][0]), F.lit(piece["hi"][0]))
-            & F.struct(*cols).between(_literal(piece["lo"], cols), _literal(piece["hi"], cols))
+            F.col(cols[0]).between(F.lit(low[0]), F.lit(high[0]))
+            & F.struct(*cols).between(_literal(low, cols), _literal(high, cols))
         )
-        rest = position - before
-        if piece["n"] > sort_rows and len(pieces) > 1:
-            found[position] = order_statistics(part, cols, [rest], weight, buckets, sort_rows)[rest]
-            continue
-        # at most one piece, so a sorted single partition is bounded
-        step = part.select(*cols, (F.col(weight) if weight else F.lit(1)).alias("_w"))
-        reach = F.sum("_w").over(Window.partitionBy(F.lit(0)).orderBy(*cols))
-        row = step.withColumn("_reach", reach).filter(F.col("_reach") > rest).orderBy(*cols).first()
-        found[position] = tuple(row[c] for c in cols)
+        rest = {p: p - starts[i] for p in inside}
+        got = order_statistics(part, cols, sorted(set(rest.values())), weight, buckets, sort_rows)
+        found.update({p: got[r] for p, r in rest.items()})
+    return found
+
+
+def _sorted_piece(rows: DataFrame, cols: list[str], positions: Sequence[int], weight: str | None) -> dict[int, tuple]:
+    """Positions inside a piece small enough to sort in one task."""
+    size = F.col(weight) if weight else F.lit(1)
+    reach = F.sum("_w").over(Window.partitionBy(F.lit(0)).orderBy(*cols))
+    hit = F.lit(False)
+    for p in positions:
+        hit = hit | ((F.col("_reach") > p) & (F.col("_reach") - F.col("_w") <= p))
+    rows = rows.select(*cols, size.alias("_w")).withColumn("_reach", reach).filter(hit).collect()
+    found = {p: tuple(r[c] for c in cols) for r in rows for p in positions if r["_reach"] - r["_w"] <= p < r["_reach"]}
+    if len(found) < len(set(positions)):
+        raise ValueError(f"positions {sorted(set(positions) - set(found))} are outside the rows")
     return found
 
 
