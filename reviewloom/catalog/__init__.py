@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from reviewloom.session import tune
 
-FAMILIES = ["sources", "scalars", "relational", "quality", "labels"]
+FAMILIES = ["sources", "scalars", "relational", "quality", "labels", "sampling", "evaluation", "documents"]
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from reviewloom.functions import constants as C
 from reviewloom.functions.text import matches
 from reviewloom.operators.aggregates import quartile_fences
+from reviewloom.session import settle
 
 
 @dataclass
@@ -80,7 +81,8 @@ def has_phone(c: str, strict: bool = False) -> Column:
     """A phone-like run; the digit count is over the whole cell, or over the run when strict."""
     counted = F.regexp_substr(F.col(c), F.lit(C.PHONE)) if strict else F.col(c)
     digits = F.length(F.regexp_replace(counted, r"\D", ""))
-    return digits.between(10, 15) & matches(c, C.PHONE)
+    # digits are only counted where the pattern hit
+    return F.when(matches(c, C.PHONE), digits.between(10, 15)).otherwise(False)
 
 
 def pii_rules(df: DataFrame, p: Profile) -> list[Column]:
@@ -246,6 +248,7 @@ class ValidationError(ValueError):
 
 def stop_on_failure(result: DataFrame, policy: str = "schema") -> DataFrame:
     """Raise when the schema check failed, or any check with ``policy="any"``."""
+    result = settle(result)
     failed = [r["check"] for r in result.filter("not status").select("check").collect()]
     broken = failed if policy == "any" else [c for c in failed if c == "schema_validation"]
     if broken:
