@@ -24,7 +24,8 @@ def _labelled(t):
 
 @query(
     "E02_monthly_documents",
-    f"""WITH {DOCS}, modes AS (SELECT year, month, category, s, row_number() OVER (PARTITION BY year, month, category ORDER BY count(*) DESC, s) AS rn FROM doc_rows GROUP BY ALL),
+    f"""WITH {DOCS}, sizes AS (SELECT year, month, category, s, count(*) AS n FROM doc_rows GROUP BY ALL),
+    modes AS (SELECT year, month, category, s, row_number() OVER (PARTITION BY year, month, category ORDER BY n DESC, s) AS rn FROM sizes),
     base AS (SELECT year, month, category, md5(string_agg(text, ' ' ORDER BY row_id)) AS text_md5, round(avg(rating), 6) AS average_rating,
       round(avg(helpful_vote), 6) AS avg_helpful_votes FROM doc_rows GROUP BY ALL)
     SELECT base.*, s AS dominant_sentiment FROM base JOIN modes USING (year, month, category) WHERE rn = 1""",

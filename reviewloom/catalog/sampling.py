@@ -94,7 +94,7 @@ def monthly_increment(t):
 
 @query(
     "L08_increment_stream",
-    "SELECT event_id, CAST(epoch_ms(ts) AS BIGINT) AS timestamp, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS review_month FROM events",
+    "SELECT event_id, epoch_us(ts) // 1000 AS timestamp, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS review_month FROM events",
 )
 def increment_stream(t):
     """Files arrive in two runs of the stream; the second reads only the new ones."""

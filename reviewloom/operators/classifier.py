@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from reviewloom.functions.text import tokens
 from reviewloom.functions.vectors import class_confidences, predicted_class
 from reviewloom.operators.features import model_input
+from reviewloom.session import settle
 
 NUMERIC = ["price", "price_missing", "helpful_vote", "verified_purchase"]
 
@@ -24,9 +25,18 @@ def classifier_input(features: DataFrame) -> DataFrame:
     return model_input(features).withColumn("tokens", tokens(F.lower("combined_text")))
 
 
-def _stages(n_features: int, label: str) -> list:
+def _hashing(n_features: int) -> HashingTF:
+    return HashingTF(inputCol="tokens", outputCol="tf", numFeatures=n_features)
+
+
+def _training_rows(features: DataFrame, label: str, n_features: int) -> DataFrame:
+    """Term counts and numbers only, written once: training passes over them many times."""
+    counted = _hashing(n_features).transform(classifier_input(features))
+    return settle(counted.select("tf", *NUMERIC, label))
+
+
+def _stages(label: str) -> list:
     return [
-        HashingTF(inputCol="tokens", outputCol="tf", numFeatures=n_features),
         IDF(inputCol="tf", outputCol="tfidf"),
         VectorAssembler(inputCols=["tfidf", *NUMERIC], outputCol="features"),
         LogisticRegression(featuresCol="features", labelCol=label, maxIter=20, family="multinomial"),
@@ -34,21 +44,23 @@ def _stages(n_features: int, label: str) -> list:
 
 
 def fit_classifier(features: DataFrame, label: str = "label", n_features: int = 4096) -> PipelineModel:
-    return Pipeline(stages=_stages(n_features, label)).fit(classifier_input(features))
+    fitted = Pipeline(stages=_stages(label)).fit(_training_rows(features, label, n_features))
+    return PipelineModel(stages=[_hashing(n_features), *fitted.stages])
 
 
 def tune_classifier(
     features: DataFrame, label: str = "label", n_features: int = 4096, penalties: Sequence[float] = (0.0, 0.01, 0.1), seed: int = 42
 ) -> tuple[PipelineModel, dict[float, float]]:
     """Grid over the penalty by weighted F1 on a held-out fifth."""
-    stages = _stages(n_features, label)
+    stages = _stages(label)
     grid = ParamGridBuilder().addGrid(stages[-1].regParam, list(penalties)).build()
     judge = MulticlassClassificationEvaluator(labelCol=label, metricName="f1")
     tuner = TrainValidationSplit(
         estimator=Pipeline(stages=stages), estimatorParamMaps=grid, evaluator=judge, trainRatio=0.8, seed=seed
     )
-    fitted = tuner.fit(classifier_input(features))
-    return fitted.bestModel, dict(zip(penalties, fitted.validationMetrics))
+    fitted = tuner.fit(_training_rows(features, label, n_features))
+    model = PipelineModel(stages=[_hashing(n_features), *fitted.bestModel.stages])
+    return model, dict(zip(penalties, fitted.validationMetrics))
 
 
 def score(model: PipelineModel, features: DataFrame, classes: Sequence[str]) -> DataFrame:

@@ -118,15 +118,36 @@ def ordered_bucket(rows: DataFrame, order: str, buckets: int = 512) -> tuple[Dat
     return marked.drop("_order"), name
 
 
+HOT_ROWS = 1_000_000
+
+
 def running_total(
-    rows: DataFrame, keys: Sequence[str], order: str, value: str, name: str = "before", buckets: int = 512
+    rows: DataFrame, keys: Sequence[str], order: str, value: str, name: str = "before",
+    buckets: int = 512, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Sum of ``value`` over earlier rows of the same key, without one task per key.
+    """Sum of ``value`` over earlier rows of the same (non-null) key.
 
-    Totals per (key, bucket) are summed along the buckets first; the row-level
-    window then only spans a bucket.
+    A plain window serves keys of up to ``hot_rows`` rows. The few larger ones
+    are summed bucket by bucket, so no task has to hold a whole key.
     """
     keys = list(keys)
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = settle(sizes.filter(F.col("_n") > hot_rows).select(*keys))
+    n_hot = hot.limit(BROADCAST_ROWS + 1).count()
+    if n_hot == 0:
+        return _plain_total(rows, keys, order, value, name)
+    if n_hot <= BROADCAST_ROWS:
+        hot = F.broadcast(hot)
+    cold = _plain_total(rows.join(hot, keys, "left_anti"), keys, order, value, name)
+    return cold.unionByName(_bucketed_total(rows.join(hot, keys, "left_semi"), keys, order, value, name, buckets))
+
+
+def _plain_total(rows: DataFrame, keys: list[str], order: str, value: str, name: str) -> DataFrame:
+    earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return rows.select("*", F.coalesce(F.sum(value).over(earlier), F.lit(0)).alias(name))
+
+
+def _bucketed_total(rows: DataFrame, keys: list[str], order: str, value: str, name: str, buckets: int) -> DataFrame:
     marked, bucket = ordered_bucket(rows, order, buckets)
     totals = marked.groupBy(*keys, bucket).agg(F.sum(value).alias("_total"))
     along = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
