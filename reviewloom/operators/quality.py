@@ -1,7 +1,7 @@
 """Data-quality checks: one long table of (check, column, row_id, detail).
 
-All row-local checks are evaluated in a single scan. Checks that need statistics
-read them as scalar subqueries, and duplicate detection groups by row content.
+All row-level checks are evaluated in a single scan; those that need statistics
+read them as scalar subqueries. Duplicate detection groups by row content.
 """
 
 from __future__ import annotations
@@ -142,6 +142,24 @@ def non_english_rules(df: DataFrame, p: Profile) -> list[Column]:
     return [_violation("non_english", c, matches(c, C.NON_ASCII), "non-ascii") for c in _have(df, ["text"])]
 
 
+def outlier_rules(df: DataFrame, p: Profile) -> list[Column]:
+    """More than ``z`` sample deviations from the mean; constant columns are skipped.
+
+    Mean and deviation of all columns are one scalar subquery.
+    """
+    columns = _have(df, p.outliers)
+    if not columns:
+        return []
+    aggs = [f(F.col(c).cast("double")).alias(f"{k}_{c}") for c in columns for k, f in (("m", F.avg), ("s", F.stddev_samp))]
+    stats = df.agg(F.struct(*aggs).alias("stats")).scalar()
+    found = []
+    for c in columns:
+        mean, std = stats.getField(f"m_{c}"), stats.getField(f"s_{c}")
+        score = F.when(std > 0, (F.col(c) - mean) / std)
+        found.append(_violation("anomaly_detection", c, F.abs(score) > p.z, "outlier"))
+    return found
+
+
 ROW_RULES = {
     "range": range_rules,
     "missing": missing_rules,
@@ -153,8 +171,9 @@ ROW_RULES = {
     "values": value_rules,
     "rough": rough_rules,
     "non_english": non_english_rules,
+    "outliers": outlier_rules,
 }
-DEFAULT_RULES = ["range", "missing", "pii", "emoji", "special", "length", "date", "values"]
+DEFAULT_RULES = ["range", "missing", "pii", "emoji", "special", "length", "date", "values", "outliers"]
 
 
 def row_violations(df: DataFrame, profile: Profile | None = None, rules: Sequence[str] = tuple(DEFAULT_RULES)) -> DataFrame:
@@ -164,17 +183,7 @@ def row_violations(df: DataFrame, profile: Profile | None = None, rules: Sequenc
 
 
 def outliers(df: DataFrame, profile: Profile | None = None) -> DataFrame:
-    """Rows more than ``z`` sample deviations from the mean; constant columns are skipped."""
-    p = profile or Profile()
-    columns = _have(df, p.outliers)
-    aggs = [f(F.col(c).cast("double")).alias(f"{k}_{c}") for c in columns for k, f in (("m", F.avg), ("s", F.stddev_samp))]
-    stats = df.agg(F.struct(*aggs).alias("stats")).scalar()
-    found = []
-    for c in columns:
-        mean, std = stats.getField(f"m_{c}"), stats.getField(f"s_{c}")
-        score = F.when(std > 0, (F.col(c) - mean) / std)
-        found.append(_violation("anomaly_detection", c, F.abs(score) > p.z, "outlier"))
-    return _emit(df.select(p.row_id, *columns), found, p.row_id)
+    return row_violations(df, profile, ["outliers"])
 
 
 def iqr_outliers(df: DataFrame, columns: Sequence[str] = ("price", "average_rating", "rating"), row_id: str = "row_id") -> DataFrame:
@@ -210,7 +219,7 @@ def duplicates(df: DataFrame, row_id: str = "row_id") -> DataFrame:
 
 def violations(df: DataFrame, profile: Profile | None = None, rules: Sequence[str] = tuple(DEFAULT_RULES)) -> DataFrame:
     """Everything the checks flag, as one long table."""
-    return row_violations(df, profile, rules).unionByName(outliers(df, profile)).unionByName(duplicates(df))
+    return row_violations(df, profile, rules).unionByName(duplicates(df))
 
 
 # checks reported together under one published name

@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.operators.joins import join_metadata
+from reviewloom.sources.readers import spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
 ).split()
+# wide text tables, worth dealing out when they come in one piece
+TEXTS = ("documents", "pages", "conversations")
 
 
 class Tables:
@@ -24,18 +27,20 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def __getattr__(self, name: str) -> DataFrame:
+        if name in TEXTS:
+            return spread(self.read(name))
         if name in TABLES:
             return self.read(name)
         raise AttributeError(name)
 
     def _ordered_parts(self) -> DataFrame:
         parts = self.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min("l_partkey").alias("p"))
-        return self.orders.join(parts, "o_orderkey", "left")
+        return spread(self.orders).join(parts, "o_orderkey", "left")
 
     def raw_reviews(self) -> DataFrame:
         """Reviews as they arrive: epoch milliseconds, no derived columns."""
-        n_docs = self.documents.count()
-        texts = self.documents.select(F.col("doc_id").alias("_doc"), "text")
+        n_docs = self.read("documents").count()
+        texts = self.read("documents").select(F.col("doc_id").alias("_doc"), "text")
         return (
             self._ordered_parts()
             .withColumn("_doc", F.col("o_orderkey") % F.lit(n_docs))

@@ -9,6 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core when the files give fewer splits than there are cores.
+
+    A gzip file or a single Parquet row group is read by one task; its rows are
+    dealt out once. Inputs with enough splits pass unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def read_jsonl(
     spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str | None = None,
     sample_rows: int = 1000, limit: int | None = None, partitions: int | None = None,
