@@ -33,7 +33,7 @@ def clean_text(c) -> Column:
 
 
 def words(c) -> Column:
-    return F.filter(F.split(_col(c), WHITESPACE + "+"), lambda w: w != "")
+    return F.array_remove(F.split(F.trim(collapse_space(c)), " "), "")
 
 
 def word_count(c) -> Column:
@@ -50,11 +50,14 @@ def tokens(c) -> Column:
 
 def chunks(c, n_words: int = 12000) -> Column:
     """Arrays of ``n_words`` words re-joined by single blanks; the last may be shorter."""
-    all_words = words(c)
-    starts = F.when(F.size(all_words) > 0, F.sequence(F.lit(1), F.size(all_words), F.lit(n_words))).otherwise(
-        F.array().cast("array<int>")
-    )
-    return F.transform(starts, lambda i: F.array_join(F.slice(all_words, i, n_words), " "))
+
+    def cut(all_words: Column) -> Column:
+        n = F.size(all_words)
+        starts = F.when(n > 0, F.sequence(F.lit(1), n, F.lit(n_words))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.array_join(F.slice(all_words, i, n_words), " "))
+
+    # the one-element array keeps the word list from being built again per chunk
+    return F.flatten(F.transform(F.array(words(c)), cut))
 
 
 def count_substring(c, needle: str) -> Column:

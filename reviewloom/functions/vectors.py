@@ -35,11 +35,22 @@ def cosine(a, b, norm_a=None, norm_b=None) -> Column:
 
 
 def softmax(logits) -> Column:
+    def scaled(exps: Column) -> Column:
+        total = F.aggregate(exps, F.lit(0.0), lambda s, x: s + x)
+        return F.transform(F.array(total), lambda t: F.transform(exps, lambda x: x / t))[0]
+
     logits = _col(logits)
-    top = F.array_max(logits)
-    exps = F.transform(logits, lambda x: F.exp(x - top))
-    total = F.aggregate(exps, F.lit(0.0), lambda s, x: s + x)
-    return F.transform(exps, lambda x: x / total)
+    exps = F.transform(F.array(F.array_max(logits)), lambda top: F.transform(logits, lambda x: F.exp(x - top)))
+    return F.transform(exps, scaled)[0]
+
+
+def unit(values) -> Column:
+    """Scaled to length one; a zero vector stays zero."""
+    values = _col(values)
+    by_size = F.transform(
+        F.array(norm(values)), lambda size: F.transform(values, lambda x: F.when(size > 0, x / size).otherwise(0.0))
+    )
+    return by_size[0]
 
 
 def predicted_class(logits, names: Sequence[str] = tuple(CLASS_NAMES)) -> Column:

@@ -57,10 +57,13 @@ def tag_aspects(
         F.struct(F.lit(i).alias("aspect_no"), F.lit(a).alias("aspect"), _matching(F.col("_marked"), k).alias("relevant_sentences"))
         for i, (a, k) in enumerate(table.items())
     ]
-    hits = marked.withColumn("_hits", F.filter(F.array(*found), lambda h: h["relevant_sentences"] != "")).drop("_marked")
+    hits = F.filter(F.array(*found), lambda h: h["relevant_sentences"] != "")
     if per == "aspect":
-        return hits.select(*kept, F.inline("_hits")).drop("aspect_no")
-    return hits.filter(F.size("_hits") > 0).select(
+        # the generator takes the expression itself: a column in between would
+        # be filtered, and so computed, once more below it
+        return marked.select(*kept, F.inline(hits)).drop("aspect_no")
+    per_review = marked.select(*kept, F.explode(F.filter(F.array(hits), lambda h: F.size(h) > 0)).alias("_hits"))
+    return per_review.select(
         *kept,
         F.array_join(F.transform("_hits", lambda h: h["aspect"]), ", ").alias("matched_aspects"),
         F.array_join(F.transform("_hits", lambda h: h["relevant_sentences"]), " ").alias("relevant_sentences"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import HashingTF
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from reviewloom.functions import constants as C
 from reviewloom.functions.columns import path_metadata, vector_key, without_extension
 from reviewloom.functions.text import tokens
-from reviewloom.functions.vectors import as_vector, cosine, norm
+from reviewloom.functions.vectors import as_vector, cosine, norm, unit
 from reviewloom.operators.filters import hit_filter
 from reviewloom.session import settle
 
@@ -24,8 +25,12 @@ def top_k(
     row_id: str = "id", norms: str | None = None,
 ) -> DataFrame:
     """The ``k`` most similar rows; ties by id. Each task keeps only its best ``k``."""
-    target = query if isinstance(query, Column) else as_vector(query)
-    scored = vectors.withColumn("score", cosine(values, target, norm_a=norms))
+    if isinstance(query, Column):
+        score = cosine(values, query, norm_a=norms)
+    else:
+        size = F.lit(math.sqrt(sum(float(v) ** 2 for v in query)))
+        score = cosine(values, as_vector(query), norm_a=norms, norm_b=size)
+    scored = vectors.withColumn("score", score)
     return scored.filter(F.col("score").isNotNull()).orderBy(F.desc("score"), row_id).limit(k)
 
 
@@ -105,9 +110,7 @@ def embed(df: DataFrame, text: str = "text", dim: int = 64, name: str = "values"
     step = df.withColumn("_tokens", tokens(F.lower(F.coalesce(F.col(text), F.lit("")))))
     hashed = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=dim).transform(step)
     hashed = hashed.withColumn("_raw", vector_to_array("_tf"))
-    size = norm("_raw")
-    unit = F.transform("_raw", lambda x: F.when(size > 0, x / size).otherwise(0.0))
-    return hashed.withColumn(name, unit).drop("_tokens", "_tf", "_raw")
+    return hashed.withColumn(name, unit("_raw")).drop("_tokens", "_tf", "_raw")
 
 
 def embed_with(df: DataFrame, fn: Callable[[list[str]], list[list[float]]], text: str = "text", name: str = "values") -> DataFrame:
