@@ -8,7 +8,7 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from reviewloom.functions.constants import EMOJI_NARROW, HTML_TAG, WHITESPACE
+from reviewloom.functions.constants import EMOJI_NARROW, HTML_TAG, OTHER_WHITESPACE, WHITESPACE
 
 # a word, a hyphenated word, or a lone dollar sign
 TOKEN = r"[\p{L}\p{N}]+(?:-[\p{L}\p{N}]+)*|\$"
@@ -19,8 +19,12 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# every run of white space except a lone blank, which needs no replacing
+SPACE_RUN = f"{OTHER_WHITESPACE}{WHITESPACE}*| {WHITESPACE}+"
+
+
 def collapse_space(c) -> Column:
-    return F.regexp_replace(_col(c), WHITESPACE + "+", " ")
+    return F.regexp_replace(_col(c), SPACE_RUN, " ")
 
 
 def strip_tags(c) -> Column:
@@ -117,3 +121,8 @@ def name_emoji(c, table: dict[str, str] | None = None) -> Column:
 
 def matches(c, pattern: str) -> Column:
     return F.coalesce(F.regexp_like(_col(c), F.lit(pattern)), F.lit(False))
+
+
+def non_ascii_class(cls: str) -> str:
+    """The same character class, testing the ASCII range away first."""
+    return rf"[[^\x00-\x7F]&&{cls}]"

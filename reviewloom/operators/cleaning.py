@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions.columns import narrow_types, price_text
 from reviewloom.functions.constants import EMOJI_WIDE
-from reviewloom.functions.text import clean_text, matches, name_emoji
+from reviewloom.functions.text import clean_text, matches, name_emoji, non_ascii_class
 from reviewloom.operators.aggregates import distinct_rows
 from reviewloom.operators.filters import with_text_and_rating
 
@@ -22,7 +22,7 @@ def clean_reviews(df: DataFrame, emoji_names: dict[str, str] | None = None, flag
     Emoji are named on flagged rows; by default the flag is the wide emoji test
     on the raw text, as the validation step computes it.
     """
-    flagged = flag if flag is not None else matches("text", EMOJI_WIDE)
+    flagged = flag if flag is not None else matches("text", non_ascii_class(EMOJI_WIDE))
     kept = with_text_and_rating(distinct_rows(df)).withColumn("_flag", flagged)
     typed = fill_missing(narrow_types(kept)).withColumn("price", price_text("price"))
     cleaned = typed.withColumns({"title": clean_text("title"), "text": clean_text("text")})

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewloom.functions import constants as C
-from reviewloom.functions.text import matches
+from reviewloom.functions.text import matches, non_ascii_class
 from reviewloom.operators.aggregates import quartile_fences
 from reviewloom.session import settle
 
@@ -100,7 +100,7 @@ def pii_flag(c: str = "text") -> Column:
 
 
 def emoji_rules(df: DataFrame, p: Profile) -> list[Column]:
-    return [_violation("emoji_detection", c, matches(c, p.emoji), "emoji") for c in _have(df, ["text"])]
+    return [_violation("emoji_detection", c, matches(c, non_ascii_class(p.emoji)), "emoji") for c in _have(df, ["text"])]
 
 
 def special_rules(df: DataFrame, p: Profile) -> list[Column]:
