@@ -281,7 +281,7 @@ def later_copies(t):
 @query(
     "F03_split_by_position",
     """WITH r AS (SELECT event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS pos, count(*) OVER () AS n FROM events)
-    SELECT event_id, CASE WHEN pos < floor(n * 0.7) THEN 'train' WHEN pos < floor(n * (0.7 + 0.2)) THEN 'val' ELSE 'test' END AS split FROM r""",
+    SELECT event_id, CASE WHEN pos < floor(n * 0.7::DOUBLE) THEN 'train' WHEN pos < floor(n * (0.7::DOUBLE + 0.2::DOUBLE)) THEN 'val' ELSE 'test' END AS split FROM r""",
 )
 def split_by_position(t):
     rows = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"))

@@ -50,7 +50,7 @@ def oversample_small_slices(t):
 @query(
     "L05_time_split",
     f"""WITH {S.RAW}, r AS (SELECT row_id, row_number() OVER (ORDER BY review_time, row_id) - 1 AS pos, count(*) OVER () AS n FROM raw_reviews)
-    SELECT row_id, CASE WHEN pos < floor(n * 0.8) THEN 'train' WHEN pos < floor(n * (0.8 + 0.1)) THEN 'val' ELSE 'test' END AS split FROM r""",
+    SELECT row_id, CASE WHEN pos < floor(n * 0.8::DOUBLE) THEN 'train' WHEN pos < floor(n * (0.8::DOUBLE + 0.1::DOUBLE)) THEN 'val' ELSE 'test' END AS split FROM r""",
 )
 def time_split(t):
     return sampling.time_split(t.reviews().select("row_id", "review_time")).select("row_id", "split")
