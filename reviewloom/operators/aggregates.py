@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.plans.skew import order_statistics
+from reviewloom.plans.skew import join_small, order_statistics
 
 
 def strata_counts(df: DataFrame, strata: Sequence[str] = ("review_month", "rating")) -> DataFrame:
@@ -137,13 +137,14 @@ def union_by_name(first: DataFrame, *others: DataFrame) -> DataFrame:
 def distinct_rows(df: DataFrame, row_id: str = "row_id") -> DataFrame:
     """One row per set of equal rows, under its smallest id.
 
-    Copies collapse map-side, so a huge group of copies reaches the shuffle as
-    one row per task.
+    Later copies are found on digests and ids alone. When they are few, the full
+    rows are filtered in place and never shuffled.
     """
-    columns = [c for c in df.columns if c != row_id]
+    from reviewloom.operators.quality import duplicates
+
     if row_id not in df.columns:
         return df.dropDuplicates()
-    return df.groupBy(*columns).agg(F.min(row_id).alias(row_id)).select(*df.columns)
+    return join_small(df, duplicates(df, row_id).select(row_id), row_id, "left_anti").select(*df.columns)
 
 
 def extra_columns(df: DataFrame, expected: Sequence[str]) -> DataFrame:

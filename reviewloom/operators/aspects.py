@@ -15,16 +15,25 @@ from reviewloom.functions.constants import ASPECT_PHRASES, ASPECT_WORDS
 from reviewloom.functions.text import sentences, tokens
 
 
+# up to here a keyword table becomes part of the row expression
+LITERAL_KEYWORDS = 1000
+
+
 def aspect_table(seeds: Mapping[str, Sequence[str]] = ASPECT_WORDS, synonyms: Mapping[str, Sequence[str]] | None = None) -> dict:
     """Aspect to keywords: seed words joined by the synonyms the caller has."""
     extra = synonyms or {}
     return {a: sorted({*words, *(s for w in words for s in extra.get(w, ()))}) for a, words in seeds.items()}
 
 
-def keyword_table(df: DataFrame, aspect: str = "aspect", keyword: str = "keyword") -> dict:
-    """Aspect to keywords from a small configuration table."""
-    rows = df.groupBy(aspect).agg(F.array_sort(F.collect_set(keyword)).alias("k")).orderBy(aspect).collect()
-    return {r[aspect]: r["k"] for r in rows}
+def keyword_table(pairs: DataFrame, max_pairs: int = LITERAL_KEYWORDS) -> dict | None:
+    """Aspect to keywords from a table of (aspect, keyword), or None when it is too long for an expression."""
+    rows = pairs.select("aspect", "keyword").distinct().limit(max_pairs + 1).collect()
+    if len(rows) > max_pairs:
+        return None
+    table: dict[str, list[str]] = {}
+    for r in sorted(rows):
+        table.setdefault(r["aspect"], []).append(r["keyword"])
+    return table
 
 
 def _marked_sentences(text: Column, lower: bool) -> Column:
@@ -40,17 +49,25 @@ def _matching(marked: Column, keywords: Sequence[str]) -> Column:
 
 def tag_aspects(
     df: DataFrame,
-    keywords: Mapping[str, Sequence[str]] | None = None,
+    keywords: Mapping[str, Sequence[str]] | DataFrame | None = None,
     text: str = "text",
     lower: bool = False,
     per: str = "aspect",
+    row_id: str = "row_id",
+    max_pairs: int = LITERAL_KEYWORDS,
 ) -> DataFrame:
     """Rows per (review, aspect) with the joined matching sentences, in aspect order.
 
     A keyword matches a whole token, case-sensitively unless ``lower``.
     ``per="review"`` gives one row per review with its set of aspects instead.
+    A keyword table (aspect, keyword) past ``max_pairs`` is joined to the tokens.
     """
-    table = keywords or ASPECT_WORDS
+    if isinstance(keywords, DataFrame):
+        table = keyword_table(keywords, max_pairs)
+        if table is None:
+            return _tag_by_join(df, keywords, text, lower, per, row_id)
+    else:
+        table = keywords or ASPECT_WORDS
     kept = [c for c in df.columns]
     marked = df.withColumn("_marked", _marked_sentences(F.col(text), lower))
     found = [
@@ -70,6 +87,23 @@ def tag_aspects(
     )
 
 
+def _tag_by_join(df: DataFrame, pairs: DataFrame, text: str, lower: bool, per: str, row_id: str) -> DataFrame:
+    """The same rows for long keyword tables, aspects in name order."""
+    split = df.select(row_id, F.posexplode(sentences(F.col(text))).alias("_pos", "_sentence"))
+    tested = F.lower("_sentence") if lower else F.col("_sentence")
+    spoken = split.select(row_id, "_pos", "_sentence", F.explode(F.array_distinct(tokens(tested))).alias("keyword"))
+    found = spoken.join(pairs.select("aspect", "keyword").distinct(), "keyword").select(row_id, "aspect", "_pos", "_sentence").distinct()
+    tagged = found.groupBy(row_id, "aspect").agg(
+        F.expr("listagg(_sentence, ' ') within group (order by _pos)").alias("relevant_sentences")
+    )
+    if per == "review":
+        tagged = tagged.groupBy(row_id).agg(
+            F.expr("listagg(aspect, ', ') within group (order by aspect)").alias("matched_aspects"),
+            F.expr("listagg(relevant_sentences, ' ') within group (order by aspect)").alias("relevant_sentences"),
+        )
+    return df.join(tagged, row_id)
+
+
 def phrase_sentences(
     df: DataFrame, phrases: Mapping[str, Sequence[str]] | None = None, text: str = "text"
 ) -> DataFrame:

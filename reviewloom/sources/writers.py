@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 
 def write_stage(df: DataFrame, path: str, by: Sequence[str] = (), fmt: str = "parquet", mode: str = "overwrite") -> str:
-    """A stage hand-off; with ``by`` only the partitions present in ``df`` are replaced."""
+    """A stage hand-off; with ``by`` only the partitions present in ``df`` are replaced.
+
+    Rows are rebalanced by partition before writing: small partitions give one
+    file instead of one per task, large ones are split over several tasks.
+    """
+    if by:
+        df = df.hint("rebalance", *by)
     writer = df.write.mode(mode)
     if by:
         writer = writer.partitionBy(*by).option("partitionOverwriteMode", "dynamic")
@@ -28,7 +34,7 @@ def write_jsonl(df: DataFrame, path: str, compression: str | None = "gzip") -> s
 
 def write_documents(df: DataFrame, path: str, by: Sequence[str] = ("category", "year", "month")) -> str:
     """Documents as JSON below category/year/month; file-safe folder names come from Spark."""
-    writer = df.write.mode("overwrite")
+    writer = (df.hint("rebalance", *by) if by else df).write.mode("overwrite")
     (writer.partitionBy(*by) if by else writer).json(path)
     return path
 

@@ -105,3 +105,12 @@ def test_sentences_and_tokens(spark):
     ).first()
     assert row.s == ["Hi...", "there!", "Is it?", "yes"]
     assert row.t == ["don", "t", "pay", "$", "5", "user-friendly", "über"]
+
+
+@pytest.mark.parametrize("per", ["aspect", "review"])
+def test_long_keyword_tables_are_joined(reviews, spark, per):
+    table = spark.createDataFrame([(a, k) for a, ks in KEYWORDS.items() for k in ks], "aspect string, keyword string")
+    folded, joined = (aspects.tag_aspects(reviews, table, per=per, max_pairs=n) for n in (1000, 3))
+    columns = ["row_id", "relevant_sentences"] + (["aspect"] if per == "aspect" else ["matched_aspects"])
+    assert sorted(folded.select(*columns).collect()) == sorted(joined.select(*columns).collect())
+    assert folded.count() == (5 if per == "aspect" else 3)
