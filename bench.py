@@ -55,7 +55,8 @@ def main() -> None:
     catalog.load_all()
     spark = local_session(CPUS, os.environ.get("BENCH_MEMORY", "7g"), "bench")
     times = {}
-    for name in HEADLINE:
+    only = tuple(os.environ.get("BENCH_QUERIES", "").split(",")) if os.environ.get("BENCH_QUERIES") else ("",)
+    for name in [n for n in HEADLINE if n.startswith(only)]:
         run = catalog.QUERIES[name]
         taken = []
         for _ in range(RUNS + 1):

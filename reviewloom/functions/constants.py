@@ -19,10 +19,6 @@ CLASS_NAMES = ["NEGATIVE", "NEUTRAL", "POSITIVE"]
 WHITESPACE = (
     r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
-# the same class without the plain blank
-OTHER_WHITESPACE = (
-    r"[\t-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-)
 HTML_TAG = r"<[^\n]*?>"
 EMAIL = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
 PHONE = r"\b(?:\(?\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4,10})\b"

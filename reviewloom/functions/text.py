@@ -8,7 +8,7 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from reviewloom.functions.constants import EMOJI_NARROW, HTML_TAG, OTHER_WHITESPACE, WHITESPACE
+from reviewloom.functions.constants import EMOJI_NARROW, HTML_TAG, WHITESPACE
 
 # a word, a hyphenated word, or a lone dollar sign
 TOKEN = r"[\p{L}\p{N}]+(?:-[\p{L}\p{N}]+)*|\$"
@@ -19,8 +19,13 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# every run of white space except a lone blank, which needs no replacing
-SPACE_RUN = f"{OTHER_WHITESPACE}{WHITESPACE}*| {WHITESPACE}+"
+# The white-space class for Java alone: printable ASCII is ruled out first and
+# the Latin-1 members are listed singly, which Java tests with one bit lookup.
+_BLANKS = r"\t\n\x0B\f\r\x1c\x1d\x1e\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_ANY_BLANK = f"[[^!-~]&&[ {_BLANKS}]]"
+_OTHER_BLANK = f"[[^ -~]&&[{_BLANKS}]]"
+# every run of white space except a lone plain blank, which needs no replacing
+SPACE_RUN = f"{_OTHER_BLANK}{_ANY_BLANK}*| {_ANY_BLANK}+"
 
 
 def collapse_space(c) -> Column:

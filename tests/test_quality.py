@@ -180,3 +180,12 @@ def test_null_counts_and_card(spark):
     assert (got["title"], got["price"], got["asin"], got["(all)"]) == (2, 1, 0, 3)
     card = {r.column: r for r in aggregates.data_card(df).collect()}
     assert (card["rating"].smallest, card["title"].nulls, card["price"].n_rows) == ("4.0", 2, 3)
+
+
+def test_white_space_class_is_the_published_one(spark):
+    """Every code point below U+3100 is a blank for the fast class exactly when it is one for the plain class."""
+    points = spark.range(1, 0x3101).filter("id < 55296").select(F.expr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE')").alias("c"))
+    fast = clean_text(F.concat(F.lit("a"), "c", F.lit("\n"), "c", F.lit("b")))
+    plain = F.regexp_replace(F.regexp_replace(F.concat(F.lit("a"), "c", F.lit("\n"), "c", F.lit("b")), C.WHITESPACE + "+", " "), C.HTML_TAG, " ")
+    assert points.filter(fast != plain).count() == 0
+    assert points.filter(fast == "a b").count() == sum(chr(i).isspace() for i in range(1, 0x3101))

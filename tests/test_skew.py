@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from reviewloom.operators import aggregates, quality
+from reviewloom.operators import aggregates, joins, quality
 from reviewloom.plans import skew
 
 
@@ -79,3 +79,35 @@ def test_upsert_keeps_last_write(rows):
     old, new = rows(ddl, ("a", 1, "x"), ("b", 5, "y")), rows(ddl, ("a", 2, "z"), ("b", 4, "late"), ("c", 1, "n"))
     got = {r.id: r.v for r in aggregates.upsert_latest(old, new, ["id"], ["at"]).collect()}
     assert got == {"a": "z", "b": "y", "c": "n"}
+
+
+def _final_plan(df):
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_product_is_split_over_tasks(spark):
+    """A product (or a missing one) with most reviews: the join partition is split at run time."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        hot = F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 3 == 0, None).otherwise(F.col("id").cast("string"))
+        reviews = spark.range(0, 60_000, 1, 8).select(F.col("id").alias("row_id"), hot.alias("parent_asin"))
+        products = spark.range(0, 60_000, 1, 8).select(F.col("id").cast("string").alias("parent_asin")).union(spark.createDataFrame([("hot",)], "parent_asin string"))
+        meta = products.select("parent_asin", *[F.lit("x").alias(c) for c in ("main_category", "title")], F.array(F.lit("c")).alias("categories"), F.lit(1.0).alias("price"), F.lit(1.0).alias("average_rating"), F.lit(1).alias("rating_number"))
+        joined = joins.join_metadata(reviews, meta)
+        plan = _final_plan(joined)
+        assert "skew=true" in plan
+        assert joined.count() == 60_000 and joined.filter("product_name is null").count() == 10_000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
