@@ -60,6 +60,13 @@ def lossy_casts(t):
     return quality.lossy_casts(raw, from_ddl("user_id bigint, value double"))
 
 
+@query("I01b_strict_schema", "SELECT event_id, user_id, value FROM events")
+def strict_schema(t):
+    """Passes only because every type is the declared one."""
+    rows = t.events.select("event_id", "user_id", "value")
+    return quality.conform(rows, from_ddl("event_id bigint, user_id bigint, value double"), strict=True)
+
+
 RANGE_SQL = """SELECT row_id, 'rating' AS "column" FROM joined WHERE rating < 2 OR rating > 4
     UNION ALL SELECT row_id, 'price' FROM joined WHERE price < 901
     UNION ALL SELECT row_id, 'year' FROM joined WHERE year < 1996 OR year > 2000

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -102,23 +101,27 @@ def _literal(bound, cols: Sequence[str]) -> Column:
     return F.struct(*[F.lit(bound[i]).alias(c) for i, c in enumerate(cols)])
 
 
-def ordered_bucket(rows: DataFrame, order: str, buckets: int = 512) -> tuple[DataFrame, str]:
-    """Add an order-preserving bucket over a numeric column with balanced sizes.
+def with_bucket(rows: DataFrame, keys: Sequence[str], order: str, buckets: int, name: str) -> DataFrame:
+    """Number the pieces of each key along a numeric column, evenly filled.
 
-    Cut points come from a mergeable quantile sketch, so they follow the data.
+    Cut points come from a mergeable quantile sketch per key and are found again
+    by halving steps over the sorted array.
     """
-    name = "_bucket"
-    probabilities = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(rows.approxQuantile(order, probabilities, 0.5 / buckets)))
-    if not cuts:
-        return rows.withColumn(name, F.lit(0.0)), name
-    splits = [float("-inf"), *cuts, float("inf")]
-    step = rows.withColumn("_order", F.col(order).cast("double"))
-    marked = Bucketizer(splits=splits, inputCol="_order", outputCol=name, handleInvalid="keep").transform(step)
-    return marked.drop("_order"), name
+    value = F.col(order).cast("double")
+    shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    cuts = rows.groupBy(*keys).agg(F.percentile_approx(value, shares, F.lit(20 * buckets)).alias("_cuts"))
+    steps = [2**i for i in reversed(range((buckets - 1).bit_length()))]
 
+    def advance(at: Column, step: Column) -> Column:
+        there = F.get(F.col("_cuts"), at + step - 1)
+        return F.when(there <= value, at + step).otherwise(at)
 
-HOT_ROWS = 1_000_000
+    place = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
+    # a row of cuts is wide, so fewer of them are broadcast
+    return join_small(rows, cuts, list(keys), max_rows=5_000).withColumn(name, place).drop("_cuts")
+
+
+HOT_ROWS = 200_000
 
 
 def running_total(
@@ -127,8 +130,10 @@ def running_total(
 ) -> DataFrame:
     """Sum of ``value`` over earlier rows of the same (non-null) key.
 
-    A plain window serves keys of up to ``hot_rows`` rows. The few larger ones
-    are summed bucket by bucket, so no task has to hold a whole key.
+    ``order`` is numeric and unique within a key. A plain window serves keys of
+    up to ``hot_rows`` rows. Larger ones are cut into buckets along ``order``;
+    a bucket starts from the total of the buckets before it and is handled the
+    same way, so no task ever holds more than ``hot_rows`` rows of a key.
     """
     keys = list(keys)
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -139,7 +144,7 @@ def running_total(
     if n_hot <= BROADCAST_ROWS:
         hot = F.broadcast(hot)
     cold = _plain_total(rows.join(hot, keys, "left_anti"), keys, order, value, name)
-    return cold.unionByName(_bucketed_total(rows.join(hot, keys, "left_semi"), keys, order, value, name, buckets))
+    return cold.unionByName(_bucketed_total(rows.join(hot, keys, "left_semi"), keys, order, value, name, buckets, hot_rows))
 
 
 def _plain_total(rows: DataFrame, keys: list[str], order: str, value: str, name: str) -> DataFrame:
@@ -147,14 +152,15 @@ def _plain_total(rows: DataFrame, keys: list[str], order: str, value: str, name:
     return rows.select("*", F.coalesce(F.sum(value).over(earlier), F.lit(0)).alias(name))
 
 
-def _bucketed_total(rows: DataFrame, keys: list[str], order: str, value: str, name: str, buckets: int) -> DataFrame:
-    marked, bucket = ordered_bucket(rows, order, buckets)
-    totals = marked.groupBy(*keys, bucket).agg(F.sum(value).alias("_total"))
+def _bucketed_total(
+    rows: DataFrame, keys: list[str], order: str, value: str, name: str, buckets: int, hot_rows: int
+) -> DataFrame:
+    bucket, local = f"_bucket{len(keys)}", f"_local{len(keys)}"
+    inner = [*keys, bucket]
+    marked = with_bucket(rows, keys, order, buckets, bucket)
+    totals = marked.groupBy(*inner).agg(F.sum(value).alias("_total"))
     along = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    # one leading row per (key, bucket) carries the sum of all earlier buckets,
-    # so the row window starts from it and no join back is needed
-    heads = totals.select(*keys, bucket, F.sum("_total").over(along).alias(value), F.lit(0).alias("_body"))
-    stacked = marked.withColumn("_body", F.lit(1)).unionByName(heads, allowMissingColumns=True)
-    inside = Window.partitionBy(*keys, bucket).orderBy("_body", order).rowsBetween(Window.unboundedPreceding, -1)
-    summed = stacked.withColumn(name, F.coalesce(F.sum(value).over(inside), F.lit(0)))
-    return summed.filter("_body = 1").select(*rows.columns, name)
+    offsets = totals.select(*inner, F.coalesce(F.sum("_total").over(along), F.lit(0)).alias("_offset"))
+    inside = running_total(marked, inner, order, value, local, buckets, hot_rows)
+    joined = join_small(inside, offsets, inner)
+    return joined.select(*rows.columns, (F.col("_offset") + F.col(local)).alias(name))

@@ -32,11 +32,11 @@ def test_weighted_order_statistics(spark, sort_rows):
     assert {p: g[0] for p, g in got.items()} == {p: flat[p] for p in spots}
 
 
-@pytest.mark.parametrize("hot_rows", [50, 10_000])
-def test_running_total_with_hot_key(spark, hot_rows):
+@pytest.mark.parametrize("hot_rows,buckets", [(10_000, 512), (50, 16), (40, 4), (100, 3)])
+def test_running_total_with_hot_key(spark, hot_rows, buckets):
     data = [("hot" if i % 3 else f"k{i % 10}", i, (i * 37) % 11) for i in range(900)]
     df = spark.createDataFrame(data, "k string, row_id bigint, v bigint").repartition(5)
-    got = {(r.k, r.row_id): r.before for r in skew.running_total(df, ["k"], "row_id", "v", buckets=16, hot_rows=hot_rows).collect()}
+    got = {(r.k, r.row_id): r.before for r in skew.running_total(df, ["k"], "row_id", "v", buckets=buckets, hot_rows=hot_rows).collect()}
     want, sums = {}, {}
     for k, i, v in sorted(data, key=lambda x: x[1]):
         want[(k, i)] = sums.get(k, 0)
@@ -111,3 +111,13 @@ def test_hot_product_is_split_over_tasks(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_buckets_follow_the_order_and_are_even(spark):
+    # ids crowd at the low end: even widths would put nearly all rows into one bucket
+    df = spark.range(1000).select((F.col("id") % 2).alias("k"), F.pow(F.lit(1.02), F.col("id")).alias("at"))
+    got = skew.with_bucket(df, ["k"], "at", 8, "b").groupBy("k", "b").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("lo"), F.max("at").alias("hi")).orderBy("k", "b").collect()
+    for k in (0, 1):
+        mine = [r for r in got if r.k == k]
+        assert [r.b for r in mine] == list(range(8)) and max(r.n for r in mine) < 80
+        assert all(a.hi < b.lo for a, b in zip(mine, mine[1:]))
