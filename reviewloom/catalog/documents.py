@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.catalog import query
 from reviewloom.catalog import sql as S
-from reviewloom.catalog.quality import PROFILE, TEXTS
+from reviewloom.catalog.quality import PROFILE, REPORT_SQL
 from reviewloom.catalog.views import ANALYSES, analyses
 from reviewloom.functions import constants as C
 from reviewloom.functions.labels import rating_class
@@ -218,7 +218,14 @@ def hierarchical_summary(t):
 # --- chains -------------------------------------------------------------------
 
 
-@query("CH1_sample_quality_report")
+# the report of the drawn rows: the sample takes the place of the joined view
+SAMPLED = S.JOINED.replace("joined AS (", "every_row AS (") + """,
+joined AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY review_month, rating ORDER BY md5(row_id || ':42'), row_id) AS rn,
+  count(*) OVER (PARTITION BY review_month, rating) AS n FROM every_row
+  WHERE review_time >= TIMESTAMP '1996-01-01' AND review_time < TIMESTAMP '2001-01-01') WHERE rn <= round_even(0.2 * n, 0))"""
+
+
+@query("CH1_sample_quality_report", f"WITH {SAMPLED}, {REPORT_SQL}")
 def sample_quality_report(t):
     """Window, draw 20 %, join metadata, validate, report."""
     sample = chains.settle(chains.sample_chain(t.reviews(), t.products(), "1996-01-01", "2000-12-31", 0.2))

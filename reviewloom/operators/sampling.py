@@ -32,7 +32,7 @@ def stratified_sample(
     The last key to keep is found per stratum from narrow passes: counts per
     leading key digits, then a ranking of only the rows that share the digits of
     the cut. The full rows are filtered against that key and never shuffled, and
-    no task ever ranks a whole stratum.
+    no task ever ranks a whole stratum. ``row_id`` must be unique.
     """
     strata = list(strata)
     narrow = df.select(*strata, row_id).dropna(subset=strata).withColumn("_key", draw_key(row_id, seed))
@@ -103,9 +103,10 @@ def time_split(
     the days that hold the cuts; only their keys are ordered. The returned plan
     compares each row with two literals and moves no data.
     """
-    micros = F.unix_micros(F.col(ts))
+    # missing times sort last
+    micros = F.coalesce(F.unix_micros(F.col(ts)), F.lit(2**63 - 1))
     keys = df.select(micros.alias("_t"), F.col(row_id).alias("_id"), F.to_date(ts).alias("_day"))
-    days = keys.groupBy("_day").agg(F.count(F.lit(1)).alias("n")).orderBy("_day").collect()
+    days = keys.groupBy("_day").agg(F.count(F.lit(1)).alias("n")).orderBy(F.asc_nulls_last("_day")).collect()
     total = sum(d["n"] for d in days)
     bounds = []
     for position in (int(total * train), int(total * (train + val))):

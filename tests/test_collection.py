@@ -140,3 +140,10 @@ def test_split_by_year_adds_up(reviews):
     early, late = filters.split_by_year(timed)
     assert early.count() + late.count() == timed.count()
     assert {r.year for r in late.collect()} == {2020}
+
+
+def test_time_split_puts_missing_times_last(spark):
+    when = F.when(F.col("id") >= 3, F.timestamp_seconds(F.col("id")))
+    df = spark.range(10).select(F.col("id").alias("row_id"), when.alias("review_time"))
+    got = {r.row_id: r["split"] for r in sampling.time_split(df).collect()}
+    assert [got[i] for i in (3, 9, 0, 1, 2)] == ["train", "train", "train", "val", "test"]
