@@ -10,22 +10,34 @@ from pyspark.sql import functions as F
 from reviewloom.functions.text import word_count
 
 
+def _between(df: DataFrame, col: str, low: Column, high: Column, closed: bool) -> DataFrame:
+    """``low <= col < high`` (``<= high`` when closed).
+
+    The derived review time cannot be pushed into a scan, its source column of
+    epoch milliseconds can: the same bounds are put on it.
+    """
+    def limits(c: Column, lo: Column, hi: Column) -> Column:
+        return (c >= lo) & ((c <= hi) if closed else (c < hi))
+
+    if col == "review_time" and dict(df.dtypes).get("timestamp") == "bigint":
+        df = df.filter(limits(F.col("timestamp"), F.unix_millis(low), F.unix_millis(high)))
+    return df.filter(limits(F.col(col), low, high))
+
+
 def in_window(df: DataFrame, start: str, end: str, end_inclusive_day: bool = True, col: str = "review_time") -> DataFrame:
     """Rows from ``start`` to ``end``.
 
     ``end_inclusive_day=False`` stops at the last day's midnight, the published rule.
     """
-    when = F.col(col)
-    low = F.to_timestamp(F.lit(start))
-    if not end_inclusive_day:
-        return df.filter((when >= low) & (when <= F.to_timestamp(F.lit(end))))
-    return df.filter((when >= low) & (when < F.to_timestamp(F.date_add(F.to_date(F.lit(end)), 1))))
+    low, last = F.to_timestamp(F.lit(start)), F.to_date(F.lit(end))
+    high = F.to_timestamp(F.date_add(last, 1)) if end_inclusive_day else F.to_timestamp(F.lit(end))
+    return _between(df, col, low, high, closed=not end_inclusive_day)
 
 
 def in_month(df: DataFrame, year: int, month: int, col: str = "review_time") -> DataFrame:
-    """Rows of one calendar month, as a half-open range that can be pushed down."""
+    """Rows of one calendar month, as a half-open range."""
     first = F.make_date(F.lit(year), F.lit(month), F.lit(1))
-    return df.filter((F.col(col) >= F.to_timestamp(first)) & (F.col(col) < F.to_timestamp(F.add_months(first, 1))))
+    return _between(df, col, F.to_timestamp(first), F.to_timestamp(F.add_months(first, 1)), closed=False)
 
 
 def with_text_and_rating(df: DataFrame) -> DataFrame:
