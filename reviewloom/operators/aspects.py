@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions.constants import ASPECT_PHRASES, ASPECT_WORDS
 from reviewloom.functions.text import sentences, tokens
+from reviewloom.plans.skew import join_small
 
 
 # up to here a keyword table becomes part of the row expression
@@ -92,7 +93,7 @@ def _tag_by_join(df: DataFrame, pairs: DataFrame, text: str, lower: bool, per: s
     split = df.select(row_id, F.posexplode(sentences(F.col(text))).alias("_pos", "_sentence"))
     tested = F.lower("_sentence") if lower else F.col("_sentence")
     spoken = split.select(row_id, "_pos", "_sentence", F.explode(F.array_distinct(tokens(tested))).alias("keyword"))
-    found = spoken.join(pairs.select("aspect", "keyword").distinct(), "keyword").select(row_id, "aspect", "_pos", "_sentence").distinct()
+    found = join_small(spoken, pairs.select("aspect", "keyword").distinct(), "keyword").select(row_id, "aspect", "_pos", "_sentence").distinct()
     tagged = found.groupBy(row_id, "aspect").agg(
         F.expr("listagg(_sentence, ' ') within group (order by _pos)").alias("relevant_sentences")
     )

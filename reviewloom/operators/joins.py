@@ -75,4 +75,4 @@ def inside(df: DataFrame, col: str, allowed: DataFrame) -> DataFrame:
 
 def documents_of(hits: DataFrame, docs: DataFrame) -> DataFrame:
     """Stored documents of retrieved hits, by their path metadata."""
-    return hits.join(docs, ["category", "year", "month", "subcategory"], "inner")
+    return join_small(docs, hits, ["category", "year", "month", "subcategory"])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from reviewloom.functions.columns import label_name
 from reviewloom.functions.labels import DEFAULT_RULES, RULES, compound, lexicon_rule, score_label, valence_sum
 from reviewloom.functions.text import tokens
+from reviewloom.plans.skew import join_small
 
 SMALL_LEXICON = 200
 
@@ -101,7 +102,7 @@ def lexicon_label(
         scored = df.withColumn("compound", compound(valence_sum(text, lexicon)))
     else:
         found = df.select(row_id, F.explode(tokens(F.lower(text))).alias("word"))
-        sums = found.join(lexicon, "word").groupBy(row_id).agg(F.sum("valence").alias("_sum"))
+        sums = join_small(found, lexicon, "word").groupBy(row_id).agg(F.sum("valence").alias("_sum"))
         scored = df.join(sums, row_id, "left").withColumn("compound", compound(F.coalesce("_sum", F.lit(0.0)))).drop("_sum")
     return scored.withColumn(name, label_name(score_label("compound")))
 

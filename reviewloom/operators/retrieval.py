@@ -57,7 +57,8 @@ def search(
     best = ranked(top_k(pool, query, k, values, row_id), row_id)
     hits = settle(hit_filter(best, category, year, month).select("category", "year", "month", "subcategory", "rank"))
     if hits.limit(1).count():
-        return hits.join(docs, ["category", "year", "month", "subcategory"])
+        # at most k rows, so the documents are read in place
+        return docs.join(F.broadcast(hits), ["category", "year", "month", "subcategory"])
     rest = docs
     for name, value in (("category", category), ("year", year), ("month", None if month == "ALL" else month)):
         if value:
