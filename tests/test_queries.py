@@ -6,11 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from reviewloom import catalog
 from reviewloom.sources.adapters import TABLES
 from scripts.check import compare
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 # scoring goes through the ML vectors, whose conversions are JVM functions
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not there")
 
@@ -41,5 +42,10 @@ def test_oracles_belong_to_queries():
     assert set(QUERIES) - set(ORACLES) == without
 
 
+def test_entry_lists_the_catalog():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 11
