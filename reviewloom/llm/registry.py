@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reviewloom.session import tune
 
-MODULES = ["rendezvous", "whole_tokens", "winnowing"]
+MODULES = ["pieces", "rendezvous", "winnowing", "whole_tokens"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
