@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reviewloom.session import tune
 
-MODULES = ["pieces", "rendezvous", "segments", "warc", "winnowing", "whole_tokens"]
+MODULES = ["packing", "pieces", "rendezvous", "segments", "warc", "winnowing", "whole_tokens"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
