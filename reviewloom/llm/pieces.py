@@ -54,6 +54,7 @@ class PieceModel:
         self.bytes = {int(p.piece[3:-1], 16): i for i, p in enumerate(proto.pieces) if p.type == BYTE}
         self.longest = max(map(len, self.ids), default=1)
         self.penalty = min(self.scores.values(), default=0.0) - 10.0
+        self.ends = {p[i:] for p in self.ids for i in range(len(p))}
         self._stands: dict[tuple[str, str], bool] = {}
         # where no piece can reach across, every path has a boundary: before a space mark that follows other text,
         # and around control characters that no piece holds
@@ -88,21 +89,24 @@ class PieceModel:
 
     def _stand(self, left: str, right: str) -> bool:
         """Can the two pieces stand side by side; ``left`` is empty at the start of a span."""
-        known = self._stands.get((left, right))
-        if known is None:
-            if len(self._stands) > 4 * REMEMBERED:
-                self._stands.clear()
-            known = self._stands[left, right] = self.merged(left + right) == ([left, right] if left else [right])
+        if len(self._stands) > 2 * REMEMBERED:
+            self._stands.clear()
+        known = self._stands[left, right] = self.merged(left + right) == ([left, right] if left else [right])
         return known
 
     def _step_pairs(self, text: str, p: int, lens: list[int], before: str) -> int:
-        for size in range(min(self.longest, p), 0, -1):
+        # no piece ends in more of the text than these characters
+        most, size = min(self.longest, p), 1
+        while size < most and text[p - size - 1 : p] in self.ends:
+            size += 1
+        for size in range(size, 0, -1):
             piece = text[p - size : p]
             if size > 1 and piece not in self.ids:
                 continue
             start = p - size
             left = text[start - lens[start] : start] if start else before
-            if self._stand(left, piece):
+            known = self._stands.get((left, piece))
+            if known or known is None and self._stand(left, piece):
                 return size
         raise AssertionError("every prefix has a segmentation")
 
@@ -116,6 +120,15 @@ class PieceModel:
         totals.append(best)
         return chosen
 
+    def pieces(self, span: str) -> list[str]:
+        """The pieces of a span; what fits into the window needs no commits on the way."""
+        if not self.pairs or len(span) > 4 * self.longest:
+            return list(self.stream(span))
+        lens = [0]
+        for p in range(1, len(span) + 1):
+            lens.append(self._step_pairs(span, p, lens, ""))
+        return self._walk(span, lens, len(span))
+
     def stream(self, characters) -> Iterator[str]:
         """The pieces of a span read character by character, each as soon as no later text can change it."""
         text, lens, totals, before, p = "", [0], [0.0], "", 0
@@ -152,7 +165,7 @@ class PieceModel:
 
     def ids_of(self, span: str) -> list[int]:
         out: list[int] = []
-        for piece in self.stream(span):
+        for piece in self.pieces(span):
             known = self.ids.get(piece)
             if known is not None:
                 out.append(known)
@@ -171,16 +184,20 @@ class PieceModel:
 
 
 class Encoder(dict):
-    """Span -> its ids as packed int32, remembered for short spans while there is room."""
+    """Span -> its ids as packed int32. Short spans are remembered in two halves: when the new half is full it becomes
+    the old one, and what is used again moves over, so frequent spans stay while memory is bounded."""
 
     def __init__(self, model: PieceModel):
         super().__init__()
-        self.model = model
+        self.model, self.old = model, {}
 
     def __missing__(self, span: str) -> bytes:
-        ids = np.array(self.model.ids_of(span), np.int32).tobytes()
+        ids = self.old.get(span)
+        if ids is None:
+            ids = np.array(self.model.ids_of(span), np.int32).tobytes()
         if len(span) <= REMEMBERED_CHARS:
             if len(self) >= REMEMBERED:
+                self.old = dict(self)
                 self.clear()
             self[span] = ids
         return ids
