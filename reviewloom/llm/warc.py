@@ -16,18 +16,19 @@ BREAKS = "p|div|br|li|ul|ol|dl|dt|dd|h[1-6]|tr|table|td|th|thead|tbody|article|s
 NAMED = [("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("nbsp", " ")]
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
-COMMENT = r"(?s)<!--.*?-->"
-HIDDEN_ELEMENTS = [rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>" for tag in HIDDEN]
+# comments and hidden elements, whichever comes first
+UNSEEN = "(?is)<!--.*?-->|<(?:" + "|".join(rf"{tag}\b[^>]*>.*?</{tag}" for tag in HIDDEN) + r")\s*>"
 BREAK_TAG = rf"(?i)</?(?:{BREAKS})\b[^>]*>"
 TAG = r"<[/!?a-zA-Z][^>]*>"
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"'>]*)["']"""
+# blanks that one space can't stand for
+RUN = r"[\t\f\r\n][\t\f\r\n ]*| [\t\f\r\n ]+"
+LINE_RUN = r"[\t\f\r][\t\f\r ]*| [\t\f\r ]+"
 NUMERIC = r"^(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
 
 
 def visible(html: Column) -> Column:
-    for pattern in [COMMENT, *HIDDEN_ELEMENTS]:
-        html = F.regexp_replace(html, pattern, " ")
-    return html
+    return F.regexp_replace(html, UNSEEN, " ")
 
 
 def _character(piece: Column) -> Column:
@@ -42,37 +43,35 @@ def _character(piece: Column) -> Column:
 
 def unescape(text: Column) -> Column:
     """Numeric and common named character references become characters; others stay."""
-    parts = F.split(text, "&#")
-    text = F.concat(F.get(parts, 0), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), _character), ""))
+    text = F.array_join(F.transform(F.split(text, "&#"), lambda piece, i: F.when(i == 0, piece).otherwise(_character(piece))), "")
     for name, character in NAMED:
         text = F.replace(text, F.lit(f"&{name};"), F.lit(character))
     return F.replace(text, F.lit("&amp;"), F.lit("&"))
 
 
-def plain_text(html: Column) -> Column:
-    """The visible text: block elements break lines, blanks are collapsed, references are resolved."""
-    text = F.regexp_replace(F.regexp_replace(visible(html), r"[\t\f\r\n ]+", " "), BREAK_TAG, "\n")
+def plain_text(seen: Column) -> Column:
+    """The text of visible HTML: block elements break lines, blanks are collapsed, references are resolved."""
+    text = F.regexp_replace(F.regexp_replace(seen, RUN, " "), BREAK_TAG, "\n")
     text = unescape(F.regexp_replace(text, TAG, ""))
-    text = F.regexp_replace(F.regexp_replace(text, r"[\t\f\r ]+", " "), r" ?\n[ \n]*", "\n")
+    text = F.regexp_replace(F.regexp_replace(text, LINE_RUN, " "), r" ?\n[ \n]*", "\n")
     return F.regexp_replace(text, r"^[ \n]+|[ \n]+\z", "")
 
 
-def outlinks(html: Column) -> Column:
-    return F.transform(F.regexp_extract_all(visible(html), F.lit(LINK), F.lit(1)), lambda x: F.regexp_replace(unescape(x), r"[\r\n]+", ""))
+def outlinks(seen: Column) -> Column:
+    return F.transform(F.regexp_extract_all(seen, F.lit(LINK), F.lit(1)), lambda x: F.regexp_replace(unescape(x), r"[\r\n]+", ""))
 
 
 def digest(content: Column) -> Column:
     """``sha1:`` and the digest in base 32, five bits a character."""
-    hexed = F.sha1(content.cast("binary"))
-    groups = [F.lpad(F.conv(F.substring(hexed, 5 * i + 1, 5), 16, 32), 4, "0") for i in range(8)]
-    return F.concat(F.lit("sha1:"), F.translate(F.concat(*groups), "0123456789ABCDEFGHIJKLMNOPQRSTUV", BASE32))
+    groups = F.regexp_extract_all(F.sha1(content.cast("binary")), F.lit(".{5}"), F.lit(0))
+    letters = F.array_join(F.transform(groups, lambda g: F.lpad(F.conv(g, 16, 32), 4, "0")), "")
+    return F.concat(F.lit("sha1:"), F.translate(letters, "0123456789ABCDEFGHIJKLMNOPQRSTUV", BASE32))
 
 
 def identifier(*parts: Column) -> Column:
     """A record id drawn from the digest of its parts, so that a repeated run gives the same."""
     h = F.md5(F.concat_ws("\n", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]).cast("binary"))
-    pieces = [F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
-    return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *pieces), F.lit(">"))
+    return F.regexp_replace(h, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "<urn:uuid:$1-$2-$3-$4-$5>")
 
 
 def responses(pages: DataFrame, crawled: str = CRAWLED) -> DataFrame:
@@ -103,9 +102,14 @@ def derivatives(source: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     in ``keep`` are carried along, others are not read. Row by row, no shuffle.
     """
     payload = F.coalesce("payload", F.lit(""))
-    base = source.select(
+    # computed once, both the text and the links read it
+    seen = source.select(
         *keep, "record_id", "target_uri", "date", F.coalesce("http_headers", F.array().cast("array<string>")).alias("http_headers"),
-        plain_text(payload).alias("text"), outlinks(payload).alias("links"), digest(payload).alias("source_digest"),
+        visible(payload).alias("seen"), digest(payload).alias("source_digest"),
+    )
+    base = seen.select(
+        *keep, "record_id", "target_uri", "date", "http_headers", "source_digest",
+        plain_text(F.col("seen")).alias("text"), outlinks(F.col("seen")).alias("links"),
         identifier(F.lit("conversion"), F.col("record_id")).alias("conversion_id"), identifier(F.lit("metadata"), F.col("record_id")).alias("metadata_id"),
     )
     lines = F.concat(
@@ -148,12 +152,6 @@ def write_records(records: DataFrame, path: str) -> None:
     records.select("record").write.mode("overwrite").option("lineSep", "\r\n\r\n").text(path)
 
 
-def _sql_visible(html: str) -> str:
-    for pattern in [COMMENT, *HIDDEN_ELEMENTS]:
-        html = f"regexp_replace({html}, '{pattern}', ' ', 'g')"
-    return html
-
-
 def _sql_unescape(text: str) -> str:
     character = """CASE WHEN regexp_matches(p, '%s') THEN
       chr(CAST(CASE WHEN (c > 0 AND c < 55296) OR (c > 57343 AND c < 1114112) THEN c ELSE 65533 END AS INTEGER)) || regexp_replace(p, '^[^;]*;', '')
@@ -183,12 +181,12 @@ SQL = f"""
 WITH src AS (
   SELECT page_id, {_sql_id("'response' || chr(10) || coalesce(CAST(page_id AS VARCHAR), '') || chr(10) || coalesce(url, '') || chr(10) || sha1(coalesce(html, ''))")} AS refers_to,
     regexp_replace(url, '[\\r\\n]+', '', 'g') AS target_uri, coalesce(html, '') AS payload FROM pages),
-seen AS (SELECT *, {_sql_visible('payload')} AS visible, {_sql_digest('payload')} AS source_digest,
+seen AS (SELECT *, regexp_replace(payload, '{UNSEEN}', ' ', 'g') AS visible, {_sql_digest('payload')} AS source_digest,
     {_sql_id("'conversion' || chr(10) || refers_to")} AS conversion_id, {_sql_id("'metadata' || chr(10) || refers_to")} AS metadata_id FROM src),
-t1 AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(visible, '[\\t\\f\\r\\n ]+', ' ', 'g'), '{BREAK_TAG}', chr(10), 'g'), '{TAG}', '', 'g') AS bare,
+t1 AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(visible, '{RUN}', ' ', 'g'), '{BREAK_TAG}', chr(10), 'g'), '{TAG}', '', 'g') AS bare,
     regexp_extract_all(visible, '{_LINK}', 1) AS hrefs FROM seen),
 t2 AS (SELECT *, {_sql_unescape('bare')} AS text_, list_transform(hrefs, lambda x: regexp_replace({_sql_unescape('x')}, '[\\r\\n]+', '', 'g')) AS links FROM t1),
-t3 AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(text_, '[\\t\\f\\r ]+', ' ', 'g'), ' ?\\n[ \\n]*', chr(10), 'g'), '^[ \\n]+|[ \\n]+\\z', '', 'g') AS text FROM t2),
+t3 AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(text_, '{LINE_RUN}', ' ', 'g'), ' ?\\n[ \\n]*', chr(10), 'g'), '^[ \\n]+|[ \\n]+\\z', '', 'g') AS text FROM t2),
 made AS (
   SELECT page_id, 'metadata' AS warc_type, metadata_id AS warc_record_id, refers_to, target_uri, 'application/warc-fields' AS content_type, source_digest,
     array_to_string(list_concat(['source-header: HTTP/1.1 200 OK', 'source-header: Content-Type: text/html; charset=utf-8', 'source-header: Content-Length: ' || octet_length(encode(payload)),
