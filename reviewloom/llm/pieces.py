@@ -23,6 +23,46 @@ UNIGRAM, PAIRS = 1, 2
 REMEMBERED = 300_000
 REMEMBERED_CHARS = 64
 ROWS_AT_ONCE = 256
+SIDE_BY_SIDE = 4096
+SLOT_BITS, PAIR_BITS = 18, 21
+# characters without a piece are numbered from here
+UNKNOWN_ID = 1 << 24
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_SPREAD = np.uint64(0xD6E8FEB86659FD93)
+
+
+class Slots:
+    """Numbers >= 0 or -2 by 64-bit key, looked up for whole arrays at once; open addressing, at most half full."""
+
+    def __init__(self, bits: int):
+        self.shift, self.mask, self.n = np.uint64(64 - bits), (1 << bits) - 1, 0
+        self.keys = np.zeros(1 << bits, np.uint64)
+        self.values = np.full(1 << bits, -1, np.int32)
+
+    def full(self) -> bool:
+        return 2 * self.n > self.mask
+
+    def add(self, key: int, value: int) -> None:
+        if self.full() or not key:
+            raise ValueError("a larger table or another factor is needed")
+        slot = (key * int(_SPREAD)) % (1 << 64) >> int(self.shift)
+        while self.keys[slot] and self.keys[slot] != key:
+            slot = (slot + 1) & self.mask
+        self.n += not self.keys[slot]
+        self.keys[slot], self.values[slot] = key, value
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key, -1 where there is none."""
+        slot = ((keys * _SPREAD) >> self.shift).astype(np.int64)
+        out = np.full(len(keys), -1, np.int64)
+        rest = np.arange(len(keys))
+        while len(rest):
+            here = self.keys[slot]
+            hit = here == keys[rest]
+            out[rest[hit]] = self.values[slot[hit]]
+            on = ~hit & (here != 0)
+            rest, slot = rest[on], (slot[on] + 1) & self.mask
+        return out
 
 
 class PieceModel:
@@ -56,6 +96,8 @@ class PieceModel:
         self.penalty = min(self.scores.values(), default=0.0) - 10.0
         self.ends = {p[i:] for p in self.ids for i in range(len(p))}
         self._stands: dict[tuple[str, str], bool] = {}
+        self.pairs_known = Slots(PAIR_BITS)
+        self._fill_slots()
         # where no piece can reach across, every path has a boundary: before a space mark that follows other text,
         # and around control characters that no piece holds
         alphabet = set().union(*self.ids) if self.ids else set()
@@ -120,15 +162,6 @@ class PieceModel:
         totals.append(best)
         return chosen
 
-    def pieces(self, span: str) -> list[str]:
-        """The pieces of a span; what fits into the window needs no commits on the way."""
-        if not self.pairs or len(span) > 4 * self.longest:
-            return list(self.stream(span))
-        lens = [0]
-        for p in range(1, len(span) + 1):
-            lens.append(self._step_pairs(span, p, lens, ""))
-        return self._walk(span, lens, len(span))
-
     def stream(self, characters) -> Iterator[str]:
         """The pieces of a span read character by character, each as soon as no later text can change it."""
         text, lens, totals, before, p = "", [0], [0.0], "", 0
@@ -165,16 +198,121 @@ class PieceModel:
 
     def ids_of(self, span: str) -> list[int]:
         out: list[int] = []
-        for piece in self.pieces(span):
+        for piece in self.stream(span):
             known = self.ids.get(piece)
             if known is not None:
                 out.append(known)
-            elif self.bytes:
-                out.extend(self.bytes[b] for b in piece.encode())
-            elif not out or out[-1] != self.unknown:
-                out.append(self.unknown)
+            else:
+                self._add_unknown(out, piece)
+        return out
+
+    def _add_unknown(self, out: list[int], character: str) -> None:
+        if self.bytes:
+            out.extend(self.bytes[b] for b in character.encode())
+        elif not out or out[-1] != self.unknown:
+            out.append(self.unknown)
+
+    def packed_many(self, spans: list[str]) -> list[bytes]:
+        """``ids_of`` as int32 for many spans: short ones of merged pairs go through the same search side by side."""
+        out = [b""] * len(spans)
+        short = [i for i, s in enumerate(spans) if self.pairs and len(s) <= 2 * self.longest]
+        for i in set(range(len(spans))).difference(short):
+            out[i] = np.array(self.ids_of(spans[i]), np.int32).tobytes()
+        short.sort(key=lambda i: len(spans[i]))
+        for lo in range(0, len(short), SIDE_BY_SIDE):
+            part = short[lo : lo + SIDE_BY_SIDE]
+            for i, ids in zip(part, self._side_by_side([spans[i] for i in part])):
+                out[i] = ids
         return out
 
+    def _side_by_side(self, spans: list[str]) -> list[bytes]:
+        """One backpointer for each position of each span, as ``stream`` finds them, column by column."""
+        n, longest = len(spans), max(map(len, spans))
+        sizes = np.array([len(s) for s in spans])
+        codes = np.zeros((n, longest), np.uint64)
+        codes[np.arange(longest) < sizes[:, None]] = np.frombuffer("".join(spans).encode("utf-32-le"), np.uint32)
+        flat = codes.ravel()
+        # pieces[k][:, p]: the piece of k + 1 characters that ends with character p, -1 if there is none; only places
+        # where that many characters end some piece are looked at
+        pieces, at, column = [], np.flatnonzero(flat), np.tile(np.arange(longest), n)
+        hashes, power = np.zeros(len(at), np.uint64), 1
+        for k in range(min(self.longest, longest)):
+            inside = column[at] >= k
+            at = at[inside]
+            hashes = hashes[inside] + (flat[at - k] + np.uint64(1)) * np.uint64(power)
+            power = power * int(_FACTOR) % (1 << 64)
+            found = self.slots.find(hashes)
+            here = np.full(n * longest, -1, np.int64)
+            # a character without a piece stands for itself
+            here[at] = np.where(found < 0, UNKNOWN_ID + flat[at].astype(np.int64), found) if k == 0 else found
+            pieces.append(here.reshape(n, longest))
+            alive = found != -1
+            at, hashes = at[alive], hashes[alive]
+        last = np.full((n, longest + 1), -1, np.int64)
+        back = np.zeros((n, longest + 1), np.int64)
+        for p in range(1, longest + 1):
+            open_ = np.flatnonzero(sizes >= p)
+            for k in range(min(self.longest, p) - 1, -1, -1):
+                right = pieces[k][open_, p - 1]
+                place = np.flatnonzero(right >= 0)
+                if not len(place):
+                    continue
+                rows, right = open_[place], right[place]
+                good = self._stand_many(last[rows, p - k - 1], right)
+                last[rows[good], p], back[rows[good], p] = right[good], k + 1
+                open_ = np.delete(open_, place[good])
+        return self._walk_back(last, back, sizes)
+
+    def _walk_back(self, last: np.ndarray, back: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+        columns, rows, place = [], np.arange(len(sizes)), sizes.copy()
+        while place.any():
+            columns.append(np.where(place > 0, last[rows, place], -1))
+            place -= back[rows, place]
+        ids = np.stack(columns[::-1], 1)
+        first = (ids < 0).sum(1).tolist()
+        unknown = (ids >= UNKNOWN_ID).any(1).tolist()
+        packed = ids.astype(np.int32)
+        return [self._spelled(ids[i, a:].tolist()) if unknown[i] else packed[i, a:].tobytes() for i, a in enumerate(first)]
+
+    def _spelled(self, found: list[int]) -> bytes:
+        out: list[int] = []
+        for i in found:
+            if i < UNKNOWN_ID:
+                out.append(i)
+            else:
+                self._add_unknown(out, chr(i - UNKNOWN_ID))
+        return np.array(out, np.int32).tobytes()
+
+    def _fill_slots(self) -> None:
+        self.names = {i: p for p, i in self.ids.items()}
+        self.slots, seen = Slots(SLOT_BITS), set()
+        for end in self.ends:
+            h, power = 0, 1
+            for c in reversed(end):
+                h, power = (h + (ord(c) + 1) * power) % (1 << 64), power * int(_FACTOR) % (1 << 64)
+            if h in seen:
+                raise ValueError("two pieces share a hash; choose another factor")
+            seen.add(h)
+            # ends of pieces that are none themselves get -2
+            self.slots.add(h, self.ids.get(end, -2))
+
+    def _name(self, i: int) -> str:
+        return "" if i < 0 else self.names[i] if i < UNKNOWN_ID else chr(i - UNKNOWN_ID)
+
+    def _stand_many(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = ((left + 1) << 32 | right).astype(np.uint64)
+        good = self.pairs_known.find(keys)
+        new = np.unique(keys[good == -1])
+        if len(new):
+            for k in new.tolist():
+                if self.pairs_known.full():
+                    self.pairs_known = Slots(PAIR_BITS)
+                stands = self._stand(self._name((k >> 32) - 1), self._name(k & 0xFFFFFFFF))
+                self.pairs_known.add(k, int(stands))
+            # a table that was emptied on the way lacks the earlier ones
+            return self._stand_many(left, right)
+        return good == 1
+
     def spans(self, text: str) -> list[str]:
         return self.cut(self.prefix + text.replace(" ", SPACE)) if text else []
 
@@ -191,19 +329,18 @@ class Encoder(dict):
         super().__init__()
         self.model, self.old = model, {}
 
-    def __missing__(self, span: str) -> bytes:
-        ids = self.old.get(span)
-        if ids is None:
-            ids = np.array(self.model.ids_of(span), np.int32).tobytes()
-        if len(span) <= REMEMBERED_CHARS:
-            if len(self) >= REMEMBERED:
-                self.old = dict(self)
-                self.clear()
-            self[span] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self.model.spans(text)))
+    def encode(self, texts: list[str]) -> list[bytes]:
+        spans = [self.model.spans(t) for t in texts]
+        missing = set().union(*spans).difference(self) if spans else set()
+        new = {s: ids for s in missing if (ids := self.old.get(s)) is not None}
+        rest = list(missing.difference(new))
+        new |= zip(rest, self.model.packed_many(rest))
+        self.update(new)
+        out = [b"".join(map(self.__getitem__, s)) for s in spans]
+        if len(self) >= REMEMBERED:
+            self.old = {s: ids for s, ids in self.items() if len(s) <= REMEMBERED_CHARS}
+            self.clear()
+        return out
 
 
 def _definition(path: str) -> bytes:
@@ -230,7 +367,7 @@ def encode(documents: DataFrame, text: str = "text", out: str = "ids", model: st
             for lo in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(lo, ROWS_AT_ONCE)
                 texts = part[source].to_pylist()
-                packed = [encoder.encode(t) if t else b"" for t in texts]
+                packed = encoder.encode([t or "" for t in texts])
                 offsets = pa.array([None if t is None else n for t, n in zip(texts, accumulate([0, *(len(x) // 4 for x in packed)]))] + [sum(map(len, packed)) // 4], pa.int32())
                 ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(packed), np.int32)))
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, out])

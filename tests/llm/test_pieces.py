@@ -7,6 +7,7 @@ import pytest
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2 as pb
 
+from reviewloom.llm import pieces
 from reviewloom.llm.pieces import MODEL, PieceModel, decode, encode, encoded
 
 ODD = [
@@ -36,6 +37,17 @@ def test_ids_are_the_librarys(model, library):
         assert ids(model, text) == library.encode(text), repr(text)
 
 
+def test_side_by_side_agrees(model, library, monkeypatch):
+    draw = random.Random(6)
+    spans = ["▁" + "".join(draw.choices("aetinosrhñé中1.!x", k=draw.randint(0, 40))) for _ in range(3000)] + ["▁", "▁▁▁", "x"]
+    assert [list(memoryview(b).cast("i")) for b in model.packed_many(spans)] == [model.ids_of(s) for s in spans]
+    monkeypatch.setattr(pieces, "REMEMBERED", 50)
+    encoder, texts = pieces.Encoder(model), [" ".join(spans[i : i + 40]).replace("▁", "") for i in range(0, 3000, 40)]
+    for lo in range(0, len(texts), 5):
+        got = [list(memoryview(b).cast("i")) for b in encoder.encode(texts[lo : lo + 5])]
+        assert got == [library.encode(t) for t in texts[lo : lo + 5]]
+
+
 def test_streaming_commits_before_the_end_and_agrees(model, library):
     text = "".join(random.Random(9).choices("theandoringtions", k=6000))
     seen = 0
