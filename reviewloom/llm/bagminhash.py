@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewloom.llm.registry import query, table
+from reviewloom.llm.registry import query, sheltered, table
 from reviewloom.llm.textbytes import LOWER, WORD, chunks, gram_hashes, mix, span_hashes, spans
 from reviewloom.plans.skew import join_small
 from reviewloom.session import scratch_path, settle
@@ -292,7 +292,7 @@ def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
 def deduplicated(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One document, all columns, of each class."""
-    return classes(documents, similarity).filter("_keep").drop("_class", "_size", "_keep")
+    return sheltered(documents, lambda rows: classes(rows, similarity).filter("_keep"))
 
 
 @query("op8_bagminhash_classes")

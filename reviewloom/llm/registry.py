@@ -41,3 +41,10 @@ def load_all() -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def sheltered(documents: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Apply a filter that adds helper columns of its own, whatever the other columns of ``documents`` are called."""
+    names = documents.columns
+    plain = documents.toDF(*[c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(names)])
+    return keep(plain).select(*plain.columns).toDF(*names)

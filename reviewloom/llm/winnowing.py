@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewloom.llm.registry import query, table
+from reviewloom.llm.registry import query, sheltered, table
 from reviewloom.llm.textbytes import LOWER, WORD, chunks, gram_hashes, span_hashes, spans
 from reviewloom.session import settle
 
@@ -215,8 +215,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents, all columns, in which no window of the benchmark occurs."""
-    found = find_contamination(documents, benchmark)
-    return found.filter(F.size("_found.spans") == 0).drop("_found")
+    return sheltered(documents, lambda rows: find_contamination(rows, benchmark).filter(F.size("_found.spans") == 0))
 
 
 _WORDS = (
