@@ -43,6 +43,7 @@ HEADLINE = [
     "M01_search_then_filter",
     "M06_hierarchical_summary",
     "M10_feature_skew",
+    "M12_batch_scoring",
     "CH2_clean_reviews",
     "CH3_training_chain",
     "CH5_document_chain",

@@ -110,10 +110,20 @@ def personal_data_flag(t):
     return t.documents.select("doc_id", quality.pii_flag("text").alias("pii_flag"))
 
 
-@query("I06_emoji", f"SELECT page_id AS row_id FROM pages WHERE regexp_matches(html, '{C.EMOJI_WIDE}') UNION ALL SELECT doc_id FROM documents WHERE regexp_matches(text, '{C.EMOJI_WIDE}')")
+_WITH_EMOJI = "CASE doc_id % 6 WHEN 0 THEN text || ' 🤣' WHEN 1 THEN '✂' || text WHEN 2 THEN '🇩🇪' ELSE text END"
+
+
+@query(
+    "I06_emoji",
+    f"""SELECT page_id AS row_id FROM pages WHERE regexp_matches(html, '{C.EMOJI_WIDE}')
+    UNION ALL SELECT doc_id FROM documents WHERE regexp_matches({_WITH_EMOJI}, '{C.EMOJI_WIDE}')""",
+)
 def emoji(t):
+    """Half of the documents carry an emoji: behind the text, before it, or alone."""
+    kind = F.col("doc_id") % 6
+    text = F.when(kind == 0, F.concat("text", F.lit(" 🤣"))).when(kind == 1, F.concat(F.lit("✂"), "text")).when(kind == 2, "🇩🇪").otherwise(F.col("text"))
     rows = t.pages.select(F.col("page_id").alias("row_id"), F.col("html").alias("text")).unionByName(
-        t.documents.select(F.col("doc_id").alias("row_id"), "text")
+        t.documents.select(F.col("doc_id").alias("row_id"), text.alias("text"))
     )
     return quality.row_violations(rows, PROFILE, ["emoji"]).select("row_id")
 
@@ -248,6 +258,42 @@ def all_violations(t):
     return found.select(name.alias("check"), "row_id").distinct()
 
 
+def _badly_typed(t):
+    """Events without a declared column and with values that don't convert."""
+    user = F.when(F.col("event_id") % 3 == 0, "x").otherwise(F.col("user_id").cast("string"))
+    return t.events.select(F.col("event_id").alias("row_id"), user.alias("user_id"), F.lit("long enough").alias("text"))
+
+
+_DECLARED = "row_id bigint, user_id bigint, text string, value double"
+_SCHEMA_REPORT = f"""SELECT "check", CASE "check" WHEN 'schema_validation' THEN 1 + CAST((SELECT count(*) > 0 FROM events WHERE event_id % 3 = 0) AS BIGINT)
+    WHEN 'rough' THEN (SELECT count(*) FROM events)
+    WHEN 'missing_duplicates' THEN (SELECT count(*) - count(DISTINCT CASE WHEN event_id % 3 = 0 THEN 'x' ELSE CAST(user_id AS VARCHAR) END) FROM events) ELSE 0 END AS n_flagged FROM (SELECT unnest([{S.quoted([*quality.REPORT_CHECKS, 'rough'])}]) AS "check")"""
+
+
+def _schema_report(t):
+    """The declared schema is checked, and a check that isn't listed keeps its place in the report."""
+    rows = _badly_typed(t)
+    found = quality.violations(rows, PROFILE, ["range"], from_ddl(_DECLARED))
+    other = rows.select(F.lit("rough").alias("check"), F.lit("text").alias("column"), "row_id", F.lit("any").alias("detail"))
+    return quality.report(found.unionByName(other))
+
+
+@query("I18_schema_report", f"""SELECT "check", n_flagged, n_flagged = 0 AS status FROM ({_SCHEMA_REPORT})""")
+def schema_report(t):
+    return _schema_report(t)
+
+
+@query("I19_failing_gate", f"""SELECT string_agg("check", ',' ORDER BY "check") AS stopped_by FROM ({_SCHEMA_REPORT}) WHERE n_flagged > 0 AND "check" = 'schema_validation'""")
+def failing_gate(t):
+    """The gate raises on the broken schema; what it names is the result."""
+    result = _schema_report(t)
+    try:
+        quality.stop_on_failure(result, "schema")
+    except quality.ValidationError:
+        return result.filter("not status and check = 'schema_validation'").agg(F.array_join(F.array_sort(F.collect_list("check")), ",").alias("stopped_by"))
+    return result.select(F.lit(None).cast("string").alias("stopped_by")).limit(1)
+
+
 @query("I19_stop_on_failure", f"WITH {S.JOINED}, {REPORT_SQL}")
 def stop_on_failure(t):
     """The schema check passed, so the report goes through."""

@@ -259,6 +259,15 @@ def encode_labels(t):
     return features.encode_labels(t.part.select("p_partkey", "p_type"), "p_type")
 
 
+@query(
+    "B26_encode_many_labels",
+    "SELECT c_name, c_custkey, CAST(dense_rank() OVER (ORDER BY c_name) - 1 AS INTEGER) AS label FROM customer",
+)
+def encode_many_labels(t):
+    """As many classes as customers."""
+    return features.encode_labels(t.customer.select("c_name", "c_custkey"), "c_name")
+
+
 @query(
     "B27_logits_to_prediction",
     """WITH l AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) * 5 AS a, CAST(embedding[2] AS DOUBLE) * 5 AS b, CAST(embedding[3] AS DOUBLE) * 5 AS c FROM embeddings),

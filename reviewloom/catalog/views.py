@@ -33,9 +33,9 @@ def analyses(t) -> DataFrame:
     )
 
 
-# near-JSON in the six damaged forms the repair knows, one per event
+# near-JSON in the six damaged forms the repair knows, repeated keys and text after the value, one per event
 BROKEN = """broken AS (
-  SELECT event_id, CASE event_id % 8
+  SELECT event_id, CASE event_id % 10
     WHEN 0 THEN '{"a": {"v": ' || event_id || '} {"w": 1}}'
     WHEN 1 THEN '{"a": {"v": ' || event_id || '} "b": 2}'
     WHEN 2 THEN '{a: ' || event_id || ', b : "x"}'
@@ -43,6 +43,8 @@ BROKEN = """broken AS (
     WHEN 4 THEN '{"a": {"v": ' || event_id || '}'
     WHEN 5 THEN '{"a": ' || event_id || '}}}'
     WHEN 6 THEN '{"p": {"Performance":  {"s": "' || event_type || '"} }, "b": ' || event_id || '}\\n'
+    WHEN 7 THEN '{"a": 0, "a": ' || event_id || '}'
+    WHEN 8 THEN '{"a": ' || event_id || '} and more'
     ELSE 'no json ' || event_type END AS analysis FROM events)"""
 
 
@@ -56,7 +58,9 @@ def broken(t) -> DataFrame:
         F.concat(F.lit('{"a": {"v": '), n, F.lit("}")),
         F.concat(F.lit('{"a": '), n, F.lit("}}}")),
         F.concat(F.lit('{"p": {"Performance":  {"s": "'), "event_type", F.lit('"} }, "b": '), n, F.lit("}\\n")),
+        F.concat(F.lit('{"a": 0, "a": '), n, F.lit("}")),
+        F.concat(F.lit('{"a": '), n, F.lit("} and more")),
         F.concat(F.lit("no json "), "event_type"),
     ]
-    picked = F.element_at(F.array(*forms), (F.col("event_id") % 8 + 1).cast("int"))
+    picked = F.element_at(F.array(*forms), (F.col("event_id") % 10 + 1).cast("int"))
     return t.events.select("event_id", picked.alias("analysis"))

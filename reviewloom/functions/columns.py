@@ -58,7 +58,10 @@ def narrow_types(df: DataFrame) -> DataFrame:
 
 def price_text(c) -> Column:
     c = _col(c)
-    return F.when(c.isNull() | (c.cast("string") == "NULL"), "unknown").otherwise(c.cast("string"))
+    plain = c.cast("string")
+    # beyond seven digits and below a thousandth a double is written with an exponent
+    digits = F.regexp_replace(F.regexp_replace(plain.try_cast("decimal(38,18)").cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", ".0")
+    return F.when(c.isNull() | (plain == "NULL"), "unknown").when(plain.rlike(r"^-?\d\.\d+E-?\d+$"), F.coalesce(digits, plain)).otherwise(plain)
 
 
 def number_or_null(c, kind: str = "double") -> Column:

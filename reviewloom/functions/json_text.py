@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ANALYSIS_TYPE = "struct<product_summaries:map<string,map<string,struct<sentiment:string,summary:string>>>>"
+FINDING = "struct<sentiment:string,summary:string>"
 
 # The rewrites, in their order. Each entry is (pattern, replacement).
 REWRITES = [
@@ -45,7 +45,16 @@ def balanced(c) -> Column:
 
 
 def is_json(c) -> Column:
-    return F.try_parse_json(_col(c)).isNotNull()
+    """Exactly one JSON value: repeated keys are fine, text after the value is not.
+
+    The parser stops after a value, so the text is tried as the only entry of a list, and, for a text that closes the
+    list itself, inside an object.
+    """
+    listed = F.when(
+        F.try_parse_json(F.concat(F.lit('{"v":'), _col(c), F.lit("\n}"))).isNotNull(), F.try_parse_json(F.concat(F.lit("["), _col(c), F.lit("\n]")))
+    )
+    alone = F.try_variant_get(listed, "$[0]", "variant").isNotNull() & F.try_variant_get(listed, "$[1]", "variant").isNull()
+    return F.coalesce(alone, F.lit(False))
 
 
 def repair_json(df: DataFrame, col: str = "analysis") -> DataFrame:
@@ -59,13 +68,29 @@ def repair_json(df: DataFrame, col: str = "analysis") -> DataFrame:
 
 
 def flatten_summaries(df: DataFrame, col: str = "analysis") -> DataFrame:
-    """One row per (product type, aspect) of the nested summaries."""
+    """One row per (product type, aspect) of the nested summaries.
+
+    JSON text is taken apart level by level, so an entry of another form is skipped by itself.
+    """
     kept = [c for c in df.columns if c != col]
-    parsed = df.withColumn(col, F.from_json(col, ANALYSIS_TYPE)) if dict(df.dtypes)[col] == "string" else df
-    per_type = parsed.select(*kept, F.explode(f"{col}.product_summaries").alias("product_type", "aspects"))
-    return per_type.select(*kept, "product_type", F.explode("aspects").alias("aspect", "finding")).select(
-        *kept, "product_type", "aspect", "finding.sentiment", "finding.summary"
-    )
+    if dict(df.dtypes)[col] == "string":
+        per_type = df.select(*kept, F.explode(entries(F.get_json_object(col, "$.product_summaries"))).alias("product_type", "aspects"))
+        found = per_type.select(*kept, "product_type", F.explode(entries("aspects")).alias("aspect", "finding"))
+        found = found.withColumn("finding", finding("finding")).filter("finding is not null")
+    else:
+        per_type = df.select(*kept, F.explode(f"{col}.product_summaries").alias("product_type", "aspects"))
+        found = per_type.select(*kept, "product_type", F.explode("aspects").alias("aspect", "finding"))
+    return found.select(*kept, "product_type", "aspect", "finding.sentiment", "finding.summary")
+
+
+def entries(c) -> Column:
+    """The entries of a JSON object, each value as text; null for other values."""
+    return F.when(F.ltrim(_col(c)).startswith("{"), F.from_json(_col(c), "map<string,string>"))
+
+
+def finding(c) -> Column:
+    """Sentiment and summary of one entry; null when it isn't an object."""
+    return F.when(F.ltrim(_col(c)).startswith("{"), F.from_json(_col(c), FINDING))
 
 
 def flatten_predictions(df: DataFrame, col: str = "prediction") -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 from operator import add, or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.functions.constants import NEGATIVE, NEGATIVE_WORDS, NEUTRAL, POSITIVE, POSITIVE_WORDS
@@ -69,13 +69,32 @@ def compound(total) -> Column:
     return s / F.sqrt(s * s + F.lit(15.0))
 
 
-def valence_sum(text="text", lexicon: dict[str, float] | None = None) -> Column:
-    """Sum of word valences for a small lexicon held as a literal."""
-    table = lexicon or DEFAULT_LEXICON
-    pairs = [F.lit(x) for w, v in sorted(table.items()) for x in (w, float(v))]
-    lookup = F.create_map(*pairs)
+# words of a lexicon are dealt into so many short maps, since a map is searched entry by entry
+LEXICON_MAPS = 1024
+
+
+def _place(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(LEXICON_MAPS)).cast("int")
+
+
+def lexicon_maps(words: DataFrame) -> Column:
+    """A table (word, valence) as one value: an array of short maps. Repeated words add up; null words don't count."""
+    known = words.filter("word is not null").groupBy("word").agg(F.sum(F.col("valence").cast("double")).alias("valence"))
+    short = known.groupBy(_place(F.col("word")).alias("_at")).agg(F.map_from_entries(F.collect_list(F.struct("word", "valence"))).alias("_map"))
+    return short.agg(F.map_from_entries(F.collect_list(F.struct("_at", "_map"))).alias("maps")).select(
+        F.transform(F.sequence(F.lit(0), F.lit(LEXICON_MAPS - 1)), lambda i: F.try_element_at("maps", i)).alias("maps")
+    ).scalar()
+
+
+def valence_sum(text="text", lexicon: dict[str, float] | None = None, maps=None) -> Column:
+    """Sum of word valences: of a short literal lexicon, or of ``maps``, a column from ``lexicon_maps``."""
     found = tokens(F.lower(F.coalesce(_col(text), F.lit(""))))
-    return F.aggregate(found, F.lit(0.0), lambda acc, t: acc + F.coalesce(F.try_element_at(lookup, t), F.lit(0.0)))
+    if maps is not None:
+        value = lambda t: F.try_element_at(F.get(_col(maps), _place(t)), t)
+    else:
+        lookup = F.create_map(*[F.lit(x) for w, v in sorted((lexicon or DEFAULT_LEXICON).items()) for x in (w, float(v))])
+        value = lambda t: F.try_element_at(lookup, t)
+    return F.aggregate(found, F.lit(0.0), lambda acc, t: acc + F.coalesce(value(t), F.lit(0.0)))
 
 
 def score_label(score) -> Column:

@@ -13,11 +13,6 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions.constants import ASPECT_PHRASES, ASPECT_WORDS
 from reviewloom.functions.text import sentences, tokens
-from reviewloom.plans.skew import join_small
-
-
-# up to here a keyword table becomes part of the row expression
-LITERAL_KEYWORDS = 1000
 
 
 def aspect_table(seeds: Mapping[str, Sequence[str]] = ASPECT_WORDS, synonyms: Mapping[str, Sequence[str]] | None = None) -> dict:
@@ -26,15 +21,29 @@ def aspect_table(seeds: Mapping[str, Sequence[str]] = ASPECT_WORDS, synonyms: Ma
     return {a: sorted({*words, *(s for w in words for s in extra.get(w, ()))}) for a, words in seeds.items()}
 
 
-def keyword_table(pairs: DataFrame, max_pairs: int = LITERAL_KEYWORDS) -> dict | None:
-    """Aspect to keywords from a table of (aspect, keyword), or None when it is too long for an expression."""
-    rows = pairs.select("aspect", "keyword").distinct().limit(max_pairs + 1).collect()
-    if len(rows) > max_pairs:
-        return None
-    table: dict[str, list[str]] = {}
-    for r in sorted(rows):
-        table.setdefault(r["aspect"], []).append(r["keyword"])
-    return table
+# keywords of a table are dealt into so many short maps, since a map is searched entry by entry
+KEYWORD_MAPS = 1024
+
+
+def _place(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(KEYWORD_MAPS)).cast("int")
+
+
+def keyword_maps(pairs: DataFrame) -> Column:
+    """A table (aspect, keyword) as one value: short maps from a keyword to its aspects' numbers, and the aspect names.
+
+    Aspects go by name, or by ``aspect_no`` where the table has one.
+    """
+    order = "aspect_no" if "aspect_no" in pairs.columns else "aspect"
+    known = pairs.filter("aspect is not null and keyword is not null").groupBy("aspect").agg(F.min(order).alias("_order"), F.collect_set("keyword").alias("_words"))
+    listed = known.agg(F.array_sort(F.collect_list(F.struct("_order", "aspect", "_words"))).alias("_all"))
+    words = listed.select("_all", F.posexplode("_all").alias("_no", "_one")).select("_all", "_no", F.explode("_one._words").alias("word"))
+    numbers = words.groupBy("word").agg(F.array_sort(F.collect_list("_no")).alias("_nos"))
+    short = numbers.groupBy(_place(F.col("word")).alias("_at")).agg(F.map_from_entries(F.collect_list(F.struct("word", "_nos"))).alias("_map"))
+    maps = short.agg(F.map_from_entries(F.collect_list(F.struct("_at", "_map"))).alias("_maps"))
+    value = F.transform(F.sequence(F.lit(0), F.lit(KEYWORD_MAPS - 1)), lambda i: F.try_element_at("_maps", i))
+    names = listed.select(F.transform("_all", lambda x: x["aspect"]).alias("names")).scalar()
+    return F.struct(maps.select(value.alias("maps")).scalar().alias("maps"), names.alias("names"))
 
 
 def _marked_sentences(text: Column, lower: bool) -> Column:
@@ -42,6 +51,17 @@ def _marked_sentences(text: Column, lower: bool) -> Column:
     return F.transform(sentences(text), lambda s: F.struct(s.alias("s"), tokens(tested(s)).alias("t")))
 
 
+def _known_aspects(text: Column, lower: bool) -> Column:
+    """Sentences with the numbers of the aspects that their tokens are keywords of."""
+
+    def numbers(s: Column) -> Column:
+        said = F.array_distinct(tokens(F.lower(s) if lower else s))
+        held = F.transform(said, lambda t: F.coalesce(F.try_element_at(F.get(F.col("_known.maps"), _place(t)), t), F.array().cast("array<int>")))
+        return F.array_distinct(F.flatten(held))
+
+    return F.transform(sentences(text), lambda s: F.struct(s.alias("s"), numbers(s).alias("nos")))
+
+
 def _matching(marked: Column, keywords: Sequence[str]) -> Column:
     wanted = F.array(*[F.lit(k) for k in keywords])
     hits = F.filter(marked, lambda m: F.arrays_overlap(m["t"], wanted))
@@ -54,28 +74,31 @@ def tag_aspects(
     text: str = "text",
     lower: bool = False,
     per: str = "aspect",
-    row_id: str = "row_id",
-    max_pairs: int = LITERAL_KEYWORDS,
 ) -> DataFrame:
     """Rows per (review, aspect) with the joined matching sentences, in aspect order.
 
     A keyword matches a whole token, case-sensitively unless ``lower``.
     ``per="review"`` gives one row per review with its set of aspects instead.
-    A keyword table (aspect, keyword) past ``max_pairs`` is joined to the tokens.
+    A keyword table (aspect, keyword), in any length, is looked up inside the row as well; its aspects come in name
+    order, or by its column ``aspect_no``.
     """
+    kept = [c for c in df.columns]
     if isinstance(keywords, DataFrame):
-        table = keyword_table(keywords, max_pairs)
-        if table is None:
-            return _tag_by_join(df, keywords, text, lower, per, row_id)
+        marked = df.withColumn("_known", keyword_maps(keywords)).withColumn("_marked", _known_aspects(F.col(text), lower))
+        found = F.transform(
+            F.array_sort(F.array_distinct(F.flatten(F.transform("_marked", lambda m: m["nos"])))),
+            lambda no: F.struct(
+                no.alias("aspect_no"), F.get(F.col("_known.names"), no).alias("aspect"),
+                F.array_join(F.transform(F.filter("_marked", lambda m: F.array_contains(m["nos"], no)), lambda m: m["s"]), " ").alias("relevant_sentences"),
+            ),
+        )
     else:
-        table = keywords or ASPECT_WORDS
-    kept = [c for c in df.columns]
-    marked = df.withColumn("_marked", _marked_sentences(F.col(text), lower))
-    found = [
-        F.struct(F.lit(i).alias("aspect_no"), F.lit(a).alias("aspect"), _matching(F.col("_marked"), k).alias("relevant_sentences"))
-        for i, (a, k) in enumerate(table.items())
-    ]
-    hits = F.filter(F.array(*found), lambda h: h["relevant_sentences"] != "")
+        marked = df.withColumn("_marked", _marked_sentences(F.col(text), lower))
+        found = F.array(*[
+            F.struct(F.lit(i).alias("aspect_no"), F.lit(a).alias("aspect"), _matching(F.col("_marked"), k).alias("relevant_sentences"))
+            for i, (a, k) in enumerate((keywords or ASPECT_WORDS).items())
+        ])
+    hits = F.filter(found, lambda h: h["relevant_sentences"] != "")
     if per == "aspect":
         # the generator takes the expression itself: a column in between would
         # be filtered, and so computed, once more below it
@@ -88,23 +111,6 @@ def tag_aspects(
     )
 
 
-def _tag_by_join(df: DataFrame, pairs: DataFrame, text: str, lower: bool, per: str, row_id: str) -> DataFrame:
-    """The same rows for long keyword tables, aspects in name order."""
-    split = df.select(row_id, F.posexplode(sentences(F.col(text))).alias("_pos", "_sentence"))
-    tested = F.lower("_sentence") if lower else F.col("_sentence")
-    spoken = split.select(row_id, "_pos", "_sentence", F.explode(F.array_distinct(tokens(tested))).alias("keyword"))
-    found = join_small(spoken, pairs.select("aspect", "keyword").distinct(), "keyword").select(row_id, "aspect", "_pos", "_sentence").distinct()
-    tagged = found.groupBy(row_id, "aspect").agg(
-        F.expr("listagg(_sentence, ' ') within group (order by _pos)").alias("relevant_sentences")
-    )
-    if per == "review":
-        tagged = tagged.groupBy(row_id).agg(
-            F.expr("listagg(aspect, ', ') within group (order by aspect)").alias("matched_aspects"),
-            F.expr("listagg(relevant_sentences, ' ') within group (order by aspect)").alias("relevant_sentences"),
-        )
-    return df.join(tagged, row_id)
-
-
 def phrase_sentences(
     df: DataFrame, phrases: Mapping[str, Sequence[str]] | None = None, text: str = "text"
 ) -> DataFrame:

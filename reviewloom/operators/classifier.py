@@ -21,6 +21,15 @@ from reviewloom.session import settle
 NUMERIC = ["price", "price_missing", "helpful_vote", "verified_purchase"]
 
 
+# training stops here unless it has converged before
+MAX_ITER = 100
+
+
+def iterations(model: PipelineModel) -> int:
+    """Training steps of the fitted regression; below its limit it converged."""
+    return model.stages[-1].summary.totalIterations
+
+
 def classifier_input(features: DataFrame) -> DataFrame:
     return model_input(features).withColumn("tokens", tokens(F.lower("combined_text")))
 
@@ -35,24 +44,26 @@ def _training_rows(features: DataFrame, label: str, n_features: int) -> DataFram
     return settle(counted.select("tf", *NUMERIC, label))
 
 
-def _stages(label: str) -> list:
+def _stages(label: str, max_iter: int) -> list:
     return [
         IDF(inputCol="tf", outputCol="tfidf"),
         VectorAssembler(inputCols=["tfidf", *NUMERIC], outputCol="features"),
-        LogisticRegression(featuresCol="features", labelCol=label, maxIter=20, family="multinomial"),
+        LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter, family="multinomial"),
     ]
 
 
-def fit_classifier(features: DataFrame, label: str = "label", n_features: int = 4096) -> PipelineModel:
-    fitted = Pipeline(stages=_stages(label)).fit(_training_rows(features, label, n_features))
+def fit_classifier(features: DataFrame, label: str = "label", n_features: int = 4096, max_iter: int = MAX_ITER) -> PipelineModel:
+    """``iterations`` of the result tells whether training stopped at ``max_iter``."""
+    fitted = Pipeline(stages=_stages(label, max_iter)).fit(_training_rows(features, label, n_features))
     return PipelineModel(stages=[_hashing(n_features), *fitted.stages])
 
 
 def tune_classifier(
-    features: DataFrame, label: str = "label", n_features: int = 4096, penalties: Sequence[float] = (0.0, 0.01, 0.1), seed: int = 42
+    features: DataFrame, label: str = "label", n_features: int = 4096, penalties: Sequence[float] = (0.0, 0.01, 0.1), seed: int = 42,
+    max_iter: int = MAX_ITER,
 ) -> tuple[PipelineModel, dict[float, float]]:
     """Grid over the penalty by weighted F1 on a held-out fifth."""
-    stages = _stages(label)
+    stages = _stages(label, max_iter)
     grid = ParamGridBuilder().addGrid(stages[-1].regParam, list(penalties)).build()
     judge = MulticlassClassificationEvaluator(labelCol=label, metricName="f1")
     tuner = TrainValidationSplit(

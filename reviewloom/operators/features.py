@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.functions.columns import number_or_null
 from reviewloom.plans.skew import join_small
+from reviewloom.session import settle
 
 FIRST_COLUMNS = ("text", "price", "price_missing", "helpful_vote", "verified_purchase")
 
@@ -36,18 +37,20 @@ def model_input(df: DataFrame, name: str = "combined_text") -> DataFrame:
     return df.withColumn(name, F.concat_ws(" ", "title", "text"))
 
 
-def encode_labels(df: DataFrame, col: str = "sentiment_label", name: str = "label", max_classes: int = 500) -> DataFrame:
-    """Sorted distinct strings to 0..k-1.
+def encode_labels(df: DataFrame, col: str = "sentiment_label", name: str = "label") -> DataFrame:
+    """Sorted distinct strings to 0..k-1, null stays null.
 
-    A usual class list becomes a literal. A longer one is numbered by a
-    distributed sort and joined back.
+    The classes are sorted once over all tasks; a class's number is its place in its sorted part plus the sizes of the
+    parts before it, one row for each part.
     """
-    classes = df.select(col).filter(F.col(col).isNotNull()).distinct()
-    first = [r[0] for r in classes.limit(max_classes + 1).collect()]
-    if len(first) <= max_classes:
-        listed = F.array(*[F.lit(c) for c in sorted(first)]) if first else F.array().cast("array<string>")
-        place = F.array_position(listed, F.col(col)) - 1
-        return df.withColumn(name, F.when(place >= 0, place.cast("int")))
-    numbered = classes.orderBy(col).rdd.zipWithIndex().map(lambda x: (x[0][0], x[1]))
-    coded = df.sparkSession.createDataFrame(numbered, f"`{col}` string, `{name}` bigint")
-    return join_small(df, coded, col, "left")
+    classes = df.select(F.col(col).alias("_class")).filter(F.col("_class").isNotNull()).distinct()
+    # a part number in the upper and a place in the lower 33 bits
+    placed = settle(classes.orderBy("_class").withColumn("_at", F.monotonically_increasing_id()))
+    place, part = F.col("_at").bitwiseAND((1 << 33) - 1), F.shiftright("_at", 33)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = settle(sizes.select("_part", before.alias("_before")))
+    coded = placed.join(F.broadcast(starts), part == F.col("_part")).select("_class", (place + F.col("_before")).cast("int").alias("_code"))
+    kept = [c for c in df.columns if c != name]
+    joined = join_small(df.withColumn("_class", F.col(col)), coded, "_class", "left")
+    return joined.select(*kept, F.col("_code").alias(name))

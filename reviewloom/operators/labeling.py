@@ -9,17 +9,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.functions.columns import label_name
-from reviewloom.functions.labels import DEFAULT_RULES, RULES, compound, lexicon_rule, score_label, valence_sum
-from reviewloom.functions.text import tokens
-from reviewloom.plans.skew import join_small
+from reviewloom.functions.labels import DEFAULT_RULES, RULES, compound, lexicon_maps, score_label, valence_sum
 
-SMALL_LEXICON = 200
 
-
-def label_matrix(df: DataFrame, rules: Sequence[str] | dict[str, Column] = tuple(DEFAULT_RULES)) -> DataFrame:
-    """One vote column per labelling rule."""
+def label_matrix(
+    df: DataFrame, rules: Sequence[str] | dict[str, Column] = tuple(DEFAULT_RULES), lexicon: dict[str, float] | DataFrame | None = None
+) -> DataFrame:
+    """One vote column per labelling rule; a given lexicon serves the rule of that name."""
     exprs = rules if isinstance(rules, dict) else {name: RULES[name]() for name in rules}
-    return df.withColumns(exprs)
+    out = df.withColumns(exprs)
+    if lexicon is not None and "lexicon" in exprs:
+        out = _with_valence(out, "text", lexicon, "lexicon", lambda v: score_label(compound(v)))
+    return out
 
 
 def vote_patterns(df: DataFrame, votes: Sequence[str]) -> DataFrame:
@@ -69,9 +70,11 @@ def apply_label_model(df: DataFrame, votes: Sequence[str], model: dict[tuple, in
     return df.withColumn(name, label_name(expr))
 
 
-def weak_labels(df: DataFrame, rules: Sequence[str] = tuple(DEFAULT_RULES), keep_votes: bool = False) -> DataFrame:
+def weak_labels(
+    df: DataFrame, rules: Sequence[str] = tuple(DEFAULT_RULES), keep_votes: bool = False, lexicon: dict[str, float] | DataFrame | None = None
+) -> DataFrame:
     """Votes, fitted label model and its label in one step."""
-    matrix = label_matrix(df, rules)
+    matrix = label_matrix(df, rules, lexicon)
     labelled = apply_label_model(matrix, rules, fit_label_model(matrix, rules))
     return labelled if keep_votes else labelled.drop(*rules)
 
@@ -87,30 +90,29 @@ def majority_label(df: DataFrame, votes: Sequence[str], name: str = "majority",
 
 
 def lexicon_label(
-    df: DataFrame, lexicon: dict[str, float] | DataFrame | None = None, text: str = "text",
-    name: str = "sentiment_label", row_id: str = "row_id",
+    df: DataFrame, lexicon: dict[str, float] | DataFrame | None = None, text: str = "text", name: str = "sentiment_label",
 ) -> DataFrame:
-    """Compound lexicon score and its label.
+    """Compound lexicon score and its label, row by row: no id is needed, no column moves.
 
-    A short lexicon is a literal inside the row expression. A table (word,
-    valence) is joined to the tokens instead, and only matching tokens are summed.
+    The built-in lexicon is a literal. A given one, a mapping or a table (word, valence), becomes one value of short
+    maps that every row reads; a lexicon is bounded by its language's words.
     """
-    if isinstance(lexicon, dict) and len(lexicon) > SMALL_LEXICON:
-        pairs = [(w, float(v)) for w, v in lexicon.items()]
-        lexicon = df.sparkSession.createDataFrame(pairs, "word string, valence double")
-    if not isinstance(lexicon, DataFrame):
-        scored = df.withColumn("compound", compound(valence_sum(text, lexicon)))
-    else:
-        found = df.select(row_id, F.explode(tokens(F.lower(text))).alias("word"))
-        sums = join_small(found, lexicon, "word").groupBy(row_id).agg(F.sum("valence").alias("_sum"))
-        scored = df.join(sums, row_id, "left").withColumn("compound", compound(F.coalesce("_sum", F.lit(0.0)))).drop("_sum")
-    return scored.withColumn(name, label_name(score_label("compound")))
+    return _with_valence(df, text, lexicon, "compound", compound).withColumn(name, label_name(score_label("compound")))
+
+
+def _with_valence(df: DataFrame, text: str, lexicon: dict[str, float] | DataFrame | None, name: str, of) -> DataFrame:
+    """Add ``of`` the valence sum of a text."""
+    if lexicon is None:
+        return df.withColumn(name, of(valence_sum(text)))
+    if isinstance(lexicon, dict):
+        lexicon = df.sparkSession.createDataFrame([(w, float(v)) for w, v in lexicon.items()], "word string, valence double")
+    return df.withColumn("_maps", lexicon_maps(lexicon)).withColumn(name, of(valence_sum(text, maps="_maps"))).drop("_maps")
 
 
 def label_by_rating(df: DataFrame, label: str = "sentiment_label", rating: str = "rating") -> DataFrame:
     return df.groupBy(label, rating).agg(F.count(F.lit(1)).alias("n"))
 
 
-def aspect_labels(df: DataFrame, lexicon: dict[str, float] | None = None) -> DataFrame:
+def aspect_labels(df: DataFrame, lexicon: dict[str, float] | DataFrame | None = None) -> DataFrame:
     """Lexicon label of each aspect row's sentences; every row gets one."""
-    return df.withColumn("sentiment_label", label_name(lexicon_rule("relevant_sentences", lexicon)))
+    return _with_valence(df, "relevant_sentences", lexicon, "sentiment_label", lambda v: label_name(score_label(compound(v))))

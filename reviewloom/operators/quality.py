@@ -45,6 +45,7 @@ def _violation(check: str, column: str, broken: Column, detail: Column | str) ->
 
 
 def _emit(df: DataFrame, found: list[Column], row_id: str) -> DataFrame:
+    found = found or [_violation("none", "none", F.lit(False), "none")]
     return df.select(F.col(row_id).alias("row_id"), F.explode(F.array_compact(F.array(*found))).alias("v")).select(
         "v.check", "v.column", "row_id", "v.detail"
     )
@@ -217,9 +218,24 @@ def duplicates(df: DataFrame, row_id: str = "row_id") -> DataFrame:
     )
 
 
-def violations(df: DataFrame, profile: Profile | None = None, rules: Sequence[str] = tuple(DEFAULT_RULES)) -> DataFrame:
-    """Everything the checks flag, as one long table."""
-    return row_violations(df, profile, rules).unionByName(duplicates(df))
+def schema_violations(df: DataFrame, schema: T.StructType, row_id: str = "row_id") -> DataFrame:
+    """A row for each declared column that is missing or holds values its type can't take; ``row_id`` is null.
+
+    A column of another type whose present values all convert passes, as ``conform`` would take it.
+    """
+    lost = lossy_casts(df, schema).filter("n_lost > 0")
+    missing = schema_differences(df, schema).filter("problem = 'missing'").select("column", F.lit("missing column").alias("detail"))
+    broken = missing.unionByName(lost.select("column", F.concat(F.col("n_lost").cast("string"), F.lit(" values don't convert")).alias("detail")))
+    return broken.select(F.lit("schema_validation").alias("check"), "column", F.lit(None).cast(dict(df.dtypes)[row_id]).alias("row_id"), "detail")
+
+
+def violations(
+    df: DataFrame, profile: Profile | None = None, rules: Sequence[str] = tuple(DEFAULT_RULES), schema: T.StructType | None = None
+) -> DataFrame:
+    """Everything the checks flag, as one long table; a declared schema is checked as well."""
+    p = profile or Profile()
+    found = row_violations(df, p, rules).unionByName(duplicates(df, p.row_id))
+    return found if schema is None else found.unionByName(schema_violations(df, schema, p.row_id))
 
 
 # checks reported together under one published name
@@ -234,16 +250,20 @@ def report(found: DataFrame, checks: Sequence[str] = tuple(REPORT_CHECKS)) -> Da
     """One row per check: flagged rows and status.
 
     The flagged ids stay in the long table, whole and spread over tasks; a list
-    cell per check would gather them in one place.
+    cell per check would gather them in one place. Checks that aren't listed but
+    flagged something follow the listed ones. A finding without a row, such as
+    a missing column, counts once for its column.
     """
     spark = found.sparkSession
     name = F.col("check")
     for part, whole in REPORT_NAMES.items():
         name = F.when(F.col("check") == part, whole).otherwise(name)
-    rows = found.select(name.alias("check"), "row_id").distinct().groupBy("check").agg(F.count(F.lit(1)).alias("n"))
+    # a finding about a column has no row; its column stands in
+    whole_column = F.when(F.col("row_id").isNull(), F.col("column"))
+    rows = found.select(name.alias("check"), "row_id", whole_column.alias("_column")).distinct().groupBy("check").agg(F.count(F.lit(1)).alias("n"))
     listed = spark.createDataFrame([(c,) for c in checks], "check string")
     n = F.coalesce("n", F.lit(0))
-    return listed.join(rows, "check", "left").select("check", n.alias("n_flagged"), (n == 0).alias("status"))
+    return listed.join(rows, "check", "full").select("check", n.alias("n_flagged"), (n == 0).alias("status"))
 
 
 def all_text_missing(df: DataFrame, col: str = "text") -> DataFrame:
@@ -296,15 +316,21 @@ def conform(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFr
         raise ValidationError(f"wrong types: {[f.name for f in wrong]}")
     changed = {}
     for f in wrong:
-        text = F.col(f.name).cast("string")
-        if isinstance(f.dataType, (T.IntegerType, T.LongType)):
-            number = text.try_cast("double")
-            changed[f.name] = F.coalesce(number.try_cast(f.dataType), F.lit(0).cast(f.dataType))
-        else:
-            changed[f.name] = text.try_cast(f.dataType)
+        read = _read_as(f)
+        whole = isinstance(f.dataType, (T.IntegerType, T.LongType))
+        changed[f.name] = F.coalesce(read, F.lit(0).cast(f.dataType)) if whole else read
     return df.withColumns(changed) if changed else df
 
 
+def _read_as(f: T.StructField) -> Column:
+    """A column's text in the declared type, null where it can't be read; whole numbers exactly, fractions cut off."""
+    text = F.col(f.name).cast("string")
+    read = text.try_cast(f.dataType)
+    if isinstance(f.dataType, (T.IntegerType, T.LongType)):
+        read = F.coalesce(read, text.try_cast("double").try_cast(f.dataType))
+    return read
+
+
 def lossy_casts(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Per converted column, how many present values the conversion cannot read."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema}
@@ -312,7 +338,7 @@ def lossy_casts(df: DataFrame, schema: T.StructType) -> DataFrame:
     if not wrong:
         return df.sparkSession.createDataFrame([], "column string, n_lost bigint")
     lost = [
-        F.count_if(F.col(f.name).isNotNull() & F.col(f.name).cast("string").try_cast(f.dataType).isNull()).alias(f.name)
+        F.count_if(F.col(f.name).isNotNull() & _read_as(f).isNull()).alias(f.name)
         for f in wrong
     ]
     rows = [F.struct(F.lit(f.name).alias("column"), F.col(f.name).alias("n_lost")) for f in wrong]

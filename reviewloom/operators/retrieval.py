@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewloom.functions.json_text import entries, finding
 from reviewloom.functions import constants as C
 from reviewloom.functions.columns import path_metadata, vector_key, without_extension
 from reviewloom.functions.text import tokens
@@ -17,7 +18,6 @@ from reviewloom.functions.vectors import as_vector, cosine, norm, unit
 from reviewloom.operators.filters import hit_filter
 from reviewloom.session import settle
 
-FINDINGS = "map<string,struct<sentiment:string,summary:string>>"
 
 
 def top_k(
@@ -67,9 +67,15 @@ def search(
 
 
 def merge_aspects(found: DataFrame, col: str = "analysis", order: Sequence[str] = ("rank", "subcategory")) -> DataFrame:
-    """Aspects over ranked documents: the last document wins, first seen comes first."""
-    parsed = found.withColumn("_m", F.from_json(col, FINDINGS) if dict(found.dtypes)[col] == "string" else F.col(col))
-    rows = parsed.select(*order, F.posexplode("_m").alias("_pos", "aspect", "_f")).filter(F.col("_f").isNotNull())
+    """Aspects over ranked documents: the last document wins, first seen comes first.
+
+    An entry that isn't an object is skipped by itself.
+    """
+    if dict(found.dtypes)[col] == "string":
+        rows = found.select(*order, F.posexplode(entries(col)).alias("_pos", "aspect", "_v")).withColumn("_f", finding("_v"))
+    else:
+        rows = found.select(*order, F.posexplode(col).alias("_pos", "aspect", "_f"))
+    rows = rows.filter(F.col("_f").isNotNull())
     place = F.struct(*order, "_pos")
     merged = rows.groupBy("aspect").agg(
         F.min(place).alias("_first"), F.max(F.struct(*order, "_pos", "_f")).alias("_last")

@@ -14,6 +14,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # of repeated keys in a JSON object the last one counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # split a hot join key even when that costs one more exchange afterwards
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }

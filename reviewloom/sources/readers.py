@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reviewloom.functions.json_text import is_json
+
 
 def spread(df: DataFrame) -> DataFrame:
     """Use every core when the files give fewer splits than there are cores.
@@ -21,7 +23,7 @@ def spread(df: DataFrame) -> DataFrame:
 
 def read_jsonl(
     spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str | None = None,
-    sample_rows: int = 1000, limit: int | None = None, partitions: int | None = None,
+    limit: int | None = None, partitions: int | None = None,
 ) -> DataFrame:
     """JSON lines, gzipped or not.
 
@@ -30,7 +32,7 @@ def read_jsonl(
     spread the rows of a few large ones.
     """
     if schema is None:
-        df = read_jsonl_inferred(spark, paths, sample_rows)
+        df = read_jsonl_inferred(spark, paths)
     else:
         df = spark.read.schema(schema).option("mode", "PERMISSIVE").json(paths)
     if partitions:
@@ -38,12 +40,15 @@ def read_jsonl(
     return df.limit(limit) if limit is not None else df
 
 
-def read_jsonl_inferred(spark: SparkSession, paths: str | Sequence[str], sample_rows: int = 1000) -> DataFrame:
-    """Infer the record type from the first ``sample_rows`` lines, then parse every line with it."""
-    lines = spark.read.text(paths)
-    head = [r["value"] for r in lines.limit(sample_rows).collect()]
-    schema = spark.read.json(spark.sparkContext.parallelize(head, 1)).schema
-    return lines.select(F.from_json("value", schema).alias("p")).select("p.*")
+def read_jsonl_inferred(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Infer the record type from all lines, one pass of its own, then parse every line with it.
+
+    A field counts wherever it first appears, and values of several types meet in the wider one. A line that doesn't
+    parse gives nulls.
+    """
+    found = spark.read.option("samplingRatio", 1.0).json(paths).schema
+    schema = T.StructType([f for f in found if f.name != "_corrupt_record"])
+    return spark.read.text(paths).select(F.from_json("value", schema).alias("p")).select("p.*")
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str | None = None) -> DataFrame:
@@ -69,7 +74,7 @@ def read_json_tree(spark: SparkSession, root: str, pattern: str = "*.json") -> D
         spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(root)
         .select(F.col("_metadata.file_path").alias("path"), F.trim("value").alias("value"))
     )
-    parsed = files.filter(F.try_parse_json("value").isNotNull())
+    parsed = files.filter(is_json("value"))
     items = F.when(F.col("value").startswith("["), F.from_json("value", "array<string>")).otherwise(F.array("value"))
     return parsed.select("path", F.explode(items).alias("record")).filter(F.col("record").startswith("{"))
 
@@ -86,7 +91,9 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def _hash_id(*parts: Column) -> Column:
-    return F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
+    """Digest of the parts; each goes with its length, so that no two lists of parts read alike."""
+    texts = [p.cast("string") for p in parts]
+    return F.md5(F.concat(*[F.concat(F.length(x).cast("string"), F.lit(":"), x) for x in texts]))
 
 
 def with_row_id(df: DataFrame, keys: Sequence[str] | None = None, name: str = "row_id") -> DataFrame:

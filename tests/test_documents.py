@@ -36,6 +36,8 @@ def test_document_parts_make_the_whole_text(labelled, part_chars):
         parts.setdefault((r.year, r.month, r.category), []).append(r.text)
     assert {k: " ".join(v) for k, v in parts.items()} == _joined_texts(labelled)
     assert (max(map(len, parts.values())) > 1) == (part_chars == 50)
+    # statistics stand once for each document, however many parts it has
+    assert rollup.monthly_documents(labelled, part_chars).filter("n_reviews is not null").count() == len(parts)
 
 
 @pytest.mark.parametrize("hot_rows", [10, 1_000_000])

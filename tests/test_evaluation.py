@@ -22,10 +22,13 @@ def test_features(rows):
     assert features.model_input(df.fillna("")).first().combined_text == " "
 
 
-def test_encoding_of_many_classes(spark):
-    df = spark.range(40).select(F.concat(F.lit("c"), F.lpad((F.col("id") % 20).cast("string"), 2, "0")).alias("c"))
-    short, long = features.encode_labels(df, "c"), features.encode_labels(df, "c", max_classes=3)
-    assert sorted((r.c, r.label) for r in short.collect()) == sorted((r.c, r.label) for r in long.collect())
+@pytest.mark.parametrize("n", [1, 20, 2000])
+def test_encoding_of_any_number_of_classes(spark, n):
+    df = spark.range(2 * n + 1).select("id", F.when(F.col("id") < 2 * n, F.concat(F.lit("c"), (F.col("id") % n).cast("string"))).alias("c"))
+    out = features.encode_labels(df, "c")
+    assert out.dtypes == [("id", "bigint"), ("c", "string"), ("label", "int")]
+    place = {c: i for i, c in enumerate(sorted({f"c{i}" for i in range(n)}))}
+    assert all(r.label == place.get(r.c) for r in out.collect()) and out.count() == 2 * n + 1
 
 
 @pytest.fixture

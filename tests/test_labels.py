@@ -49,8 +49,19 @@ def test_lexicon_table_equals_literal(rows, spark):
     joined = labeling.lexicon_label(df, table).select("row_id", "compound", "sentiment_label")
     assert sorted(literal.collect()) == sorted(joined.collect())
     assert {r.row_id: r.sentiment_label for r in literal.collect()} == {1: "POSITIVE", 2: "NEGATIVE", 3: "NEUTRAL", 4: "NEUTRAL"}
-    large = {**L.DEFAULT_LEXICON, **{f"word{i}": 1.0 for i in range(300)}}
+    large = {**L.DEFAULT_LEXICON, **{f"word{i}": 1.0 for i in range(3000)}}
     assert sorted(labeling.lexicon_label(df, large).select("row_id", "compound", "sentiment_label").collect()) == sorted(literal.collect())
+    # no id is needed, rows that share one keep their own scores, columns keep their places
+    same = rows("text string, row_id int", ("good", 1), ("bad", 1), ("good word7", 1))
+    for lexicon in (None, L.DEFAULT_LEXICON, large):
+        out = labeling.lexicon_label(same, lexicon)
+        assert out.columns == ["text", "row_id", "compound", "sentiment_label"]
+        assert [r.sentiment_label for r in out.collect()] == ["POSITIVE", "NEGATIVE", "POSITIVE"]
+    assert len({r.compound for r in labeling.lexicon_label(same, large).collect()}) == 3
+    votes = labeling.label_matrix(rows("text string, rating double", ("zork", 3.0)), lexicon={"zork": 4.0}).first()
+    assert votes["lexicon"] == labeling.label_matrix(rows("text string, rating double", ("good", 3.0))).first()["lexicon"]
+    tagged = rows("relevant_sentences string", ("zork",), ("none",))
+    assert [r.sentiment_label for r in labeling.aspect_labels(tagged, {"zork": -3.0}).collect()] == ["NEGATIVE", "NEUTRAL"]
 
 
 KEYWORDS = {
@@ -108,9 +119,15 @@ def test_sentences_and_tokens(spark):
 
 
 @pytest.mark.parametrize("per", ["aspect", "review"])
-def test_long_keyword_tables_are_joined(reviews, spark, per):
-    table = spark.createDataFrame([(a, k) for a, ks in KEYWORDS.items() for k in ks], "aspect string, keyword string")
-    folded, joined = (aspects.tag_aspects(reviews, table, per=per, max_pairs=n) for n in (1000, 3))
-    columns = ["row_id", "relevant_sentences"] + (["aspect"] if per == "aspect" else ["matched_aspects"])
-    assert sorted(folded.select(*columns).collect()) == sorted(joined.select(*columns).collect())
-    assert folded.count() == (5 if per == "aspect" else 3)
+@pytest.mark.parametrize("more", [0, 3000])
+def test_keyword_tables_of_any_length_equal_the_mapping(reviews, spark, per, more):
+    listed = [(a, k, i) for i, (a, ks) in enumerate(KEYWORDS.items()) for k in ks] + [("cost", f"x{i}", 4) for i in range(more)]
+    table = spark.createDataFrame(listed, "aspect string, keyword string, aspect_no int")
+    # equal ids, as after a join, stay rows of their own
+    twice = reviews.union(reviews).drop("row_id")
+    folded, looked_up = (aspects.tag_aspects(twice, t, per=per) for t in (KEYWORDS, table))
+    assert folded.columns == looked_up.columns
+    assert sorted(map(tuple, folded.collect())) == sorted(map(tuple, looked_up.collect()))
+    assert folded.count() == 2 * (5 if per == "aspect" else 3)
+    by_name = [r.aspect for r in aspects.tag_aspects(reviews, table.drop("aspect_no")).filter("row_id = 3").collect()]
+    assert by_name == ["cost", "product_design"]
