@@ -10,21 +10,31 @@ from pyspark.sql import functions as F
 from reviewloom.session import settle
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 16_000_000
 SORT_ROWS = 200_000
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join a derived table, broadcast only after its rows were counted.
+    """Join a derived table, broadcast only after its rows and bytes were counted.
 
-    Past ``max_rows`` the join is left to Spark, which shuffles both sides and
-    splits hot partitions at run time.
+    Past ``max_rows`` or BROADCAST_BYTES the join is left to Spark, which
+    shuffles both sides and splits hot partitions at run time.
     """
     small = settle(small)
-    if small.limit(max_rows + 1).count() <= max_rows:
+    if may_broadcast(small, max_rows):
         small = F.broadcast(small)
     return big.join(small, on, how)
 
 
+def may_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Is the table, measured row by row, small enough for every executor; one pass over a settled table."""
+    wide = [F.octet_length(F.to_json(F.struct(f.name))) for f in small.schema if f.dataType.typeName() in ("array", "map", "struct")]
+    text = [F.octet_length(f.name) for f in small.schema if f.dataType.typeName() in ("string", "binary")]
+    size = sum((F.coalesce(c, F.lit(0)) for c in wide + text), F.lit(8 * len(small.columns)).cast("long"))
+    measured = small.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("size")).first()
+    return measured["n"] <= max_rows and measured["size"] <= max_bytes
+
+
 def _range_pieces(rows: DataFrame, cols: Sequence[str], weight: str | None, buckets: int):
     """Row totals and key bounds of an ordered split into ``buckets`` pieces."""
     size = F.sum(weight) if weight else F.count(F.lit(1))

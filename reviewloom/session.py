@@ -54,7 +54,7 @@ def shared_folder(spark: SparkSession) -> str:
         already = context._jsc.sc().getCheckpointDir()
         if already.isDefined():
             return already.get()
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="reviewloom-")
     if not context._jsc.sc().getCheckpointDir().isDefined():

@@ -121,3 +121,13 @@ def test_buckets_follow_the_order_and_are_even(spark):
         mine = [r for r in got if r.k == k]
         assert [r.b for r in mine] == list(range(8)) and max(r.n for r in mine) < 80
         assert all(a.hi < b.lo for a, b in zip(mine, mine[1:]))
+
+
+def test_few_wide_rows_are_not_broadcast(spark):
+    wide = spark.range(10).select("id", F.repeat(F.lit("x"), 2_000_000).alias("text"))
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    big = spark.range(1000)
+    assert "broadcast" not in plan(skew.join_small(big, wide, "id"))
+    assert "broadcast" in plan(skew.join_small(big, wide.select("id"), "id"))
+    listed = spark.range(10).select("id", F.array_repeat(F.lit(1.5), 500_000).alias("values"))
+    assert not skew.may_broadcast(listed) and skew.may_broadcast(listed.limit(0))
