@@ -91,12 +91,13 @@ def repeated_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def data_card(df: DataFrame) -> DataFrame:
-    """Per column: type, rows, nulls, smallest and largest value as text."""
-    plain = [c for c, t in df.dtypes if not t.startswith(("array", "map", "struct"))]
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for c in plain:
-        aggs += [F.count(c).alias(f"n_{c}"), F.min(c).cast("string").alias(f"lo_{c}"), F.max(c).cast("string").alias(f"hi_{c}")]
+    """Per column: type, rows, nulls, smallest and largest value as text; nested columns have no such values."""
     kinds = dict(df.dtypes)
+    none = F.lit(None).cast("string")
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for c, kind in df.dtypes:
+        low, high = (none, none) if kind.startswith(("array", "map", "struct")) else (F.min(c).cast("string"), F.max(c).cast("string"))
+        aggs += [F.count(c).alias(f"n_{c}"), low.alias(f"lo_{c}"), high.alias(f"hi_{c}")]
     rows = [
         F.struct(
             F.lit(c).alias("column"),
@@ -106,7 +107,7 @@ def data_card(df: DataFrame) -> DataFrame:
             F.col(f"lo_{c}").alias("smallest"),
             F.col(f"hi_{c}").alias("largest"),
         )
-        for c in plain
+        for c in df.columns
     ]
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
 

@@ -12,8 +12,17 @@ from reviewloom.sources.writers import write_stage
 
 
 def append_month(reviews: DataFrame, path: str, year: int, month: int) -> str:
-    """Batch form: write one month; running it again replaces that month only."""
-    return write_stage(in_month(reviews, year, month), path, by=["year", "review_month"])
+    """Batch form: write one month; running it again replaces that month only, also by nothing.
+
+    Overwriting touches only partitions that get rows, so the folder of a month that became empty is removed.
+    """
+    rows = in_month(reviews, year, month)
+    written = write_stage(rows, path, by=["year", "review_month"])
+    if rows.isEmpty():
+        spark = reviews.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/year={year}/review_month={month}")
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+    return written
 
 
 def review_stream(spark: SparkSession, folder: str, schema: T.StructType | str, fmt: str = "json") -> DataFrame:

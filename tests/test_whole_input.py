@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions.columns import price_text
 from reviewloom.functions.json_text import flatten_summaries, is_json, repair_json
-from reviewloom.operators import quality, retrieval, summaries
+from reviewloom.operators import aggregates, quality, retrieval, summaries
 from reviewloom.schemas import from_ddl
 from reviewloom.sources import readers
+from reviewloom.streaming import increments
 
 
 def test_a_field_that_first_appears_late_is_read(spark, tmp_path):
@@ -80,3 +81,20 @@ def test_whole_numbers_are_read_exactly(rows):
 @pytest.mark.parametrize("price,want", [(12345678.0, "12345678.0"), (0.0001, "0.0001"), (3.5, "3.5"), (None, "unknown"), (1e9, "1000000000.0"), (-2.5e7, "-25000000.0"), (10.0, "10.0")])
 def test_prices_are_plain_decimals(rows, price, want):
     assert rows("p double", (price,)).select(price_text("p").alias("p")).first().p == want
+
+
+def test_every_column_is_on_the_card(rows):
+    df = rows("a int, b array<int>, c map<string,int>, d struct<x:int>", (1, [1], {"k": 1}, (1,)), (None, None, None, None))
+    card = {r["column"]: r for r in aggregates.data_card(df).collect()}
+    assert set(card) == set(df.columns) and all(r.nulls == 1 and r.n_rows == 2 for r in card.values())
+    assert card["a"].largest == "1" and card["b"].largest is None
+
+
+def test_a_month_that_became_empty_loses_its_rows(rows, spark, tmp_path):
+    ddl = "row_id int, year int, review_month int"
+    path = str(tmp_path / "stage")
+    both = rows(ddl, (1, 2020, 1), (2, 2020, 2)).withColumn("review_time", F.make_timestamp("year", "review_month", F.lit(3), F.lit(0), F.lit(0), F.lit(0)))
+    for month in (1, 2):
+        increments.append_month(both, path, 2020, month)
+    increments.append_month(both.filter("row_id = 1"), path, 2020, 2)
+    assert [r.row_id for r in spark.read.parquet(path).collect()] == [1]
