@@ -13,13 +13,15 @@ from pyspark.sql import types as T
 from reviewloom.llm.registry import query, sheltered, table
 from reviewloom.llm.textbytes import LOWER, WORD, chunks, gram_hashes, mix, span_hashes, spans
 from reviewloom.plans.skew import join_small
-from reviewloom.session import scratch_path, settle
+from reviewloom.session import scratch_path
 
 SHINGLE = 5
 SIMILARITY = 0.8
 # a pair of similarity 0.8 misses all bands with a chance of 3e-6
 BANDS, ROWS = 32, 5
 TEXTS_AT_ONCE = 2048
+# so many deviations below the agreement of a pair of just the wanted similarity, signatures rule a pair out (2e-8)
+DEVIATIONS = 5.5
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -93,6 +95,11 @@ def band_keys(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def short_signature(signature: np.ndarray) -> list[bytes]:
+    """One byte of each component; unlike components still agree in one of 256 cases."""
+    return [x.tobytes() for x in (mix(signature.view(np.uint64)) & np.uint64(255)).astype(np.uint8)]
+
+
 def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard index of two sorted multisets (hashes, multiplicities)."""
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
@@ -118,9 +125,11 @@ def _nodes(words: np.ndarray, rows: np.ndarray, n_rows: int, buf: np.ndarray, of
 
 
 def sketch(documents: DataFrame) -> DataFrame:
-    """Add ``_node`` (name of the word sequence, null for a null text) and ``_bands`` (null without words)."""
-    rows = documents.drop("_node", "_bands")
-    schema = T.StructType([*rows.schema.fields, T.StructField("_node", T.BinaryType()), T.StructField("_bands", T.ArrayType(T.LongType()))])
+    """Add ``_node`` (name of the word sequence, null for a null text), ``_bands`` and ``_short`` (null without words)."""
+    rows = documents.drop("_node", "_bands", "_short")
+    schema = T.StructType([
+        *rows.schema.fields, T.StructField("_node", T.BinaryType()), T.StructField("_bands", T.ArrayType(T.LongType())), T.StructField("_short", T.BinaryType())
+    ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,6 +138,7 @@ def sketch(documents: DataFrame) -> DataFrame:
                 present = part["text"].is_valid().to_pylist()
                 nodes: list = []
                 bands: list = []
+                shorts: list = []
                 for _, n, buf, offsets in ((a, b - a, x, o) for a, b, x, o in chunks(part["text"])):
                     lowered = LOWER[buf]
                     starts, ends, at = spans(lowered, offsets, WORD)
@@ -137,15 +147,18 @@ def sketch(documents: DataFrame) -> DataFrame:
                     elements = weighted(*shingles(words, at, n))
                     some = np.unique(elements[0])
                     place = np.searchsorted(some, elements[0])
-                    keys = dict(zip(some.tolist(), band_keys(signatures(place, elements[1], elements[2], len(some)))))
+                    signed = signatures(place, elements[1], elements[2], len(some))
+                    keys, short = dict(zip(some.tolist(), band_keys(signed))), dict(zip(some.tolist(), short_signature(signed)))
                     bands += [keys.get(i) for i in range(n)]
+                    shorts += [short.get(i) for i in range(n)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         *part.columns,
                         pa.array([x if ok else None for x, ok in zip(nodes, present)], pa.binary()),
-                        pa.array([None if x is None else x for x in bands], pa.list_(pa.int64())),
+                        pa.array(bands, pa.list_(pa.int64())),
+                        pa.array(shorts, pa.binary()),
                     ],
-                    [*part.schema.names, "_node", "_bands"],
+                    [*part.schema.names, "_node", "_bands", "_short"],
                 )
 
     return rows.mapInArrow(run, schema)
@@ -176,6 +189,25 @@ def _alike(similarity: float):
     return run
 
 
+def _agreeing(similarity: float):
+    size = BANDS * ROWS
+    least = size * similarity - DEVIATIONS * np.sqrt(size * similarity * (1 - similarity))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint8).reshape(batch.num_rows, size) for c in ("short_a", "short_b"))
+            yield batch.select(["a", "b"]).filter(pa.array((left == right).sum(1) >= least))
+
+    return run
+
+
+def likely(pairs: DataFrame, shorts: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose signatures don't rule the similarity out; ``shorts`` holds (node, short)."""
+    left = pairs.join(shorts.select(F.col("node").alias("a"), F.col("short").alias("short_a")), "a")
+    both = left.join(shorts.select(F.col("node").alias("b"), F.col("short").alias("short_b")), "b")
+    return both.select("a", "b", "short_a", "short_b").mapInArrow(_agreeing(similarity), "a binary, b binary")
+
+
 def verified(pairs: DataFrame, sketched: DataFrame, first: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) of nodes whose texts' shingle multisets overlap enough. ``first`` names a row of each node."""
     needed = pairs.select(F.col("a").alias("_node")).union(pairs.select(F.col("b").alias("_node"))).distinct()
@@ -186,6 +218,14 @@ def verified(pairs: DataFrame, sketched: DataFrame, first: DataFrame, similarity
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_alike(similarity), "a binary, b binary")
 
 
+def stored(rows: DataFrame) -> DataFrame:
+    """The rows as a table in the shared folder. A checkpoint would hand on what the planner knows of its origin, which
+    after some rounds of joins takes longer to work through than the joins."""
+    path = scratch_path(rows.sparkSession, "classes")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def unite(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """Join the groups of ``labels`` (node, group) that edges (a, b) connect; a group's name is its least node.
 
@@ -195,60 +235,61 @@ def unite(labels: DataFrame, edges: DataFrame) -> DataFrame:
     while True:
         ends = edges.join(labels.select(F.col("node").alias("a"), F.col("group").alias("ga")), "a").join(
             labels.select(F.col("node").alias("b"), F.col("group").alias("gb")), "b")
-        across = settle(ends.filter("ga <> gb").select(F.greatest("ga", "gb").alias("group"), F.least("ga", "gb").alias("up")).distinct())
+        across = stored(ends.filter("ga <> gb").select(F.greatest("ga", "gb").alias("group"), F.least("ga", "gb").alias("up")).distinct())
         if across.isEmpty():
             return labels
-        up = settle(across.groupBy("group").agg(F.min("up").alias("up")))
+        up = stored(across.groupBy("group").agg(F.min("up").alias("up")))
         while True:
             further = up.select(F.col("group").alias("up"), F.col("up").alias("next"))
-            longer = settle(up.join(further, "up", "left").select("group", F.coalesce("next", "up").alias("up"), F.col("next").isNotNull().alias("_moved")))
+            longer = stored(up.join(further, "up", "left").select("group", F.coalesce("next", "up").alias("up"), F.col("next").isNotNull().alias("_moved")))
             up = longer.select("group", "up")
             if longer.filter("_moved").isEmpty():
                 break
-        labels = settle(labels.join(up, "group", "left").select("node", F.coalesce("up", "group").alias("group")))
+        labels = stored(labels.join(up, "group", "left").select("node", F.coalesce("up", "group").alias("group")))
 
 
 def _linked(sketched: DataFrame, first: DataFrame, similarity: float) -> DataFrame:
     """(node, group) of all nodes that share a band with another; groups are connected by verified pairs."""
     keys = sketched.select("_node", "_rid", "_bands").join(first.select("_rid"), "_rid", "left_semi")
     keys = keys.select(F.col("_node").alias("node"), F.explode("_bands").alias("band"))
-    shared = settle(keys.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "hub"))
-    members = settle(keys.join(shared, "band"))
-    labels = settle(members.select("node").distinct().select("node", F.col("node").alias("group")))
+    shared = stored(keys.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "hub"))
+    members = stored(keys.join(shared, "band"))
+    labels = stored(members.select("node").distinct().select("node", F.col("node").alias("group")))
+    named = first.join(labels.select(F.col("node").alias("_node")), "_node")
+    shorts = stored(join_small(sketched.select("_rid", "_short"), named, "_rid").select(F.col("_node").alias("node"), F.col("_short").alias("short")))
     # first each node next to the least node that it shares most bands with
     counted = members.filter("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("n"))
     best = counted.groupBy("node").agg(F.max(F.struct("n", "hub")).alias("best"))
-    pairs = settle(best.select(F.col("node").alias("a"), F.col("best.hub").alias("b")))
-    tried = pairs
-    while not pairs.isEmpty():
-        labels = unite(labels, settle(verified(pairs, sketched, first, similarity)))
-        pairs = _untried(members.select("band", "node"), labels, tried)
-        tried = settle(tried.union(pairs))
-    return labels
+    pairs = stored(best.select(F.col("node").alias("a"), F.col("best.hub").alias("b")))
+    tried, whole = pairs, False
+    while True:
+        labels = unite(labels, stored(verified(stored(likely(pairs, shorts, similarity)), sketched, first, similarity)))
+        # then groups next to the largest of a band, once; at last whatever is left across groups
+        pairs = _untried(members.select("band", "node"), labels, tried, whole)
+        if whole and pairs.isEmpty():
+            return labels
+        tried, whole = tried.union(pairs), True
 
 
-def _untried(members: DataFrame, labels: DataFrame, tried: DataFrame) -> DataFrame:
+def _untried(members: DataFrame, labels: DataFrame, tried: DataFrame, whole: bool) -> DataFrame:
     """Pairs across groups that share a band and weren't compared yet.
 
-    First one node of each group in a band next to one of the band's largest group. Once these are all compared, every
-    node outside the largest group next to every node of other groups there: no link between different texts is lost.
+    One node of each group in a band next to one of the band's largest group; or, ``whole``, every node outside the
+    largest group next to every node of other groups there, so that no link between different texts is lost.
     """
-    placed = settle(members.join(labels, "node"))
+    placed = stored(members.join(labels, "node"))
     groups = placed.groupBy("band", "group").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
     largest = groups.groupBy("band").agg(F.max(F.struct("n", "group", "node")).alias("top"), F.count(F.lit(1)).alias("groups"))
-    mixed = settle(largest.filter("groups > 1").select("band", F.col("top.group").alias("top"), F.col("top.node").alias("hub")))
-    if mixed.isEmpty():
-        return mixed.select(F.col("hub").alias("a"), F.col("hub").alias("b"))
-    split = settle(placed.join(mixed, "band"))
+    mixed = stored(largest.filter("groups > 1").select("band", F.col("top.group").alias("top"), F.col("top.node").alias("hub")))
+    split = stored(placed.join(mixed, "band"))
     stars = split.filter("group <> top").groupBy("band", "group", "hub").agg(F.min("node").alias("node"))
 
     def fresh(pairs: DataFrame) -> DataFrame:
         ordered = pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
-        return settle(ordered.join(tried, ["a", "b"], "left_anti"))
+        return stored(ordered.join(tried, ["a", "b"], "left_anti"))
 
-    pairs = fresh(stars.select(F.col("node").alias("x"), F.col("hub").alias("y")))
-    if not pairs.isEmpty():
-        return pairs
+    if not whole:
+        return fresh(stars.select(F.col("node").alias("x"), F.col("hub").alias("y")))
     outside = split.filter("group <> top").select("band", F.col("group").alias("own"), F.col("node").alias("x"))
     across = outside.join(split.select("band", "group", F.col("node").alias("y")), "band").filter("group <> own")
     return fresh(across)
@@ -262,24 +303,24 @@ def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     the start. Texts without words, the empty one included, are alike only if equal; a null text is a class of its
     own. ``_keep`` marks one row of each class, that of the least id (null ids last), also when rows repeat. Where all ids
     of a class are null, ``_class`` is null. Empty tables give no rows. Input columns named ``_node``, ``_bands``,
-    ``_rid``, ``_class``, ``_size`` or ``_keep`` are replaced.
+    ``_short``, ``_rid``, ``_class``, ``_size`` or ``_keep`` are replaced.
 
     The rows are written once to the shared folder with their sketch, so that they keep an identity. Everything after
     it moves names of 16 bytes, and the texts of candidate pairs only.
     """
     spark = documents.sparkSession
     path = scratch_path(spark, "sketched")
-    names = [c for c in documents.columns if c not in ("_node", "_bands", "_rid", "_class", "_size", "_keep")]
+    names = [c for c in documents.columns if c not in ("_node", "_bands", "_short", "_rid", "_class", "_size", "_keep")]
     rows = sketch(documents.select(*[F.col(f"`{c}`") for c in names])).withColumn("_rid", F.monotonically_increasing_id())
     rows.write.parquet(path)
     sketched = spark.read.schema(rows.schema).parquet(path)
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"), F.col("_rid").alias("rid"))
-    nodes = settle(sketched.filter("_node is not null").groupBy("_node").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("n")))
+    nodes = stored(sketched.filter("_node is not null").groupBy("_node").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("n")))
     first = nodes.select("_node", F.col("best.rid").alias("_rid"))
     labels = _linked(sketched, first, similarity)
     grouped = nodes.join(labels.select(F.col("node").alias("_node"), "group"), "_node", "left").withColumn("group", F.coalesce("group", "_node"))
-    merged = settle(grouped.groupBy("group").agg(F.min("best").alias("top"), F.sum("n").alias("size")))
-    named = settle(grouped.select("_node", "group").join(merged, "group").select("_node", F.col("top.doc_id").alias("_class"), F.col("size").alias("_size"), F.col("top.rid").alias("_first")))
+    merged = stored(grouped.groupBy("group").agg(F.min("best").alias("top"), F.sum("n").alias("size")))
+    named = stored(grouped.select("_node", "group").join(merged, "group").select("_node", F.col("top.doc_id").alias("_class"), F.col("size").alias("_size"), F.col("top.rid").alias("_first")))
     out = sketched.join(named, "_node", "left")
     lone = F.col("_node").isNull()
     return out.select(
