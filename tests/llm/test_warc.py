@@ -67,3 +67,12 @@ def test_written_files_parse_back(rows, tmp_path):
             assert data[end + 4 + n : end + 8 + n] == b"\r\n\r\n"
             at = end + 8 + n
     assert sorted(found) == sorted(r.block for r in out)
+
+
+def test_links_with_other_quotes_or_none(rows):
+    html = """<a href="/o'brien">1</a><a href='/say "hi"'>2</a><a href=/plain/x.html>3</a><a class=b href=it's id=c>4</a><a HREF = "">5</a>
+    <a href="/a>b">6</a><a name=top>7</a><a href=/q?a=1&amp;b=2
+    rel=x>8</a>"""
+    out = derivatives(responses(rows("page_id long, url string, html string", (1, "http://a", html)))).filter("warc_type = 'metadata'").first()
+    links = [x.removeprefix("outlink: ") for x in out.block.split("\r\n") if x.startswith("outlink")]
+    assert links == ["/o'brien", '/say "hi"', "/plain/x.html", "it's", "", "/a>b", "/q?a=1&b=2"]
