@@ -20,7 +20,7 @@ SIMILARITY = 0.8
 # a pair of similarity 0.8 misses all bands with a chance of 3e-6
 BANDS, ROWS = 32, 5
 TEXTS_AT_ONCE = 2048
-# so many deviations below the agreement of a pair of just the wanted similarity, signatures rule a pair out (2e-8)
+# so many deviations below the agreement of a pair of just the wanted similarity, signatures rule a pair out (2.4e-7)
 DEVIATIONS = 5.5
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
