@@ -11,6 +11,8 @@ from reviewloom.llm.registry import query, table
 
 SHARDS = 40
 NULL_KEY = "\\N"
+# slots that one row unfolds at once
+SPAN = 100_000
 
 
 def _cost(key: Column, shard: Column, weight: Column) -> Column:
@@ -48,7 +50,8 @@ def shard_records(rows: DataFrame, key: str, weights: Sequence[float], out: str
 def number_slots(rows: DataFrame, shard: str, order: Sequence[str], pieces: int = 256) -> DataFrame:
     """Add ``slot``, gapless from 0 in each shard; only ``shard`` and ``order`` columns are kept.
 
-    Equal rows are counted first and unfolded last, so a row repeated without bound costs one row in the shuffles.
+    Equal rows are counted first and unfolded last, in spans of at most SPAN slots that are dealt over the tasks, so a
+    row repeated without bound costs one row a span in the shuffles and no long array.
     A shard is numbered in ``pieces`` pieces by digest, each starting at the total of those before it: the totals
     are at most shards x pieces rows.
     """
@@ -63,7 +66,11 @@ def number_slots(rows: DataFrame, shard: str, order: Sequence[str], pieces: int
     local = counted.withColumn("_local", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
     placed = local.join(F.broadcast(offsets), [shard, "_piece"])
     start = F.col("_offset") + F.col("_local")
-    return placed.select(shard, *order, F.explode(F.sequence(start, start + F.col("_n") - 1)).alias("slot"))
+    spans = placed.select(shard, *order, (start + F.col("_n")).alias("_end"), F.explode(F.sequence(start, start + F.col("_n") - 1, F.lit(SPAN).cast("long"))).alias("_start"))
+    # an explicit number, since small partitions would be put together again before they unfold
+    spans = spans.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), shard, "_start")
+    slots = F.sequence("_start", F.least(F.col("_start") + SPAN, F.col("_end")) - 1)
+    return spans.select(shard, *order, F.explode(slots).alias("slot"))
 
 
 def place(documents: DataFrame, shards: int = SHARDS) -> DataFrame:

@@ -63,3 +63,11 @@ def test_slots_of_repeated_rows(rows):
 def test_no_python_in_the_plan(rows):
     plan = place(rows("doc_id long, text string", (1, "a")))._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "MapIn"))
+
+
+def test_one_row_repeated_unfolds_in_many_tasks(spark):
+    df = spark.range(1_000_000).select(F.lit(0).alias("shard"), F.lit(None).cast("long").alias("x"))
+    out = number_slots(df, "shard", ["x"]).withColumn("task", F.spark_partition_id())
+    by_task = out.groupBy("task").count().collect()
+    assert len(by_task) > 1 and sum(r["count"] for r in by_task) == 1_000_000
+    assert out.agg(F.min("slot"), F.max("slot"), F.countDistinct("slot")).first()[:] == (0, 999_999, 1_000_000)
