@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reviewloom.session import tune
 
-MODULES = ["bagminhash", "bond", "context_tree", "graph", "packing", "pieces", "rendezvous", "resampling", "segments", "warc", "winnowing", "whole_tokens"]
+MODULES = ["alignment", "bagminhash", "bond", "context_tree", "graph", "packing", "pieces", "rendezvous", "resampling", "segments", "warc", "winnowing", "whole_tokens"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
