@@ -10,7 +10,7 @@ from reviewloom.catalog.quality import PROFILE, REPORT_SQL
 from reviewloom.catalog.views import ANALYSES, analyses
 from reviewloom.functions import constants as C
 from reviewloom.functions.labels import rating_class
-from reviewloom.operators import cleaning, quality, retrieval, rollup, summaries
+from reviewloom.operators import cleaning, quality, query_tables, retrieval, rollup, summaries
 from reviewloom.plans import chains
 
 DOCS = f"""{S.JOINED}, doc_rows AS (
@@ -125,6 +125,64 @@ def search_fallback(t):
     return _search(t, k=1, category=category, year=2019, month="ALL").drop("analysis")
 
 
+# every fiftieth vector asks, with a category, a year and a month of its own or without
+ASKED = f"""{ANALYSES}, asked AS (
+  SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS v,
+         CASE WHEN vec_id % 3 = 1 THEN 'cat ' || label END AS want_category, CASE WHEN vec_id % 4 <> 1 THEN CAST(2018 + vec_id % 5 AS VARCHAR) END AS want_year,
+         CASE vec_id % 7 WHEN 0 THEN 'ALL' WHEN 1 THEN NULL ELSE CAST(1 + vec_id % 6 AS VARCHAR) END AS want_month
+  FROM embeddings WHERE vec_id % 50 = 0),
+scored AS (SELECT q.query_id, q.want_category, q.want_year, q.want_month, a.*, list_cosine_similarity(CAST(embedding AS DOUBLE[]), v) AS score FROM analyses AS a, asked AS q),
+kept AS (SELECT *, coalesce(contains(lower(category), lower(want_category)), TRUE) AND coalesce(want_year = CAST(year AS VARCHAR), TRUE)
+                   AND (coalesce(want_month, 'ALL') = 'ALL' OR want_month = CAST(month AS VARCHAR)) AS meets FROM scored)"""
+COLUMNS = "query_id, CAST(rank AS INTEGER) AS rank, category, year, month, subcategory"
+
+
+def _answers(k: int, prefilter: bool) -> str:
+    first = "WHERE meets" if prefilter else ""
+    return f"""{ASKED}, best AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM kept {first} QUALIFY rank <= {k}),
+    hits AS (SELECT * FROM best WHERE meets),
+    answers AS (SELECT * FROM hits UNION ALL SELECT *, 1 AS rank FROM kept WHERE meets AND query_id NOT IN (SELECT query_id FROM hits))"""
+
+
+def _asked(t):
+    row, cell = t.embeddings.filter("vec_id % 50 = 0"), F.col("vec_id")
+    month = F.when(cell % 7 == 0, "ALL").when(cell % 7 > 1, (F.lit(1) + cell % 6).cast("string"))
+    return row.select(
+        cell.alias("query_id"), F.col("embedding").alias("values"), F.when(cell % 3 == 1, F.concat(F.lit("cat "), "label")).alias("category"),
+        F.when(cell % 4 != 1, (F.lit(2018) + cell % 5).cast("string")).alias("year"), month.alias("month"),
+    )
+
+
+def _table_search(t, **kw):
+    rows = analyses(t)
+    docs = rows.select("category", "year", "month", "subcategory", "analysis")
+    return query_tables.search_table(_asked(t), rows.drop("analysis"), docs, row_id="vec_id", values="embedding", **kw)
+
+
+@query("M01_search_query_table", f"WITH {_answers(25, False)} SELECT {COLUMNS} FROM answers")
+def search_query_table(t):
+    """All queries at once, each with its own filters; the best 25 are filtered, the rest falls back to its documents."""
+    return _table_search(t).drop("analysis")
+
+
+@query("M01_filtered_query_table", f"WITH {_answers(10, True)} SELECT {COLUMNS} FROM answers")
+def filtered_query_table(t):
+    return _table_search(t, k=10, prefilter=True).drop("analysis")
+
+
+@query(
+    "M03_query_table_report",
+    f"""WITH {_answers(25, False)}, rows_ AS (
+      SELECT query_id, rank, subcategory, 0 AS pos, 'Quality' AS aspect, quality_sentiment AS s, quality_summary AS m FROM answers
+      UNION ALL SELECT query_id, rank, subcategory, 1, 'Price', price_sentiment, price_summary FROM answers)
+    SELECT query_id, aspect, coalesce(arg_max_null(s, (rank, subcategory)), 'Unknown') AS sentiment,
+      coalesce(arg_max_null(m, (rank, subcategory)), 'No summary available.') AS summary FROM rows_ GROUP BY query_id, aspect""",
+)
+def query_table_findings(t):
+    """The merged findings of every query."""
+    return retrieval.merge_aspects(_table_search(t), by=["query_id"]).select("query_id", "aspect", "sentiment", "summary")
+
+
 MERGED = f"""{RANKED}, rows_ AS (
   SELECT rank, subcategory, 0 AS pos, 'Quality' AS aspect, quality_sentiment AS s, quality_summary AS m FROM best
   UNION ALL SELECT rank, subcategory, 1, 'Price', price_sentiment, price_summary FROM best),

@@ -8,7 +8,7 @@ from reviewloom.catalog import query
 from reviewloom.catalog import sql as S
 from reviewloom.catalog.views import ANALYSES, analyses
 from reviewloom.functions.text import word_count
-from reviewloom.operators import aggregates, filters, joins, metrics, periods, quality, retrieval, sampling
+from reviewloom.operators import aggregates, filters, joins, metrics, periods, quality, query_tables, retrieval, sampling
 from reviewloom.schemas import REVIEW_DDL, from_ddl
 
 
@@ -336,6 +336,19 @@ def nearest_vectors(t):
     return best.select("vec_id", F.round("score", 5).alias("score"))
 
 
+@query(
+    "G04_nearest_for_query_table",
+    """SELECT q.vec_id AS query_id, v.vec_id, round(list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 5) AS score,
+      CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) DESC, v.vec_id) AS INTEGER) AS rank
+    FROM embeddings AS q, embeddings AS v WHERE q.vec_id % 50 = 0 QUALIFY rank <= 10""",
+)
+def nearest_for_query_table(t):
+    """The ten nearest rows of every fiftieth vector, among all rows."""
+    asked = t.embeddings.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("values"))
+    best = query_tables.top_k_table(asked, t.embeddings, 10, row_id="vec_id", values="embedding")
+    return best.select("query_id", "vec_id", F.round("score", 5).alias("score"), "rank")
+
+
 @query(
     "G05_newest_artifact",
     """SELECT strftime(o_orderdate, '%Y-%m-%d') AS updated_at, 'model-' || o_orderkey AS path FROM orders

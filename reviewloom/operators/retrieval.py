@@ -66,21 +66,24 @@ def search(
     return rest.withColumn("rank", F.lit(1))
 
 
-def merge_aspects(found: DataFrame, col: str = "analysis", order: Sequence[str] = ("rank", "subcategory")) -> DataFrame:
+def merge_aspects(
+    found: DataFrame, col: str = "analysis", order: Sequence[str] = ("rank", "subcategory"), by: Sequence[str] = ()
+) -> DataFrame:
     """Aspects over ranked documents: the last document wins, first seen comes first.
 
-    An entry that isn't an object is skipped by itself.
+    ``by`` merges the documents of each query (or other key) by themselves. An entry that isn't an object is skipped by itself.
     """
     if dict(found.dtypes)[col] == "string":
-        rows = found.select(*order, F.posexplode(entries(col)).alias("_pos", "aspect", "_v")).withColumn("_f", finding("_v"))
+        rows = found.select(*by, *order, F.posexplode(entries(col)).alias("_pos", "aspect", "_v")).withColumn("_f", finding("_v"))
     else:
-        rows = found.select(*order, F.posexplode(col).alias("_pos", "aspect", "_f"))
+        rows = found.select(*by, *order, F.posexplode(col).alias("_pos", "aspect", "_f"))
     rows = rows.filter(F.col("_f").isNotNull())
     place = F.struct(*order, "_pos")
-    merged = rows.groupBy("aspect").agg(
+    merged = rows.groupBy(*by, "aspect").agg(
         F.min(place).alias("_first"), F.max(F.struct(*order, "_pos", "_f")).alias("_last")
     )
     return merged.select(
+        *by,
         "aspect",
         F.coalesce("_last._f.sentiment", F.lit("Unknown")).alias("sentiment"),
         F.coalesce("_last._f.summary", F.lit(C.NO_SUMMARY)).alias("summary"),
@@ -88,14 +91,14 @@ def merge_aspects(found: DataFrame, col: str = "analysis", order: Sequence[str]
     )
 
 
-def findings_report(merged: DataFrame) -> DataFrame:
-    """One text: a bullet per aspect, or the fixed sentence when there is none."""
+def findings_report(merged: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One text: a bullet per aspect, or the fixed sentence when there is none. With ``by``, one for each key that has aspects."""
     missing = F.concat(F.lit("- **"), F.col("aspect"), F.lit("**" + C.REPORT_MISSING))
     known = F.format_string("- **%s**:\n  Sentiment: %s\n  Summary: %s\n\n", "aspect", "sentiment", "summary")
     lines = merged.withColumn("_line", F.when(F.col("sentiment") == "Unknown", missing).otherwise(known))
-    body = lines.agg(F.expr("listagg(_line, '') within group (order by first_seen)").alias("_body"))
+    body = lines.groupBy(*by).agg(F.expr("listagg(_line, '') within group (order by first_seen)").alias("_body"))
     full = F.concat(F.lit(C.REPORT_HEAD), F.col("_body"), F.lit(C.REPORT_TAIL))
-    return body.select(F.coalesce(full, F.lit(C.REPORT_EMPTY)).alias("report"))
+    return body.select(*by, F.coalesce(full, F.lit(C.REPORT_EMPTY)).alias("report"))
 
 
 def vector_rows(df: DataFrame, path: str = "path", values: str = "values", include_category: bool = False) -> DataFrame:
