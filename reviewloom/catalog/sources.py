@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from reviewloom.catalog import query
 from reviewloom.catalog import sql as S
 from reviewloom.catalog.views import ANALYSES, analyses
+from reviewloom.functions.columns import path_metadata, vector_key, without_extension
 from reviewloom.functions.json_text import flatten_summaries
 from reviewloom.operators import aggregates, metrics, periods, sampling
 from reviewloom.session import scratch_path
-from reviewloom.sources import readers, writers
+from reviewloom.sources import keyed_files, readers, stored, writers
 
 ORDER_DDL = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string"
 ORDER_SQL = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders"
@@ -113,6 +114,34 @@ def write_summary_tree(t):
     return t.spark.read.schema(schema).json(path)
 
 
+@query(
+    "A08_file_per_key",
+    f"""WITH {ANALYSES}, flat AS (
+      SELECT category, year, month, subcategory, 'Quality' AS aspect, quality_sentiment AS sentiment, quality_summary AS summary FROM analyses
+      UNION ALL SELECT category, year, month, subcategory, 'Price', price_sentiment, price_summary FROM analyses)
+    SELECT category, CAST(year AS VARCHAR) AS year, CAST(month AS VARCHAR) AS month, subcategory,
+      sha256(subcategory || '_' || year || '_' || month) AS id, aspect, sentiment, summary FROM flat""",
+)
+def file_per_key(t):
+    """A file per category, year, month and subcategory: written, read as a tree, keyed by its path."""
+    flat = flatten_summaries(
+        analyses(t).select(
+            "category", "year", "month",
+            F.concat(F.lit('{"product_summaries": {"'), "subcategory", F.lit('": '), "analysis", F.lit("}}")).alias("analysis"),
+        )
+    )
+    rows = flat.withColumnRenamed("product_type", "subcategory")
+    root = keyed_files.write_file_per_key(rows, scratch_path(t.spark, "RAG"), order=["aspect"])
+    found = readers.read_json_tree(t.spark, root)
+    # the path below the root, as keys are taken from it
+    inside = F.concat(F.lit("RAG/"), F.substring_index(keyed_files.decoded("path"), "/", -4))
+    placed = found.withColumn("m", path_metadata(inside))
+    keys = {c: keyed_files.original(F.col(f"m.{c}")) for c in ("category", "year", "month")}
+    keys["subcategory"] = keyed_files.original(without_extension(F.col("m.subcategory")))
+    named = placed.select(*[v.alias(c) for c, v in keys.items()], F.from_json("record", "aspect string, sentiment string, summary string").alias("r"))
+    return named.select("category", "year", "month", "subcategory", vector_key("subcategory", "year", "month").alias("id"), "r.*")
+
+
 @query("A09_load_warehouse_table", "SELECT c_custkey, c_name, c_acctbal FROM customer")
 def load_warehouse_table(t):
     path = writers.write_stage(t.customer.select("c_custkey", "c_name", "c_acctbal"), scratch_path(t.spark, "csv"), fmt="csv")
@@ -152,6 +181,21 @@ def upsert_latest(t):
     return aggregates.upsert_latest(old, new, ["user_id", "event_type"], ["ts", "event_id"]).drop("ts")
 
 
+@query(
+    "A12_stored_upsert",
+    """SELECT user_id, event_type, event_id, value FROM (
+         SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+       WHERE rn = 1""",
+)
+def stored_upsert(t):
+    """Three upserts one after the other into a stored table."""
+    rows = t.events.select("user_id", "event_type", "ts", "event_id", "value")
+    path = scratch_path(t.spark, "keyed")
+    for i in range(3):
+        stored.upsert_stored(rows.filter(F.col("event_id") % 3 == i), path, ["user_id", "event_type"], ["ts", "event_id"], buckets=16)
+    return stored.read_stored(t.spark, path, rows.schema).drop("ts")
+
+
 @query(
     "A13_write_metrics",
     f"""WITH {S.PREDICTIONS}
