@@ -8,6 +8,7 @@ from reviewloom.catalog import query
 from reviewloom.catalog import sql as S
 from reviewloom.functions import constants as C
 from reviewloom.functions import labels as L
+from reviewloom.functions import sentiment as SC
 from reviewloom.functions.text import sentences
 from reviewloom.operators import aggregates, aspects, labeling
 
@@ -112,6 +113,64 @@ def lexicon_table(t):
     return labeling.lexicon_label(rows, lexicon).select("row_id", F.round("compound", 6).alias("compound"))
 
 
+# further endings for the rules of scope
+SCOPED_PHRASES = [
+    "This is not good at all.", "It ISN'T a great value, but the quality is VERY good!", "I never had bad service...", "REALLY GREAT and fast!!!",
+    "Good? Bad? Who knows??", "It was slightly bad but not terrible", "GOOD AND EASY", "Hardly any good quality, so very broken!", "Don’t love it.",
+]
+
+
+def emphatic(t):
+    phrase = F.element_at(F.array(*[F.lit(p) for p in SCOPED_PHRASES]), (F.col("doc_id") % len(SCOPED_PHRASES) + 1).cast("int"))
+    return t.documents.select(F.col("doc_id").alias("row_id"), F.concat("text", F.lit(" "), phrase).alias("text"))
+
+
+def _scoped_sql(valence: str) -> str:
+    """The scores by neighbours of each token, where the operator folds; ``valence`` gives v for the lower-case ``low``."""
+    spoken_words = r"regexp_extract_all(replace(text, '’', ''''), '[\p{L}\p{N}]+(?:[''’-][\p{L}\p{N}]+)*|\$')"
+    return f"""emphatic AS (SELECT doc_id AS row_id, text || ' ' || CASE doc_id % {len(SCOPED_PHRASES)}
+      {" ".join(f"WHEN {i} THEN {S.quoted([p])}" for i, p in enumerate(SCOPED_PHRASES))} END AS text FROM documents),
+    cut AS (SELECT row_id, {spoken_words} AS ws FROM emphatic),
+    loud AS (SELECT *, len(list_filter(ws, lambda w: upper(w) = w AND lower(w) <> w)) AS n_loud FROM cut),
+    words AS (SELECT row_id, unnest(ws) AS w, unnest(range(len(ws))) AS pos, n_loud > 0 AND n_loud < len(ws) AS mixed FROM loud),
+    valued AS (SELECT row_id, pos, lower(w) AS low, CASE WHEN mixed AND upper(w) = w AND lower(w) <> w THEN {SC.CAPITALS} ELSE 0 END AS shout, {valence}),
+    marked AS (SELECT row_id, pos, v + sign(v) * shout AS v, low = '{SC.CONTRAST}' AS c,
+      CASE WHEN v <> 0 THEN 0 WHEN low IN ({S.quoted(SC.STRONGER)}) THEN {SC.BOOST} + shout WHEN low IN ({S.quoted(SC.WEAKER)}) THEN -{SC.BOOST} - shout ELSE 0 END AS b,
+      CASE WHEN low IN ({S.quoted(SC.NEGATIONS)}) OR low LIKE '%n''t' THEN {SC.NEGATED} ELSE 1 END AS n FROM valued),
+    scope AS (SELECT row_id, pos, v,
+      {" + ".join(f"{f} * coalesce(lag(b, {d}) OVER o, 0)" for d, f in zip((1, 2, 3), SC.FADE))} AS push,
+      {" * ".join(f"coalesce(lag(n, {d}) OVER o, 1)" for d in (1, 2, 3))} AS turn, min(CASE WHEN c THEN pos END) OVER (PARTITION BY row_id) AS but
+      FROM marked WINDOW o AS (PARTITION BY row_id ORDER BY pos)),
+    totals AS (SELECT row_id, sum((v + sign(v) * push) * turn * CASE WHEN pos < but THEN {SC.BEFORE_CONTRAST} WHEN pos > but THEN {SC.AFTER_CONTRAST} ELSE 1 END) AS s FROM scope GROUP BY row_id),
+    marks AS (SELECT row_id, len(text) - len(replace(text, '!', '')) AS calls, len(text) - len(replace(text, '?', '')) AS asks FROM emphatic),
+    scored AS (SELECT row_id, s + sign(s) * (least(calls, {SC.EXCLAMATIONS}) * {SC.EXCLAMATION}
+      + CASE WHEN asks <= 1 THEN 0 WHEN asks <= {SC.QUESTIONS} THEN asks * {SC.QUESTION} ELSE {SC.MANY_QUESTIONS} END) AS s FROM totals JOIN marks USING (row_id)),
+    squashed AS (SELECT row_id, s / sqrt(s * s + 15) AS compound FROM scored)"""
+
+
+_LITERAL = f"CAST(CASE WHEN low IN ({_single(C.POSITIVE_WORDS)}) THEN 2 WHEN low IN ({_single(C.NEGATIVE_WORDS)}) THEN -2 ELSE 0 END AS DOUBLE) AS v FROM words"
+
+
+@query("J05_scoped_label", f"WITH {_scoped_sql(_LITERAL)} SELECT row_id, round(compound, 6) AS compound, {_NAME} AS sentiment_label FROM squashed")
+def scoped_label(t):
+    """Scores with negation, strength, capitals, contrast and exclamation."""
+    return labeling.lexicon_label(emphatic(t), scoped=True).select("row_id", F.round("compound", 6).alias("compound"), "sentiment_label")
+
+
+_TABLE = """coalesce(valence, 0) AS v FROM words LEFT JOIN (SELECT word, sum(valence) AS valence FROM (
+      SELECT word, CAST(len(word) % 7 AS DOUBLE) - 3 AS valence FROM (SELECT DISTINCT unnest(string_split(lower(text), ' ')) AS word FROM documents)
+      UNION ALL SELECT 'good', 1.5 UNION ALL SELECT 'bad', -1.5) GROUP BY word) ON word = lower(w)"""
+
+
+@query("J05_scoped_table", f"WITH {_scoped_sql(_TABLE)} SELECT row_id, round(compound, 6) AS compound, {_NAME} AS sentiment_label FROM squashed")
+def scoped_table(t):
+    """The same with a table of all words of the corpus."""
+    words = t.documents.select(F.explode(F.split(F.lower("text"), " ")).alias("word")).distinct()
+    more = t.spark.createDataFrame([("good", 1.5), ("bad", -1.5)], "word string, valence double")
+    table = words.withColumn("valence", F.length("word") % 7 - F.lit(3.0)).unionByName(more)
+    return labeling.lexicon_label(emphatic(t), table, scoped=True).select("row_id", F.round("compound", 6).alias("compound"), "sentiment_label")
+
+
 VOTES = f"""{SPOKEN}, {SCORES}, votes AS (SELECT row_id, rating, CAST(CASE WHEN rating >= 4 THEN 1 ELSE 0 END AS INTEGER) AS high_rating,
     CAST(CASE WHEN rating <= 2 THEN 2 ELSE 0 END AS INTEGER) AS low_rating,
     CAST(CASE WHEN compound >= 0.05 THEN 1 WHEN compound <= -0.05 THEN 2 ELSE 0 END AS INTEGER) AS lexicon FROM scores)"""
@@ -210,6 +269,24 @@ def keyword_table(t):
     return aspects.tag_aspects(rows, table).select("row_id", "aspect", "relevant_sentences")
 
 
+@query(
+    "K05_phrase_table",
+    """WITH k AS (
+      SELECT DISTINCT p_type AS aspect, split_part(p_name, ' ', 1) || ' ' || split_part(p_name, ' ', 2) AS phrase FROM part WHERE p_partkey % 3 = 0
+      UNION SELECT p_type, split_part(p_name, ' ', 1) || ' ' || split_part(p_name, ' ', 2) || ' ' || split_part(p_name, ' ', 3) FROM part WHERE p_partkey % 3 = 1
+      UNION SELECT p_type, split_part(p_name, ' ', 3) FROM part WHERE p_partkey % 30 = 2),
+    hits AS (SELECT DISTINCT p_partkey, aspect, p_name FROM part, k WHERE phrase <> '' AND contains(' ' || p_name || ' ', ' ' || trim(phrase) || ' '))
+    SELECT p_partkey AS row_id, aspect, p_name AS relevant_sentences FROM hits""",
+)
+def phrase_table(t):
+    """Keywords of one, two and three words from a table; the SQL twin searches the text for them."""
+    part = lambda *ns: F.concat_ws(" ", *[F.split_part("p_name", F.lit(" "), F.lit(n)) for n in ns])
+    rows = lambda cond, keyword: t.part.filter(cond).select(F.col("p_type").alias("aspect"), keyword.alias("keyword"))
+    table = rows("p_partkey % 3 = 0", part(1, 2)).union(rows("p_partkey % 3 = 1", part(1, 2, 3))).union(rows("p_partkey % 30 = 2", part(3)))
+    texts = t.part.select(F.col("p_partkey").alias("row_id"), F.col("p_name").alias("text"))
+    return aspects.tag_aspects(texts, table, several_words=True).select("row_id", "aspect", "relevant_sentences")
+
+
 @query(
     "K06_tag_conversations",
     f"""WITH spoken AS (SELECT conv_id * 1000 + turn AS row_id, text || ' Fast shipping. Cheap Price.' AS text FROM conversations),

@@ -86,12 +86,15 @@ def lexicon_maps(words: DataFrame) -> Column:
     ).scalar()
 
 
-def valence_sum(text="text", lexicon: dict[str, float] | None = None, maps=None) -> Column:
-    """Sum of word valences: of a short literal lexicon, or of ``maps``, a column from ``lexicon_maps``."""
+def map_value(maps):
+    """Looks a word up in a column from ``lexicon_maps``."""
+    return lambda t: F.try_element_at(F.get(_col(maps), _place(t)), t)
+
+
+def valence_sum(text="text", lexicon: dict[str, float] | None = None, value: Callable | None = None) -> Column:
+    """Sum of word valences: of a short literal lexicon, or as ``value`` gives them word by word."""
     found = tokens(F.lower(F.coalesce(_col(text), F.lit(""))))
-    if maps is not None:
-        value = lambda t: F.try_element_at(F.get(_col(maps), _place(t)), t)
-    else:
+    if value is None:
         lookup = F.create_map(*[F.lit(x) for w, v in sorted((lexicon or DEFAULT_LEXICON).items()) for x in (w, float(v))])
         value = lambda t: F.try_element_at(lookup, t)
     return F.aggregate(found, F.lit(0.0), lambda acc, t: acc + F.coalesce(value(t), F.lit(0.0)))
@@ -106,6 +109,13 @@ def lexicon_rule(text="text", lexicon: dict[str, float] | None = None) -> Column
     return score_label(compound(valence_sum(text, lexicon)))
 
 
+def scoped_rule(text="text", lexicon: dict[str, float] | None = None) -> Column:
+    """As :func:`lexicon_rule`, with negation, strength and contrast."""
+    from reviewloom.functions.sentiment import literal_valence, scoped_valence
+
+    return score_label(compound(scoped_valence(text, literal_valence(lexicon))))
+
+
 def rating_class(rating) -> Column:
     r = _col(rating)
     return F.when(r >= 4, "POSITIVE").when(r <= 2, "NEGATIVE").otherwise("NEUTRAL")
@@ -116,6 +126,7 @@ RULES: dict[str, Callable[..., Column]] = {
     "high_rating": high_rating,
     "low_rating": low_rating,
     "lexicon": lexicon_rule,
+    "scoped_lexicon": scoped_rule,
     "keyword_ratio": keyword_ratio,
     "has_positive": has_positive,
     "has_negative": has_negative,

@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.functions.columns import label_name
-from reviewloom.functions.labels import DEFAULT_RULES, RULES, compound, lexicon_maps, score_label, valence_sum
+from reviewloom.functions.labels import DEFAULT_RULES, RULES, compound, lexicon_maps, map_value, score_label, valence_sum
+from reviewloom.functions.sentiment import literal_valence, scoped_valence, spoken_tokens
+from reviewloom.functions.text import tokens
+from reviewloom.plans.skew import may_broadcast
+from reviewloom.session import settle
 
 
 def label_matrix(
     df: DataFrame, rules: Sequence[str] | dict[str, Column] = tuple(DEFAULT_RULES), lexicon: dict[str, float] | DataFrame | None = None
 ) -> DataFrame:
-    """One vote column per labelling rule; a given lexicon serves the rule of that name."""
+    """One vote column per labelling rule; a given lexicon serves the rules named lexicon and scoped_lexicon."""
     exprs = rules if isinstance(rules, dict) else {name: RULES[name]() for name in rules}
     out = df.withColumns(exprs)
-    if lexicon is not None and "lexicon" in exprs:
-        out = _with_valence(out, "text", lexicon, "lexicon", lambda v: score_label(compound(v)))
+    for name in ("lexicon", "scoped_lexicon"):
+        if lexicon is not None and name in exprs:
+            out = _with_valence(out, "text", lexicon, name, lambda v: score_label(compound(v)), scoped=name == "scoped_lexicon")
     return out
 
 
@@ -91,28 +96,53 @@ def majority_label(df: DataFrame, votes: Sequence[str], name: str = "majority",
 
 def lexicon_label(
     df: DataFrame, lexicon: dict[str, float] | DataFrame | None = None, text: str = "text", name: str = "sentiment_label",
+    scoped: bool = False, row_id: str = "row_id",
 ) -> DataFrame:
-    """Compound lexicon score and its label, row by row: no id is needed, no column moves.
+    """Compound lexicon score and its label.
 
-    The built-in lexicon is a literal. A given one, a mapping or a table (word, valence), becomes one value of short
-    maps that every row reads; a lexicon is bounded by its language's words.
+    The built-in lexicon is a literal. A given one, a mapping or a table (word, valence), is measured: while it is small it
+    becomes one value of short maps that every row reads, and no id is needed and no column moves; beyond, each row's words
+    are joined with the table by ``row_id``, which must be unique then. Both give the same scores. ``scoped`` counts
+    negation, strength and contrast as well (:func:`~reviewloom.functions.sentiment.scoped_valence`).
     """
-    return _with_valence(df, text, lexicon, "compound", compound).withColumn(name, label_name(score_label("compound")))
+    return _with_valence(df, text, lexicon, "compound", compound, scoped, row_id).withColumn(name, label_name(score_label("compound")))
 
 
-def _with_valence(df: DataFrame, text: str, lexicon: dict[str, float] | DataFrame | None, name: str, of) -> DataFrame:
+def _with_valence(
+    df: DataFrame, text: str, lexicon: dict[str, float] | DataFrame | None, name: str, of: Callable, scoped: bool = False, row_id: str = "row_id"
+) -> DataFrame:
     """Add ``of`` the valence sum of a text."""
     if lexicon is None:
-        return df.withColumn(name, of(valence_sum(text)))
+        return df.withColumn(name, of(scoped_valence(text, literal_valence()) if scoped else valence_sum(text)))
     if isinstance(lexicon, dict):
         lexicon = df.sparkSession.createDataFrame([(w, float(v)) for w, v in lexicon.items()], "word string, valence double")
-    return df.withColumn("_maps", lexicon_maps(lexicon)).withColumn(name, of(valence_sum(text, maps="_maps"))).drop("_maps")
+    known = lexicon.filter("word is not null").groupBy("word").agg(F.sum(F.col("valence").cast("double")).alias("valence"))
+    known = settle(known)
+    if may_broadcast(known):
+        held, value = df.withColumn("_maps", lexicon_maps(known)), map_value("_maps")
+    else:
+        said = F.transform(spoken_tokens(text), F.lower) if scoped else tokens(F.lower(F.coalesce(F.col(text), F.lit(""))))
+        held, value = with_known(df, said, known, row_id, "_maps"), lambda word: F.try_element_at("_maps", word)
+    total = scoped_valence(text, value) if scoped else valence_sum(text, value=value)
+    return held.withColumn(name, of(total)).drop("_maps")
+
+
+def with_known(df: DataFrame, said: Column, known: DataFrame, row_id: str, name: str) -> DataFrame:
+    """Add a map from those words of a row that a table of any size (word, value) holds to their values.
+
+    Only ids and words meet the table; a map is no larger than its row's distinct words. A row's id is unique and not null.
+    """
+    word, value = known.columns
+    pairs = df.select(row_id, F.explode(F.array_distinct(said)).alias(word))
+    held = pairs.join(known, word).groupBy(row_id).agg(F.map_from_entries(F.collect_list(F.struct(word, value))).alias(name))
+    empty = F.create_map().cast(dict(held.dtypes)[name])
+    return df.join(held, row_id, "left").withColumn(name, F.coalesce(name, empty)).select(*df.columns, name)
 
 
 def label_by_rating(df: DataFrame, label: str = "sentiment_label", rating: str = "rating") -> DataFrame:
     return df.groupBy(label, rating).agg(F.count(F.lit(1)).alias("n"))
 
 
-def aspect_labels(df: DataFrame, lexicon: dict[str, float] | DataFrame | None = None) -> DataFrame:
-    """Lexicon label of each aspect row's sentences; every row gets one."""
-    return _with_valence(df, "relevant_sentences", lexicon, "sentiment_label", lambda v: label_name(score_label(compound(v))))
+def aspect_labels(df: DataFrame, lexicon: dict[str, float] | DataFrame | None = None, scoped: bool = False, row_id: str = "row_id") -> DataFrame:
+    """Lexicon label of each aspect row's sentences; every row gets one. ``row_id`` names a unique column where the lexicon is large."""
+    return _with_valence(df, "relevant_sentences", lexicon, "sentiment_label", lambda v: label_name(score_label(compound(v))), scoped, row_id)
