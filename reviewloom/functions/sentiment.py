@@ -41,14 +41,20 @@ def spoken_tokens(text) -> Column:
     return F.regexp_extract_all(F.replace(F.coalesce(text, F.lit("")), F.lit("’"), F.lit("'")), F.lit(SPOKEN), F.lit(0))
 
 
-def _listed(word: Column, words: list[str]) -> Column:
-    return F.array_contains(F.array(*[F.lit(w) for w in words]), word)
-
-
 def literal_valence(lexicon: dict[str, float] | None = None):
     """Looks a lower-case word up in a short lexicon."""
-    table = F.create_map(*[F.lit(x) for w, v in sorted((lexicon or DEFAULT_LEXICON).items()) for x in (w, float(v))])
-    return lambda word: F.try_element_at(table, word)
+    by_value: dict[float, list[str]] = {}
+    for word, v in sorted((lexicon or DEFAULT_LEXICON).items()):
+        by_value.setdefault(float(v), []).append(word)
+
+    def value(word: Column) -> Column:
+        # sets of words are hashed, where a map would be searched entry by entry
+        found = F.lit(None).cast("double")
+        for v, words in by_value.items():
+            found = F.when(word.isin(words), F.lit(v)).otherwise(found)
+        return found
+
+    return value
 
 
 def emphasis(text) -> Column:
@@ -69,21 +75,20 @@ def scoped_valence(text="text", valence=None) -> Column:
     """
     valence = valence or literal_valence()
     text = F.col(text) if isinstance(text, str) else text
+    loud = lambda w: (F.upper(w) == w) & (F.lower(w) != w)
 
-    def described(words: Column) -> Column:
-        loud = lambda w: (F.upper(w) == w) & (F.lower(w) != w)
+    def mixed(words: Column) -> Column:
         n_loud = F.size(F.filter(words, loud))
-        mixed = (n_loud > 0) & (n_loud < F.size(words))
+        return (n_loud > 0) & (n_loud < F.size(words))
 
-        def one(w: Column) -> Column:
-            low = F.lower(w)
-            value = F.coalesce(valence(low), F.lit(0.0))
-            shout = F.when(mixed & loud(w), F.lit(CAPITALS)).otherwise(0.0)
-            push = F.when(value != 0, 0.0).when(_listed(low, STRONGER), BOOST + shout).when(_listed(low, WEAKER), -BOOST - shout).otherwise(0.0)
-            turns = _listed(low, NEGATIONS) | low.endswith("n't")
-            return F.struct((value + F.signum(value) * shout).alias("v"), push.alias("b"), F.when(turns, NEGATED).otherwise(1.0).alias("n"), (low == CONTRAST).alias("c"))
+    def told(w: Column, some_loud: Column) -> Column:
+        return F.struct(F.lower(w).alias("low"), F.coalesce(valence(F.lower(w)), F.lit(0.0)).alias("v"), F.when(some_loud & loud(w), CAPITALS).otherwise(0.0).alias("shout"))
 
-        return F.transform(words, one)
+    def marked(w: Column) -> Column:
+        low, value, shout = w["low"], w["v"], w["shout"]
+        push = F.when(value != 0, 0.0).when(low.isin(STRONGER), BOOST + shout).when(low.isin(WEAKER), -BOOST - shout).otherwise(0.0)
+        turns = low.isin(NEGATIONS) | low.endswith("n't")
+        return F.struct((value + F.signum(value) * shout).alias("v"), push.alias("b"), F.when(turns, NEGATED).otherwise(1.0).alias("n"), (low == CONTRAST).alias("c"))
 
     start = F.struct(
         F.lit(0.0).alias("total"), F.lit(1.0).alias("weight"), *[F.lit(x).alias(f"{c}{d}") for d in (1, 2, 3) for c, x in (("b", 0.0), ("n", 1.0))]
@@ -99,6 +104,9 @@ def scoped_valence(text="text", valence=None) -> Column:
             t["b"].alias("b1"), t["n"].alias("n1"), s["b1"].alias("b2"), s["n1"].alias("n2"), s["b2"].alias("b3"), s["n2"].alias("n3"),
         )
 
-    # the one-element array keeps the tokens from being found again for each use
-    total = F.flatten(F.transform(F.array(spoken_tokens(text)), lambda words: F.array(F.aggregate(described(words), start, step, lambda s: s["total"]))))
-    return F.transform(total, lambda s: s + F.signum(s) * emphasis(text))[0]
+    def folded(words: Column, some_loud: Column) -> Column:
+        return F.aggregate(F.transform(F.transform(words, lambda w: told(w, some_loud)), marked), start, step, lambda s: s["total"])
+
+    # one-element arrays keep what stands in them from being found again for each use
+    per_text = F.transform(F.array(spoken_tokens(text)), lambda words: F.transform(F.array(mixed(words)), lambda some: folded(words, some)))
+    return F.transform(F.flatten(per_text), lambda s: s + F.signum(s) * emphasis(text))[0]
