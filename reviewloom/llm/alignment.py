@@ -27,6 +27,9 @@ CHUNK_BYTES = 1_000_000
 # pairs of ids multiplied out at once, and kept in one stored row
 PAIRS_AT_ONCE = 2_000_000
 PAIRS_IN_ROW = 100_000
+# spans that a task remembers, and their greatest length
+REMEMBERED = 200_000
+REMEMBERED_CHARS = 32
 # id pairs of the corpus that may be broadcast (24 bytes each, also bounded in bytes)
 BROADCAST_PAIRS = 600_000
 # an id pair is one number: the first id times this, plus the second
@@ -98,12 +101,32 @@ class ByteLevel:
             self.encode = lambda texts: [e.ids for e in own.encode_batch_fast(texts, add_special_tokens=False)]
 
 
+def cut_at_spaces(model: bytes) -> bool:
+    """May a text be cut before each run of spaces that follows other text, without changing its pieces?
+
+    It may when texts stay as they are, pieces come from merging neighbours, and no piece holds a space after other text.
+    """
+    from sentencepiece import sentencepiece_model_pb2
+
+    parsed = sentencepiece_model_pb2.ModelProto.FromString(model)
+    kept, kinds = parsed.normalizer_spec, parsed.pieces[0].Type
+    return (
+        parsed.trainer_spec.model_type == parsed.trainer_spec.BPE
+        and not kept.precompiled_charsmap and not kept.remove_extra_whitespaces and kept.escape_whitespaces and kept.add_dummy_prefix
+        and "▁" in {p.piece for p in parsed.pieces}
+        and not any(p.type in (kinds.USER_DEFINED, kinds.UNUSED) or "▁" in p.piece.lstrip("▁") for p in parsed.pieces)
+    )
+
+
 class Pieces:
-    """A SentencePiece model; it puts a space before a text by itself."""
+    """A SentencePiece model; it puts a space before a text by itself. Short spans between spaces are encoded once and remembered."""
 
     def __init__(self, model: bytes):
         import sentencepiece
 
+        self.known: dict[str, list[int]] = {}
+        self.cut = re.compile(" +[^ ]*" if cut_at_spaces(model) else "(?s).+").findall
+
         own = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.size = own.get_piece_size()
         self.bytes = []
@@ -111,7 +134,21 @@ class Pieces:
             piece = own.id_to_piece(i)
             one = re.fullmatch("<0x([0-9A-F]{2})>", piece) if own.is_byte(i) else None
             self.bytes.append(bytes([int(one[1], 16)]) if one else piece.replace("▁", " ").encode())
-        self.encode = lambda texts: own.encode([t[1:] for t in texts], num_threads=1)
+        self.own = own
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        if len(self.known) > REMEMBERED:
+            self.known = {}
+        spans = [self.cut(t) for t in texts]
+        new = list(set().union(*spans).difference(self.known))
+        ids = self.own.encode([t[1:] for t in new], num_threads=1)
+        # an empty text gets no space by itself
+        self.known.update((t, i if t != " " else [self.own.piece_to_id("▁")]) for t, i in zip(new, ids))
+        found = [list(chain.from_iterable(map(self.known.__getitem__, s))) for s in spans]
+        for t in new:
+            if len(t) > REMEMBERED_CHARS:
+                del self.known[t]
+        return found
 
 
 class Tokens:
@@ -210,7 +247,10 @@ class Alignment:
 
 def _summed(x: np.ndarray, y: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (x, y), sorted, with the sums of ``times``."""
-    order = np.lexsort((y, x))
+    if len(x) and int(x.max()) * (span := int(y.max()) + 1) < 2**62:
+        order = np.argsort(x * span + y, kind="stable")
+    else:
+        order = np.lexsort((y, x))
     x, y, times = x[order], y[order], times[order]
     first = np.flatnonzero(np.append(True, (x[1:] != x[:-1]) | (y[1:] != y[:-1]))[: len(x)])
     return x[first], y[first], np.add.reduceat(times, first) if len(first) else times
