@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +21,10 @@ SIMILARITY = 0.8
 # a pair of similarity 0.8 misses all bands with a chance of 3e-6
 BANDS, ROWS = 32, 5
 TEXTS_AT_ONCE = 2048
+# rows and bytes of text of a block of a band, texts in a batch that goes to Python, shingles a cell remembers
+CELL_ROWS, CELL_BYTES = 1024, 32_000_000
+TEXTS_IN_BATCH = 128
+BAGS_AT_ONCE = 4_000_000
 # so many deviations below the agreement of a pair of just the wanted similarity, signatures rule a pair out (2.4e-7)
 DEVIATIONS = 5.5
 
@@ -164,13 +169,15 @@ def sketch(documents: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def _alike(similarity: float):
-    def multiset(text: str) -> tuple[np.ndarray, np.ndarray]:
-        buf = LOWER[np.frombuffer(text.encode(), np.uint8)]
-        starts, ends, at = spans(buf, np.array([0, len(buf)]), WORD)
-        _, hashes, counts = weighted(*shingles(span_hashes(buf, starts, ends), at, 1))
-        return hashes, counts
+def multiset(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of a text's distinct shingles and how often each occurs."""
+    buf = LOWER[np.frombuffer(text.encode(), np.uint8)]
+    starts, ends, at = spans(buf, np.array([0, len(buf)]), WORD)
+    _, hashes, counts = weighted(*shingles(span_hashes(buf, starts, ends), at, 1))
+    return hashes, counts
+
 
+def _alike(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, name = None, None
         for batch in batches:
@@ -190,8 +197,7 @@ def _alike(similarity: float):
 
 
 def _agreeing(similarity: float):
-    size = BANDS * ROWS
-    least = size * similarity - DEVIATIONS * np.sqrt(size * similarity * (1 - similarity))
+    size, least = BANDS * ROWS, _least(similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,6 +207,118 @@ def _agreeing(similarity: float):
     return run
 
 
+def _root(up: dict, x):
+    while up[x] != x:
+        up[x] = up[up[x]]
+        x = up[x]
+    return x
+
+
+def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each (band, lo, hi), which come sorted by it."""
+    held: list[pa.RecordBatch] = []
+    name = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([np.asarray(batch[c]).astype(np.int64) for c in ("band", "lo", "hi")])
+        cuts = np.append(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1, batch.num_rows)
+        lo = 0
+        for hi in cuts:
+            here = tuple(keys[:, lo])
+            if held and here != name:
+                yield pa.Table.from_batches(held)
+                held = []
+            name = here
+            held.append(batch.slice(lo, hi - lo))
+            lo = hi
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _close(cell: pa.Table, least: float) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, other rows) of a cell whose signatures may belong to alike texts of different groups.
+
+    A cell compares all its rows, or those of its one block with those of the other. A pair counts in the first band that
+    it shares, so it comes up in one cell only.
+    """
+    n = cell.num_rows
+    short = np.frombuffer(b"".join(cell["short"].to_pylist()), np.uint8).reshape(n, BANDS * ROWS)
+    own, at = np.asarray(cell["own"]), int(cell["at"][0].as_py())
+    lo, hi = int(cell["lo"][0].as_py()), int(cell["hi"][0].as_py())
+    _, group = np.unique(np.array(cell["group"].to_pylist(), object), return_inverse=True)
+    rows = np.flatnonzero(own == lo)
+    others = rows if lo == hi else np.flatnonzero(own == hi)
+    for place, x in enumerate(rows):
+        rest = others[place + 1 :] if lo == hi else others
+        rest = rest[group[rest] != group[x]]
+        if not len(rest):
+            continue
+        same = short[rest] == short[x]
+        near = np.flatnonzero(same.sum(1) >= least)
+        if len(near):
+            first = same[near].reshape(len(near), BANDS, ROWS).all(2).argmax(1)
+            near = near[first == at]
+            if len(near):
+                yield int(x), rest[near]
+
+
+def _least(similarity: float) -> float:
+    size = BANDS * ROWS
+    return size * similarity - DEVIATIONS * np.sqrt(size * similarity * (1 - similarity))
+
+
+def _kept_in_cells(similarity: float):
+    """Only those rows of a cell that have a possible partner there."""
+    least = _least(similarity)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in _by_cell(batches):
+            keep = np.zeros(cell.num_rows, bool)
+            for x, near in _close(cell, least):
+                keep[x] = True
+                keep[near] = True
+            if keep.any():
+                yield from cell.filter(pa.array(keep)).to_batches()
+
+    return run
+
+
+def _links_in_cells(similarity: float):
+    """Links (a, b) of alike texts that join the groups of a cell; a pair of groups already joined needs no other."""
+    least = _least(similarity)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in _by_cell(batches):
+            group, up = cell["group"].to_pylist(), {}
+            for g in group:
+                up[g] = g
+            bags: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+            held, links = 0, []
+
+            def bag(i: int):
+                nonlocal held
+                if i not in bags:
+                    if held > BAGS_AT_ONCE:
+                        bags.clear()
+                        held = 0
+                    bags[i] = multiset(cell["text"][i].as_py())
+                    held += len(bags[i][0])
+                return bags[i]
+
+            for x, near in _close(cell, least):
+                for y in near.tolist():
+                    a, b = _root(up, group[x]), _root(up, group[y])
+                    if a != b and overlap(bag(x), bag(y)) >= similarity:
+                        up[a] = b
+                        links.append((x, y))
+            if links:
+                nodes = cell["node"].to_pylist()
+                yield pa.RecordBatch.from_pydict({c: pa.array([nodes[p[i]] for p in links], pa.binary()) for i, c in enumerate("ab")})
+
+    return run
+
+
 def likely(pairs: DataFrame, shorts: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose signatures don't rule the similarity out; ``shorts`` holds (node, short)."""
     left = pairs.join(shorts.select(F.col("node").alias("a"), F.col("short").alias("short_a")), "a")
@@ -251,48 +369,82 @@ def unite(labels: DataFrame, edges: DataFrame) -> DataFrame:
 def _linked(sketched: DataFrame, first: DataFrame, similarity: float) -> DataFrame:
     """(node, group) of all nodes that share a band with another; groups are connected by verified pairs."""
     keys = sketched.select("_node", "_rid", "_bands").join(first.select("_rid"), "_rid", "left_semi")
-    keys = keys.select(F.col("_node").alias("node"), F.explode("_bands").alias("band"))
+    keys = keys.select(F.col("_node").alias("node"), F.posexplode("_bands").alias("at", "band"))
     shared = stored(keys.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "hub"))
     members = stored(keys.join(shared, "band"))
     labels = stored(members.select("node").distinct().select("node", F.col("node").alias("group")))
     named = first.join(labels.select(F.col("node").alias("_node")), "_node")
-    shorts = stored(join_small(sketched.select("_rid", "_short"), named, "_rid").select(F.col("_node").alias("node"), F.col("_short").alias("short")))
+    size = F.octet_length("text").cast("long").alias("size")
+    shorts = stored(join_small(sketched.select("_rid", "_short", size), named, "_rid").select(F.col("_node").alias("node"), F.col("_short").alias("short"), "size"))
     # first each node next to the least node that it shares most bands with
     counted = members.filter("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("n"))
     best = counted.groupBy("node").agg(F.max(F.struct("n", "hub")).alias("best"))
     pairs = stored(best.select(F.col("node").alias("a"), F.col("best.hub").alias("b")))
-    tried, whole = pairs, False
-    while True:
-        labels = unite(labels, stored(verified(stored(likely(pairs, shorts, similarity)), sketched, first, similarity)))
-        # then groups next to the largest of a band, once; at last whatever is left across groups
-        pairs = _untried(members.select("band", "node"), labels, tried, whole)
-        if whole and pairs.isEmpty():
-            return labels
-        tried, whole = tried.union(pairs), True
+    labels = unite(labels, _checked(pairs, shorts, sketched, first, similarity))
+    # then one node of each group in a band next to one of the band's largest group
+    groups = members.join(labels, "node").groupBy("band", "group").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
+    largest = groups.groupBy("band").agg(F.max(F.struct("n", "group", "node")).alias("top"), F.count(F.lit(1)).alias("groups"))
+    stars = groups.join(largest.filter("groups > 1"), "band").filter("group <> top.group")
+    pairs = stored(stars.select(F.greatest("node", "top.node").alias("a"), F.least("node", "top.node").alias("b")).distinct())
+    labels = unite(labels, _checked(pairs, shorts, sketched, first, similarity))
+    # at last everything that is left across groups, so that no link between different texts is lost
+    return unite(labels, _across(members, labels, shorts, sketched, first, similarity))
+
+
+def _checked(pairs: DataFrame, shorts: DataFrame, sketched: DataFrame, first: DataFrame, similarity: float) -> DataFrame:
+    with _small_batches(pairs.sparkSession):
+        return stored(verified(stored(likely(pairs, shorts, similarity)), sketched, first, similarity))
 
 
-def _untried(members: DataFrame, labels: DataFrame, tried: DataFrame, whole: bool) -> DataFrame:
-    """Pairs across groups that share a band and weren't compared yet.
+@contextmanager
+def _small_batches(spark: SparkSession):
+    """Python workers take few texts at a time while tables are written inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(TEXTS_IN_BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
-    One node of each group in a band next to one of the band's largest group; or, ``whole``, every node outside the
-    largest group next to every node of other groups there, so that no link between different texts is lost.
+
+def _across(members: DataFrame, labels: DataFrame, shorts: DataFrame, sketched: DataFrame, first: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between groups that share a band, found inside bounded cells.
+
+    The members of a band outside its largest group form blocks, those inside form others; a block of the former and any
+    other block meet in a cell. Signatures are compared in the cell's task, and only rows with a possible partner move
+    on, to meet again with their texts. So rows are never paired up in a table, whatever the size of a band; a cell holds
+    at most two blocks, bounded in rows and in bytes of text but for a single longer one.
     """
-    placed = stored(members.join(labels, "node"))
-    groups = placed.groupBy("band", "group").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
-    largest = groups.groupBy("band").agg(F.max(F.struct("n", "group", "node")).alias("top"), F.count(F.lit(1)).alias("groups"))
-    mixed = stored(largest.filter("groups > 1").select("band", F.col("top.group").alias("top"), F.col("top.node").alias("hub")))
-    split = stored(placed.join(mixed, "band"))
-    stars = split.filter("group <> top").groupBy("band", "group", "hub").agg(F.min("node").alias("node"))
-
-    def fresh(pairs: DataFrame) -> DataFrame:
-        ordered = pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
-        return stored(ordered.join(tried, ["a", "b"], "left_anti"))
-
-    if not whole:
-        return fresh(stars.select(F.col("node").alias("x"), F.col("hub").alias("y")))
-    outside = split.filter("group <> top").select("band", F.col("group").alias("own"), F.col("node").alias("x"))
-    across = outside.join(split.select("band", "group", F.col("node").alias("y")), "band").filter("group <> own")
-    return fresh(across)
+    placed = members.join(labels, "node")
+    groups = placed.groupBy("band", "group").agg(F.count(F.lit(1)).alias("n"))
+    largest = groups.groupBy("band").agg(F.max(F.struct("n", "group")).alias("top"), F.count(F.lit(1)).alias("groups"))
+    mixed = stored(largest.filter("groups > 1").select("band", F.col("top.group").alias("top")))
+    split = placed.join(mixed, "band").join(shorts, "node")
+    split = stored(split.select("band", "at", "node", "group", (F.col("group") == F.col("top")).alias("inner"), "short", "size"))
+
+    def blocks(inner: bool):
+        mine = F.col("inner") if inner else ~F.col("inner")
+        rows, size = F.count_if(mine), F.sum(F.when(mine, F.col("size")).otherwise(0))
+        return F.greatest(F.ceil(rows / CELL_ROWS), F.ceil(size / CELL_BYTES), F.lit(1)).cast("int")
+
+    counts = split.groupBy("band").agg(blocks(False).alias("outer_blocks"), blocks(True).alias("inner_blocks"))
+    cut = split.join(counts, "band")
+    hashed = F.xxhash64("node")
+    own = F.when(F.col("inner"), F.col("outer_blocks") + F.pmod(hashed, "inner_blocks")).otherwise(F.pmod(hashed, "outer_blocks")).cast("int")
+    last = F.when(F.col("inner"), F.col("outer_blocks") - 1).otherwise(F.col("outer_blocks") + F.col("inner_blocks") - 1)
+    met = cut.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    names = ["band", "lo", "hi", "at", "node", "group", "own", "short"]
+    cells = met.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).select(*names)
+
+    def sorted_cells(rows: DataFrame) -> DataFrame:
+        return rows.repartition("band", "lo", "hi").sortWithinPartitions("band", "lo", "hi")
+
+    kept = stored(sorted_cells(cells).mapInArrow(_kept_in_cells(similarity), cells.schema))
+    wanted = join_small(first.select("_rid", "_node"), kept.select(F.col("node").alias("_node")).distinct(), "_node")
+    texts = join_small(sketched.select("_rid", "text"), wanted, "_rid").select(F.col("_node").alias("node"), "text")
+    with _small_batches(members.sparkSession):
+        return stored(sorted_cells(kept.join(texts, "node")).mapInArrow(_links_in_cells(similarity), "a binary, b binary"))
 
 
 def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from reviewloom.llm import bagminhash
 from reviewloom.llm.bagminhash import classes, deduplicated, overlap, signatures, weighted
 from reviewloom.llm.textbytes import mix
 
@@ -140,3 +141,36 @@ def test_given_documents(spark):
     out = QUERIES["op8_bagminhash_classes"](spark, folder).collect()
     assert sorted((r.doc_id, r.class_id, r.class_size) for r in out) == sorted(expected(docs))
     assert sum(r.representative for r in out) == len({r.class_id for r in out})
+
+
+def crowded(seed, n=260):
+    """Texts that share one long passage, so that hundreds of unlike texts meet in a band, with a few pairs of near copies."""
+    draw = random.Random(seed)
+    passage = [f"p{i}" for i in range(120)]
+    docs = []
+    for i in range(n):
+        own = [f"d{i}x{draw.randrange(10**6)}" for _ in range(draw.randint(30, 60))]
+        docs.append(" ".join(passage + own))
+        if i % 13 == 0:
+            docs.append(" ".join(passage + own[:-1] + ["other"]))
+        if i % 20 == 0:
+            docs.append(" ".join(["before"] + passage + own))
+    draw.shuffle(docs)
+    return list(enumerate(docs))
+
+
+@pytest.mark.parametrize("cell", [1024, 16])
+def test_bands_that_many_unlike_texts_share(rows, monkeypatch, cell):
+    monkeypatch.setattr(bagminhash, "CELL_ROWS", cell)
+    docs = crowded(3)
+    assert got(rows("doc_id long, text string", *docs)) == expected(docs)
+
+
+def test_no_rows_are_paired_up_across_groups(spark, rows, monkeypatch):
+    docs = crowded(4, 120)
+    df = rows("doc_id long, text string", *docs)
+    sizes = []
+    kept = bagminhash.stored
+    monkeypatch.setattr(bagminhash, "stored", lambda d: (t := kept(d), sizes.append(t.count()))[0])
+    got(df)
+    assert max(sizes) <= len(docs) * bagminhash.BANDS
