@@ -25,6 +25,7 @@ TEXTS_AT_ONCE = 2048
 CELL_ROWS, CELL_BYTES = 1024, 32_000_000
 TEXTS_IN_BATCH = 128
 BAGS_AT_ONCE = 4_000_000
+LINKS = "a long, b long"
 # so many deviations below the agreement of a pair of just the wanted similarity, signatures rule a pair out (2.4e-7)
 DEVIATIONS = 5.5
 
@@ -191,7 +192,7 @@ def _alike(similarity: float):
                     # a multiset can't be this alike to one of a very different size
                     good.append(overlap(multiset(left), held) >= similarity)
                 keep = [i for i, g in enumerate(good) if g]
-                yield pa.RecordBatch.from_pydict({"a": pa.array([a[i] for i in keep], pa.binary()), "b": pa.array([b[i] for i in keep], pa.binary())})
+                yield pa.RecordBatch.from_pydict({"a": pa.array([a[i] for i in keep], pa.int64()), "b": pa.array([b[i] for i in keep], pa.int64())})
 
     return run
 
@@ -246,7 +247,7 @@ def _close(cell: pa.Table, least: float) -> Iterator[tuple[int, np.ndarray]]:
     short = np.frombuffer(b"".join(cell["short"].to_pylist()), np.uint8).reshape(n, BANDS * ROWS)
     own, at = np.asarray(cell["own"]), int(cell["at"][0].as_py())
     lo, hi = int(cell["lo"][0].as_py()), int(cell["hi"][0].as_py())
-    _, group = np.unique(np.array(cell["group"].to_pylist(), object), return_inverse=True)
+    group = np.asarray(cell["group"])
     rows = np.flatnonzero(own == lo)
     others = rows if lo == hi else np.flatnonzero(own == hi)
     for place, x in enumerate(rows):
@@ -314,7 +315,7 @@ def _links_in_cells(similarity: float):
                         links.append((x, y))
             if links:
                 nodes = cell["node"].to_pylist()
-                yield pa.RecordBatch.from_pydict({c: pa.array([nodes[p[i]] for p in links], pa.binary()) for i, c in enumerate("ab")})
+                yield pa.RecordBatch.from_pydict({c: pa.array([nodes[p[i]] for p in links], pa.int64()) for i, c in enumerate("ab")})
 
     return run
 
@@ -323,17 +324,21 @@ def likely(pairs: DataFrame, shorts: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose signatures don't rule the similarity out; ``shorts`` holds (node, short)."""
     left = pairs.join(shorts.select(F.col("node").alias("a"), F.col("short").alias("short_a")), "a")
     both = left.join(shorts.select(F.col("node").alias("b"), F.col("short").alias("short_b")), "b")
-    return both.select("a", "b", "short_a", "short_b").mapInArrow(_agreeing(similarity), "a binary, b binary")
+    return both.select("a", "b", "short_a", "short_b").mapInArrow(_agreeing(similarity), LINKS)
 
 
-def verified(pairs: DataFrame, sketched: DataFrame, first: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose texts' shingle multisets overlap enough. ``first`` names a row of each node."""
-    needed = pairs.select(F.col("a").alias("_node")).union(pairs.select(F.col("b").alias("_node"))).distinct()
-    wanted = first.join(needed, "_node").select("_rid", "_node")
-    texts = join_small(sketched.select("_rid", "text"), wanted, "_rid").select("_node", "text")
-    left = pairs.join(texts.select(F.col("_node").alias("a"), F.col("text").alias("text_a")), "a")
-    both = left.join(texts.select(F.col("_node").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_alike(similarity), "a binary, b binary")
+def verified(pairs: DataFrame, sketched: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose texts' shingle multisets overlap enough."""
+    needed = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    texts = _texts(sketched, needed)
+    left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    both = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(_alike(similarity), LINKS)
+
+
+def _texts(sketched: DataFrame, needed: DataFrame) -> DataFrame:
+    """node and text of the nodes that are ``needed``."""
+    return join_small(sketched.select(F.col("_rid").alias("node"), "text"), needed, "node")
 
 
 def stored(rows: DataFrame) -> DataFrame:
@@ -367,33 +372,35 @@ def unite(labels: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _linked(sketched: DataFrame, first: DataFrame, similarity: float) -> DataFrame:
-    """(node, group) of all nodes that share a band with another; groups are connected by verified pairs."""
-    keys = sketched.select("_node", "_rid", "_bands").join(first.select("_rid"), "_rid", "left_semi")
-    keys = keys.select(F.col("_node").alias("node"), F.posexplode("_bands").alias("at", "band"))
+    """(node, group) of all nodes that share a band with another; groups are connected by verified pairs.
+
+    A node goes by the number of its first row, as ``first`` holds them.
+    """
+    keys = sketched.select("_rid", "_bands").join(first, "_rid", "left_semi")
+    keys = keys.select(F.col("_rid").alias("node"), F.posexplode("_bands").alias("at", "band"))
     shared = stored(keys.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "hub"))
     members = stored(keys.join(shared, "band"))
     labels = stored(members.select("node").distinct().select("node", F.col("node").alias("group")))
-    named = first.join(labels.select(F.col("node").alias("_node")), "_node")
-    size = F.octet_length("text").cast("long").alias("size")
-    shorts = stored(join_small(sketched.select("_rid", "_short", size), named, "_rid").select(F.col("_node").alias("node"), F.col("_short").alias("short"), "size"))
+    sizes = sketched.select(F.col("_rid").alias("node"), F.col("_short").alias("short"), F.octet_length("text").cast("long").alias("size"))
+    shorts = stored(join_small(sizes, labels.select("node"), "node"))
     # first each node next to the least node that it shares most bands with
     counted = members.filter("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("n"))
     best = counted.groupBy("node").agg(F.max(F.struct("n", "hub")).alias("best"))
     pairs = stored(best.select(F.col("node").alias("a"), F.col("best.hub").alias("b")))
-    labels = unite(labels, _checked(pairs, shorts, sketched, first, similarity))
+    labels = unite(labels, _checked(pairs, shorts, sketched, similarity))
     # then one node of each group in a band next to one of the band's largest group
     groups = members.join(labels, "node").groupBy("band", "group").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
     largest = groups.groupBy("band").agg(F.max(F.struct("n", "group", "node")).alias("top"), F.count(F.lit(1)).alias("groups"))
     stars = groups.join(largest.filter("groups > 1"), "band").filter("group <> top.group")
     pairs = stored(stars.select(F.greatest("node", "top.node").alias("a"), F.least("node", "top.node").alias("b")).distinct())
-    labels = unite(labels, _checked(pairs, shorts, sketched, first, similarity))
+    labels = unite(labels, _checked(pairs, shorts, sketched, similarity))
     # at last everything that is left across groups, so that no link between different texts is lost
-    return unite(labels, _across(members, labels, shorts, sketched, first, similarity))
+    return unite(labels, _across(members, labels, shorts, sketched, similarity))
 
 
-def _checked(pairs: DataFrame, shorts: DataFrame, sketched: DataFrame, first: DataFrame, similarity: float) -> DataFrame:
+def _checked(pairs: DataFrame, shorts: DataFrame, sketched: DataFrame, similarity: float) -> DataFrame:
     with _small_batches(pairs.sparkSession):
-        return stored(verified(stored(likely(pairs, shorts, similarity)), sketched, first, similarity))
+        return stored(verified(stored(likely(pairs, shorts, similarity)), sketched, similarity))
 
 
 @contextmanager
@@ -408,7 +415,7 @@ def _small_batches(spark: SparkSession):
         spark.conf.set(name, before)
 
 
-def _across(members: DataFrame, labels: DataFrame, shorts: DataFrame, sketched: DataFrame, first: DataFrame, similarity: float) -> DataFrame:
+def _across(members: DataFrame, labels: DataFrame, shorts: DataFrame, sketched: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b) between groups that share a band, found inside bounded cells.
 
     The members of a band outside its largest group form blocks, those inside form others; a block of the former and any
@@ -441,10 +448,9 @@ def _across(members: DataFrame, labels: DataFrame, shorts: DataFrame, sketched:
         return rows.repartition("band", "lo", "hi").sortWithinPartitions("band", "lo", "hi")
 
     kept = stored(sorted_cells(cells).mapInArrow(_kept_in_cells(similarity), cells.schema))
-    wanted = join_small(first.select("_rid", "_node"), kept.select(F.col("node").alias("_node")).distinct(), "_node")
-    texts = join_small(sketched.select("_rid", "text"), wanted, "_rid").select(F.col("_node").alias("node"), "text")
+    texts = _texts(sketched, kept.select("node").distinct())
     with _small_batches(members.sparkSession):
-        return stored(sorted_cells(kept.join(texts, "node")).mapInArrow(_links_in_cells(similarity), "a binary, b binary"))
+        return stored(sorted_cells(kept.join(texts, "node")).mapInArrow(_links_in_cells(similarity), LINKS))
 
 
 def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -458,7 +464,7 @@ def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     ``_short``, ``_rid``, ``_class``, ``_size`` or ``_keep`` are replaced.
 
     The rows are written once to the shared folder with their sketch, so that they keep an identity. Everything after
-    it moves names of 16 bytes, and the texts of candidate pairs only.
+    it moves row numbers, and the texts of candidate pairs only.
     """
     spark = documents.sparkSession
     path = scratch_path(spark, "sketched")
@@ -468,9 +474,9 @@ def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     sketched = spark.read.schema(rows.schema).parquet(path)
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"), F.col("_rid").alias("rid"))
     nodes = stored(sketched.filter("_node is not null").groupBy("_node").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("n")))
-    first = nodes.select("_node", F.col("best.rid").alias("_rid"))
-    labels = _linked(sketched, first, similarity)
-    grouped = nodes.join(labels.select(F.col("node").alias("_node"), "group"), "_node", "left").withColumn("group", F.coalesce("group", "_node"))
+    numbered = nodes.withColumn("node", F.col("best.rid"))
+    labels = _linked(sketched, numbered.select(F.col("node").alias("_rid")), similarity)
+    grouped = numbered.join(labels, "node", "left").withColumn("group", F.coalesce("group", "node"))
     merged = stored(grouped.groupBy("group").agg(F.min("best").alias("top"), F.sum("n").alias("size")))
     named = stored(grouped.select("_node", "group").join(merged, "group").select("_node", F.col("top.doc_id").alias("_class"), F.col("size").alias("_size"), F.col("top.rid").alias("_first")))
     out = sketched.join(named, "_node", "left")
