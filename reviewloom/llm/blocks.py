@@ -31,20 +31,32 @@ def pack(rows: DataFrame, parts: int, size: int, kind: type = np.int64) -> DataF
     Shorter vectors are filled up with zeros; integers are kept in the narrowest type.
     """
 
+    def block(piece: pa.Table) -> pa.RecordBatch:
+        vectors = pa.concat_arrays(piece["vector"].chunks)
+        lengths = np.diff(np.asarray(vectors.offsets))
+        width = int(lengths.max(initial=0))
+        x = np.zeros((piece.num_rows, width), kind)
+        x[np.arange(width) < lengths[:, None]] = np.asarray(vectors.flatten())
+        x = smallest(x) if np.issubdtype(kind, np.integer) else x
+        cells = [piece["part"][0].as_py(), piece.num_rows, width, x.dtype.str]
+        cells += [np.asarray(piece[c].cast(pa.int64())).tobytes() for c in ("id", "rid", "label")] + [x.tobytes()]
+        types = [pa.int32(), pa.int32(), pa.int32(), pa.string()] + 4 * [pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cells, types)], FIELDS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # all rows of a task are of one part; blocks are as long as they may be, however rows come in
+        held: list[pa.RecordBatch] = []
+        n = 0
         for batch in batches:
-            for lo in range(0, batch.num_rows, size):
-                piece = batch.slice(lo, size)
-                vectors = piece["vector"]
-                lengths = np.diff(np.asarray(vectors.offsets))
-                width = int(lengths.max(initial=0))
-                x = np.zeros((piece.num_rows, width), kind)
-                x[np.arange(width) < lengths[:, None]] = np.asarray(vectors.flatten())
-                x = smallest(x) if np.issubdtype(kind, np.integer) else x
-                cells = [piece["part"][0].as_py(), piece.num_rows, width, x.dtype.str]
-                cells += [np.asarray(piece[c].cast(pa.int64())).tobytes() for c in ("id", "rid", "label")] + [x.tobytes()]
-                types = [pa.int32(), pa.int32(), pa.int32(), pa.string()] + 4 * [pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cells, types)], FIELDS)
+            while batch.num_rows:
+                take = min(size - n, batch.num_rows)
+                held.append(batch.slice(0, take))
+                n, batch = n + take, batch.slice(take)
+                if n == size:
+                    yield block(pa.Table.from_batches(held))
+                    held, n = [], 0
+        if n:
+            yield block(pa.Table.from_batches(held))
 
     dealt = rows.repartition(parts).select(F.spark_partition_id().alias("part"), "id", "rid", "label", "vector")
     return dealt.mapInArrow(run, BLOCK)
