@@ -294,11 +294,11 @@ def fit(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, bucke
 
 
 def resample(documents: DataFrame, model: Model, k: int | None = None) -> DataFrame:
-    """The Gumbel top-k of the documents, all columns, with their last ``_keys``.
+    """A sample of the documents by their Gumbel keys, all columns, with their last ``_keys``.
 
-    By default k is the number of documents whose keys reach the cuts of the fit, so that the sample is what reaches
-    them. With a given ``k`` the k largest keys of the last round stay, fewer if there are fewer; equal keys that
-    straddle the bound stay together. A null doc_id draws noise like an id of its own; repeated rows share their
+    By default the documents whose keys reach the cuts of all rounds of the fit stay: a threshold on each round's key, not
+    the k largest of one. With a given ``k`` the k largest keys of the last round stay, fewer if there are fewer; equal
+    keys that straddle the bound stay together. A null doc_id draws noise like an id of its own; repeated rows share their
     fate; null and empty texts weigh 0; an empty table gives no rows.
     """
     scored = score(documents, model)
