@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from itertools import accumulate
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +23,8 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 UNIGRAM, PAIRS = 1, 2
 REMEMBERED = 300_000
 REMEMBERED_CHARS = 64
-ROWS_AT_ONCE = 256
+# texts that are cut, looked up and joined at once: so many rows, or fewer that hold so many bytes
+ROWS_AT_ONCE, BYTES_AT_ONCE = 4096, 4_000_000
 SIDE_BY_SIDE = 4096
 SLOT_BITS, PAIR_BITS = 18, 21
 # characters without a piece are numbered from here
@@ -65,6 +67,15 @@ class Slots:
         return out
 
 
+def gathered(values: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``values`` are runs of these sizes on end. The runs that the codes number, on end, and where each begins and the last ends."""
+    counts = sizes[codes]
+    ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
+    at = np.repeat((np.cumsum(sizes) - sizes)[codes] - ends[:-1], counts)
+    at += np.arange(ends[-1])
+    return values[at], ends
+
+
 class PieceModel:
     """A loaded model: its pieces, and the segmentation of a span by a search that keeps a bounded window.
 
@@ -105,7 +116,9 @@ class PieceModel:
         inside = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         cut = (f"[{alone}]|" if alone else "") + (f"[^{alone}]+" if inside else f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+")
         self.cut = re.compile(cut).findall
-        self.shown = [self._text_of(p) for p in proto.pieces]
+        self.alone, self.inside = alone, inside
+        shown = [self._text_of(p) for p in proto.pieces]
+        self.shown, self.shown_sizes = np.frombuffer(b"".join(shown), np.uint8), np.array([len(t) for t in shown])
 
     @staticmethod
     def _text_of(piece) -> bytes:
@@ -229,45 +242,46 @@ class PieceModel:
         """One backpointer for each position of each span, as ``stream`` finds them, column by column."""
         n, longest = len(spans), max(map(len, spans))
         sizes = np.array([len(s) for s in spans])
+        # one row for each position, so that a step reads and writes neighbours
         codes = np.zeros((n, longest), np.uint64)
         codes[np.arange(longest) < sizes[:, None]] = np.frombuffer("".join(spans).encode("utf-32-le"), np.uint32)
-        flat = codes.ravel()
-        # pieces[k][:, p]: the piece of k + 1 characters that ends with character p, -1 if there is none; only places
+        flat = codes.T.ravel()
+        # pieces[k][p]: the piece of k + 1 characters that ends with character p, -1 if there is none; only places
         # where that many characters end some piece are looked at
-        pieces, at, column = [], np.flatnonzero(flat), np.tile(np.arange(longest), n)
+        pieces, at = [], np.flatnonzero(flat)
         hashes, power = np.zeros(len(at), np.uint64), 1
         for k in range(min(self.longest, longest)):
-            inside = column[at] >= k
-            at = at[inside]
-            hashes = hashes[inside] + (flat[at - k] + np.uint64(1)) * np.uint64(power)
+            inside = np.searchsorted(at, k * n)
+            at = at[inside:]
+            hashes = hashes[inside:] + (flat[at - k * n] + np.uint64(1)) * np.uint64(power)
             power = power * int(_FACTOR) % (1 << 64)
             found = self.slots.find(hashes)
-            here = np.full(n * longest, -1, np.int64)
+            here = np.full(n * longest, -1, np.int32)
             # a character without a piece stands for itself
             here[at] = np.where(found < 0, UNKNOWN_ID + flat[at].astype(np.int64), found) if k == 0 else found
-            pieces.append(here.reshape(n, longest))
+            pieces.append(here.reshape(longest, n))
             alive = found != -1
             at, hashes = at[alive], hashes[alive]
-        last = np.full((n, longest + 1), -1, np.int64)
-        back = np.zeros((n, longest + 1), np.int64)
+        last = np.full((longest + 1, n), -1, np.int64)
+        back = np.zeros((longest + 1, n), np.int32)
         for p in range(1, longest + 1):
             open_ = np.flatnonzero(sizes >= p)
             for k in range(min(self.longest, p) - 1, -1, -1):
-                right = pieces[k][open_, p - 1]
+                right = pieces[k][p - 1][open_]
                 place = np.flatnonzero(right >= 0)
                 if not len(place):
                     continue
                 rows, right = open_[place], right[place]
-                good = self._stand_many(last[rows, p - k - 1], right)
-                last[rows[good], p], back[rows[good], p] = right[good], k + 1
+                good = self._stand_many(last[p - k - 1][rows], right)
+                last[p][rows[good]], back[p][rows[good]] = right[good], k + 1
                 open_ = np.delete(open_, place[good])
         return self._walk_back(last, back, sizes)
 
     def _walk_back(self, last: np.ndarray, back: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         columns, rows, place = [], np.arange(len(sizes)), sizes.copy()
         while place.any():
-            columns.append(np.where(place > 0, last[rows, place], -1))
-            place -= back[rows, place]
+            columns.append(np.where(place > 0, last[place, rows], -1))
+            place -= back[place, rows]
         ids = np.stack(columns[::-1], 1)
         first = (ids < 0).sum(1).tolist()
         unknown = (ids >= UNKNOWN_ID).any(1).tolist()
@@ -316,9 +330,38 @@ class PieceModel:
     def spans(self, text: str) -> list[str]:
         return self.cut(self.prefix + text.replace(" ", SPACE)) if text else []
 
+    def cut_many(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The spans of many texts, as ``spans`` finds them, with plain spaces for space marks: the UTF-8 bytes of all on
+        end, where each span begins (and the last ends), and the number of the first span of each text (and of all)."""
+        plain, lead = pc.replace_substring(texts.cast(pa.string()).fill_null(""), SPACE, " "), self.prefix.replace(SPACE, " ")
+        if lead:
+            plain = pc.if_else(pc.equal(plain, ""), "", pc.binary_join_element_wise(lead, plain, ""))
+        _, offsets, data = plain.buffers()
+        bounds = np.frombuffer(offsets, np.int32)[plain.offset : plain.offset + len(plain) + 1]
+        data = np.frombuffer(data or b"", np.uint8)[bounds[0] : bounds[-1]]
+        bounds = bounds - bounds[0]
+        begins = np.zeros(len(data) + 1, bool)
+        if not self.inside:
+            space = data == ord(" ")
+            begins[1:-1] = space[1:] & ~space[:-1]
+        for c in self.alone:
+            at = np.flatnonzero(data == ord(c))
+            begins[at] = begins[at + 1] = True
+        begins[bounds] = True
+        starts = np.flatnonzero(begins)
+        return data, starts, np.searchsorted(starts, bounds)
+
     def decode(self, ids: list[int]) -> str:
-        out = b"".join(map(self.shown.__getitem__, ids)).decode("utf-8", "replace")
-        return out[1:] if self.prefix and out[:1] == " " else out
+        return self.decode_many(np.array(ids, np.int64), np.array([0, len(ids)]))[0]
+
+    def decode_many(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
+        """The text of each list of ids; the lists lie on end."""
+        shown, ends = gathered(self.shown, self.shown_sizes, ids)
+        shown, bounds = shown.tobytes(), ends[offsets].tolist()
+        texts = [shown[a:b].decode("utf-8", "replace") for a, b in zip(bounds, bounds[1:])]
+        # the space of the prefix goes, that of an unknown piece stays
+        led = np.append(ids, self.unknown)[offsets[:-1]] != self.unknown
+        return [t[1:] if strip and t[:1] == " " else t for t, strip in zip(texts, led.tolist())] if self.prefix else texts
 
 
 class Encoder(dict):
@@ -330,75 +373,131 @@ class Encoder(dict):
         self.model, self.old = model, {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        spans = [self.model.spans(t) for t in texts]
-        missing = set().union(*spans).difference(self) if spans else set()
-        new = {s: ids for s in missing if (ids := self.old.get(s)) is not None}
-        rest = list(missing.difference(new))
-        new |= zip(rest, self.model.packed_many(rest))
-        self.update(new)
-        out = [b"".join(map(self.__getitem__, s)) for s in spans]
+        ids, offsets = self.ids(pa.array(texts, pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts on end, and where those of each text begin and the last end. Each distinct span is looked up
+        once, however often the texts repeat it; a null text has no ids."""
+        data, starts, first = self.model.cut_many(texts)
+        spans = pa.StringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts.astype(np.int32)), pa.py_buffer(data)).dictionary_encode()
+        packed = self._packed(spans.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        ids, ends = gathered(np.frombuffer(b"".join(packed), np.int32), sizes, spans.indices.to_numpy())
+        return ids, ends[first]
+
+    def _packed(self, spans: list[str]) -> list[bytes]:
+        out = list(map(self.get, spans))
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        for i in missing:
+            out[i] = self.old.get(spans[i])
+        rest = [i for i in missing if out[i] is None]
+        for i, ids in zip(rest, self.model.packed_many([spans[i].replace(" ", SPACE) for i in rest])):
+            out[i] = ids
+        self.update((spans[i], out[i]) for i in missing)
         if len(self) >= REMEMBERED:
             self.old = {s: ids for s, ids in self.items() if len(s) <= REMEMBERED_CHARS}
             self.clear()
         return out
 
 
+@lru_cache(maxsize=1)
+def _loaded(definition: bytes) -> PieceModel:
+    """The model, made once for the tasks that follow one another in a worker."""
+    return PieceModel(definition)
+
+
 def _definition(path: str) -> bytes:
     with open(path, "rb") as f:
         return f.read()
 
 
-def encode(documents: DataFrame, text: str = "text", out: str = "ids", model: str = MODEL) -> DataFrame:
+def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of bounded rows and bytes; a text beyond the bound is a piece by itself."""
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy()
+    lo, size = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > lo and (i - lo >= ROWS_AT_ONCE or size + n > BYTES_AT_ONCE):
+            yield batch.slice(lo, i - lo)
+            lo, size = i, 0
+        size += n
+    yield batch.slice(lo)
+
+
+def _place(rows: DataFrame, name: str) -> int:
+    return [c.lower() for c in rows.columns].index(name.lower())
+
+
+def _with_columns(rows: DataFrame, added: list[T.StructField], run: Callable) -> DataFrame:
+    """The rows with added columns, in place of those of the same name. ``run`` turns batches into pairs of the batch and
+    the arrays to add."""
+    names = {f.name.lower() for f in added}
+    kept = [i for i, c in enumerate(rows.columns) if c.lower() not in names]
+    schema = T.StructType([*(rows.schema.fields[i] for i in kept), *added])
+    titles = [f.name for f in schema]
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, new in run(batches):
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), *new], titles)
+
+    return rows.mapInArrow(step, schema)
+
+
+def encode(documents: DataFrame, text: str = "text", out: str = "ids", model: str = MODEL, decoded: str | None = None) -> DataFrame:
     """Add the piece ids of every text, as the model's own library gives them for a model of merged pairs.
 
     No begin or end ids. Null texts give null, empty texts no ids. Spans that every path must cut are searched alone;
     a span without such cuts is streamed through a window (see PieceModel). An input column named ``out`` is
     replaced. Rows are independent: no shuffle, repeated rows give repeated results, empty tables stay empty. The
-    model file is broadcast; it is bounded by its vocabulary.
+    model file is broadcast; it is bounded by its vocabulary. With ``decoded`` a further column of that name holds the
+    text that the ids give back, as ``decode`` would, found in the same pass.
     """
     shared = documents.sparkSession.sparkContext.broadcast(_definition(model))
-    rows = documents.drop(out) if out != text else documents.withColumnRenamed(out, "_text")
-    source = text if out != text else "_text"
-    schema = T.StructType([*rows.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
+    source = _place(documents, text)
+    added = [T.StructField(out, T.ArrayType(T.IntegerType())), *([T.StructField(decoded, T.StringType())] if decoded else [])]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(PieceModel(shared.value))
+    def run(batches: Iterator[pa.RecordBatch]):
+        encoder = Encoder(_loaded(shared.value))
         for batch in batches:
-            for lo in range(0, batch.num_rows, ROWS_AT_ONCE):
-                part = batch.slice(lo, ROWS_AT_ONCE)
-                texts = part[source].to_pylist()
-                packed = encoder.encode([t or "" for t in texts])
-                offsets = pa.array([None if t is None else n for t, n in zip(texts, accumulate([0, *(len(x) // 4 for x in packed)]))] + [sum(map(len, packed)) // 4], pa.int32())
-                ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(packed), np.int32)))
-                yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, out])
+            for part in _slices(batch, source):
+                texts = part.column(source)
+                ids, offsets = encoder.ids(texts)
+                absent = texts.is_null().to_numpy(zero_copy_only=False)
+                places = pa.array(offsets.astype(np.int32), pa.int32(), mask=np.append(absent, False))
+                new = [pa.ListArray.from_arrays(places, pa.array(ids))]
+                if decoded:
+                    new.append(pa.array(encoder.model.decode_many(ids, offsets), pa.string(), mask=absent))
+                yield part, new
 
-    return rows.mapInArrow(run, schema)
+    return _with_columns(documents, added, run)
 
 
 def decode(rows: DataFrame, ids: str = "ids", out: str = "decoded", model: str = MODEL) -> DataFrame:
-    """Add the text of piece ids; null ids give null. An input column named ``out`` is replaced.
+    """Add the text of piece ids; null ids give null, a null among the ids reads as the unknown piece. An input column
+    named ``out``, be it that of the ids, is replaced.
 
     Decoding undoes encoding but for texts that hold the space mark U+2581 itself, which come back with a space.
     """
     shared = rows.sparkSession.sparkContext.broadcast(_definition(model))
-    rows = rows.drop(out)
-    schema = T.StructType([*rows.schema.fields, T.StructField(out, T.StringType())])
+    source = _place(rows, ids)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model_ = PieceModel(shared.value)
+    def run(batches: Iterator[pa.RecordBatch]):
+        model_ = _loaded(shared.value)
         for batch in batches:
-            for lo in range(0, batch.num_rows, ROWS_AT_ONCE):
-                part = batch.slice(lo, ROWS_AT_ONCE)
-                texts = [None if x is None else model_.decode(x) for x in part[ids].to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, out])
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                lists = part.column(source)
+                sizes = pc.list_value_length(lists).fill_null(0).to_numpy()
+                offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
+                texts = model_.decode_many(lists.flatten().fill_null(model_.unknown).to_numpy(), offsets)
+                yield part, [pa.array(texts, pa.string(), mask=lists.is_null().to_numpy(zero_copy_only=False))]
 
-    return rows.mapInArrow(run, schema)
+    return _with_columns(rows, [T.StructField(out, T.StringType())], run)
 
 
 def encoded(documents: DataFrame, model: str = MODEL) -> DataFrame:
     """doc_id, ids, their number, and whether decoding gives the text back."""
-    ids = encode(documents.select("doc_id", "text"), model=model)
-    back = decode(ids, model=model)
+    back = encode(documents.select("doc_id", "text"), model=model, decoded="decoded")
     return back.select("doc_id", "ids", F.coalesce(F.size("ids"), F.lit(0)).alias("n_ids"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
 
 

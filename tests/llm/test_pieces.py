@@ -3,6 +3,8 @@
 import itertools
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2 as pb
@@ -64,6 +66,35 @@ def test_streaming_commits_before_the_end_and_agrees(model, library):
     assert [model.ids[p] for p in [*first, *stream]] == library.encode(text)
 
 
+def test_spans_of_many_texts_at_once(model):
+    draw = random.Random(11)
+    texts = [None, *ODD, "▁x ▁▁", "\n", " \n x", "\t\t", *("".join(draw.choices("ab  \n\t▁é中", k=draw.randint(0, 30))) for _ in range(2000)), None]
+    data, starts, first = model.cut_many(pa.array(texts).slice(1))
+    whole = [data[a:b].tobytes().decode().replace(" ", "▁") for a, b in zip(starts, starts[1:])]
+    assert [whole[a:b] for a, b in zip(first, first[1:])] == [model.spans(t or "") for t in texts[1:]]
+    empty = model.cut_many(pa.array([None, ""], pa.string()))
+    assert len(empty[0]) == 0 and empty[2].tolist() == [0, 0, 0]
+
+
+def test_many_lists_of_ids_at_once(model, library):
+    lists = [library.encode(t) for t in ODD] + [[], [model.unknown], [0, 1, 2, 5]]
+    offsets = list(itertools.accumulate(map(len, lists), initial=0))
+    flat = np.array([i for x in lists for i in x])
+    assert model.decode_many(flat, np.array(offsets)) == [library.decode(x) for x in lists]
+
+
+def test_decoding_in_the_same_pass_and_in_place(rows, library):
+    texts = ["a b", None, "", "▁x", "lange  wörter\n" * 3, "x" * 5000]
+    df = rows("Text string, IDS int, decoded int", *((t, 1, 1) for t in texts))
+    both = encode(df, decoded="decoded")
+    assert both.columns == ["Text", "ids", "decoded"]
+    assert [(r.Text, r.ids, r.decoded) for r in both.collect()] == [(r.Text, r.ids, r.decoded) for r in decode(encode(df)).collect()]
+    assert [r.ids for r in decode(both.select("ids"), out="ids").collect()] == [None if t is None else t.replace("▁", " ") for t in texts]
+    assert [r.text for r in encode(df.select("text"), out="text").collect()] == [None if t is None else library.encode(t) for t in texts]
+    gaps = rows("ids array<int>", ([None, 400],)).transform(decode).first().decoded
+    assert gaps.strip().startswith("⁇")
+
+
 def scored(pieces):
     proto = pb.ModelProto()
     proto.trainer_spec.model_type = 1
