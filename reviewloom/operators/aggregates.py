@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.plans.skew import join_small, order_statistics
+from reviewloom.plans.order import order_values
+from reviewloom.plans.skew import join_small
 
 
 def strata_counts(df: DataFrame, strata: Sequence[str] = ("review_month", "rating")) -> DataFrame:
@@ -41,37 +42,33 @@ def mean_std(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
-def exact_quantiles(df: DataFrame, col: str, probabilities: Sequence[float]) -> list[float | None]:
-    """Linear-interpolated quantiles.
+def exact_quantiles(df: DataFrame, columns: str | Sequence[str], probabilities: Sequence[float]):
+    """Linear-interpolated quantiles of a column, or a mapping of them for several; None where a column has no values.
 
-    Values are counted first, so copies of one value cost one row, and positions
-    are then found piece by piece instead of in one aggregation buffer.
+    All columns are searched in the same passes over ``df``.
     """
-    counted = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    counted = counted.persist()
-    try:
-        total = counted.agg(F.sum("n")).first()[0]
-        if not total:
-            return [None] * len(probabilities)
-        spots = [(total - 1) * p for p in probabilities]
-        wanted = sorted({f(s) for s in spots for f in (math.floor, math.ceil)})
-        at = order_statistics(counted, ["v"], wanted, weight="n")
-    finally:
-        counted.unpersist()
-    low = [at[math.floor(s)][0] for s in spots]
-    high = [at[math.ceil(s)][0] for s in spots]
-    return [a + (b - a) * (s - math.floor(s)) for a, b, s in zip(low, high, spots)]
+    names = [columns] if isinstance(columns, str) else list(columns)
+
+    def spots_of(total: int) -> list[int]:
+        return [f((total - 1) * p) for p in probabilities for f in (math.floor, math.ceil)] if total else []
+
+    totals: dict[str, int] = {}
+    at = order_values(df, names, spots_of, totals)
+    out = {}
+    for c in names:
+        spots = [(totals[c] - 1) * p for p in probabilities]
+        between = [(at[c][math.floor(s)].value, at[c][math.ceil(s)].value, s - math.floor(s)) for s in spots] if totals[c] else []
+        out[c] = [float(a) if a == b else a + (b - a) * share for a, b, share in between] or [None] * len(probabilities)
+    return out[columns] if isinstance(columns, str) else out
 
 
 def quartile_fences(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
     """Quartiles and the 1.5 IQR fences of each column."""
+    names, shares = list(columns), [0.25, 0.75]
+    got = dict(zip(names, df.approxQuantile(names, shares, 0.001))) if approximate else exact_quantiles(df, names, shares)
     rows = []
-    for c in columns:
-        if approximate:
-            got = df.approxQuantile(c, [0.25, 0.75], 0.001)
-            q1, q3 = got if got else (None, None)
-        else:
-            q1, q3 = exact_quantiles(df, c, [0.25, 0.75])
+    for c in names:
+        q1, q3 = got[c] or (None, None)
         if q1 is not None:
             rows.append((c, q1, q3, q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)))
     return df.sparkSession.createDataFrame(rows, "column string, q1 double, q3 double, low double, high double")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.functions.constants import SAMPLING_FRACTION, SEED
+from reviewloom.plans.order import order_values
 from reviewloom.plans.skew import join_small, order_statistics
 
 
@@ -99,24 +100,26 @@ def time_split(
 ) -> DataFrame:
     """Mark the oldest rows ``train``, the next ``val``, the rest ``test``.
 
-    Cut positions are floor(n * share) in (time, id) order. Counts per day name
-    the days that hold the cuts; only their keys are ordered. The returned plan
-    compares each row with two literals and moves no data.
+    Cut positions are floor(n * share) in (time, id) order. Radix passes find the times of the cuts, then only rows of
+    such a time are ordered by id. The returned plan compares each row with two literals and moves no data.
     """
     # missing times sort last
     micros = F.coalesce(F.unix_micros(F.col(ts)), F.lit(2**63 - 1))
-    keys = df.select(micros.alias("_t"), F.col(row_id).alias("_id"), F.to_date(ts).alias("_day"))
-    days = keys.groupBy("_day").agg(F.count(F.lit(1)).alias("n")).orderBy(F.asc_nulls_last("_day")).collect()
-    total = sum(d["n"] for d in days)
+    keys = df.select(micros.alias("_t"), F.col(row_id).alias("_id"))
+    cuts: list[int] = []
+
+    def spots_of(total: int) -> list[int]:
+        cuts.extend([int(total * train), int(total * (train + val))])
+        return [c for c in cuts if c < total]
+
+    at = order_values(keys, ["_t"], spots_of)["_t"]
     bounds = []
-    for position in (int(total * train), int(total * (train + val))):
-        before, bound = 0, None
-        for d in days:
-            if position < before + d["n"]:
-                day = keys.filter(F.col("_day").eqNullSafe(F.lit(d["_day"])))
-                bound = order_statistics(day, ["_t", "_id"], [position - before])[position - before]
-                break
-            before += d["n"]
+    for cut in cuts:
+        bound = None
+        if cut in at:
+            place = at[cut]
+            ids = keys.filter(F.col("_t") == F.lit(place.value))
+            bound = (place.value, order_statistics(ids, ["_id"], [cut - place.below])[cut - place.below][0])
         bounds.append(bound)
 
     def earlier(bound) -> Column:
