@@ -9,8 +9,10 @@ from reviewloom.catalog import sql as S
 from reviewloom.functions import constants as C
 from reviewloom.functions import labels as L
 from reviewloom.functions import sentiment as SC
+from reviewloom.functions.constants import WHITESPACE as WS
 from reviewloom.functions.text import sentences
-from reviewloom.operators import aggregates, aspects, labeling
+from reviewloom.operators import aggregates, aspects, labeling, sentence_ends
+from reviewloom.session import settle
 
 # the given prose is invented, so every text ends with words the rules know
 PHRASES = [
@@ -221,6 +223,65 @@ def split_sentences(t):
     return spoken(t).select("row_id", F.posexplode(sentences("text")).alias("pos", "sentence"))
 
 
+# periods that end no sentence, in the middle of every text
+SHORTENED = [
+    "We asked Dr. Smith about it. He paid approx. 3.5 in. of cloth, etc. The price is good.",
+    "Some colors, e.g. blue or red, fade. Dr. Brown agrees. Cost is low.",
+    "It is 12 in. wide and approx. 3 ft. long. Great size! The design holds.",
+    "Mr. Smith went in. Then he read it, etc. The quality was e.g. Fine.",
+    "We went in. Mr. Brown looked at 5 ft. of it? Good value.",
+]
+
+
+def shortened(t):
+    phrase = F.element_at(F.array(*[F.lit(p) for p in SHORTENED]), (F.col("doc_id") % len(SHORTENED) + 1).cast("int"))
+    return t.documents.select(F.col("doc_id").alias("row_id"), F.concat(phrase, F.lit("\n"), "text").alias("text"))
+
+
+def _core_sql(w: str) -> str:
+    return f"regexp_replace(regexp_replace({w}, '{S.escaped(sentence_ends.OPENING)}', ''), '{S.escaped(sentence_ends.CLOSING)}', '')"
+
+
+def _type_sql(core: str, before: str) -> str:
+    return f"CASE WHEN regexp_matches({_core_sql(before)}, '{sentence_ends.NUMBER}') THEN '# ' ELSE '' END || lower(CASE WHEN {core}[-1] = '.' THEN {core}[:-2] ELSE {core} END)"
+
+
+_PHRASES_SQL = " ".join(f"WHEN {i} THEN '{p}'" for i, p in enumerate(SHORTENED))
+WORD_COUNTS = f"""spoken AS (SELECT doc_id AS row_id, CASE doc_id % {len(SHORTENED)} {_PHRASES_SQL} END || chr(10) || text AS text FROM documents),
+    said AS (SELECT {S.words('text')} AS ws FROM spoken), each_ AS (SELECT ws[i] AS w, CASE WHEN i > 1 THEN ws[i - 1] END AS before FROM (SELECT ws, unnest(range(1, len(ws) + 1)) AS i FROM said)),
+    cores AS (SELECT {_core_sql('w')} AS core, before FROM each_),
+    typed AS (SELECT {_type_sql('core', "coalesce(before, '')")} AS word, core[-1] = '.' AS dotted, regexp_matches(core, '^\\p{{Ll}}') AS lower_, regexp_matches(core, '^\\p{{Lu}}') AS upper_,
+      coalesce(regexp_matches(before, '[.!?:]["'')\\]}}]*\\z'), true) AS ended, coalesce({_core_sql('before')}[-1] = '.', false) AS behind FROM cores),
+    counts AS (SELECT word, count(*) AS n, count(*) FILTER (dotted) AS n_dotted, count(*) FILTER (lower_) AS n_lower, count(*) FILTER (upper_ AND NOT ended) AS n_inner,
+      count(*) FILTER (upper_ AND behind) AS n_after FROM typed WHERE regexp_matches(word, '\\p{{L}}') GROUP BY word),
+    measured AS (SELECT *, regexp_replace(word, '^# ', '') AS bare, length(replace(regexp_replace(word, '^# ', ''), '.', '')) AS size, (SELECT sum(n_dotted) / sum(n) FROM counts) AS p FROM counts WHERE n_dotted > 0),
+    scored AS (SELECT *, -2 * (n_dotted * (ln(p) - ln(0.99)) + (n - n_dotted) * (ln(greatest(1 - p, 1e-9)) - ln(0.01))) * exp(-size) * (length(bare) - size + 1) * pow(CAST(size AS DOUBLE), n_dotted - n) AS score FROM measured)"""
+
+
+@query("K01_abbreviations", f"WITH {WORD_COUNTS} SELECT word, n, n_dotted, n_lower, n_inner, n_after, round(score, 4) AS score, score >= 0.3 AS is_abbreviation FROM scored")
+def abbreviations(t):
+    """Scores of all words that ever carry a period."""
+    got = sentence_ends.abbreviation_scores(settle(sentence_ends.word_counts(shortened(t))))
+    return got.withColumn("score", F.round("score", 4))
+
+
+@query(
+    "K01_learnt_sentences",
+    f"""WITH {WORD_COUNTS},
+    pieces AS (SELECT row_id, list_filter(string_split(regexp_replace(text, '([.!?]{WS}+)', '\\1' || chr(1), 'g'), chr(1)), lambda s: s <> '') AS ps FROM spoken),
+    numbered AS (SELECT row_id, ps[i] AS piece, {S.words('ps[i]')} AS ws, i, len(ps) AS total FROM (SELECT row_id, ps, unnest(range(1, len(ps) + 1)) AS i FROM pieces)),
+    edges AS (SELECT *, {_core_sql('ws[-1]')} AS last, CASE WHEN len(ws) > 1 THEN ws[-2] ELSE '' END AS before, lead({_core_sql('ws[1]')}) OVER (PARTITION BY row_id ORDER BY i) AS first FROM numbered),
+    looked AS (SELECT *, CASE WHEN last[-1] = '.' THEN {_type_sql('last', 'before')} END AS last_type, {_type_sql('first', "''")} AS first_type FROM edges),
+    ended AS (SELECT row_id, i, piece, i = total OR NOT coalesce(last_type IN (SELECT word FROM scored WHERE score >= 0.3), false)
+        OR coalesce(regexp_matches(first, '^\\p{{Lu}}') AND first_type IN (SELECT word FROM counts WHERE n_lower > 0 AND n_inner = 0 AND n_after > 0), false) AS ends FROM looked),
+    grouped AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY row_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM ended)
+    SELECT row_id, CAST(pos AS INTEGER) AS pos, regexp_replace(string_agg(piece, '' ORDER BY i), '([.!?]){WS}+\\z', '\\1') AS sentence FROM grouped GROUP BY row_id, pos""",
+)
+def learnt_sentences(t):
+    """Sentences of texts whose abbreviations were learnt from the same texts."""
+    return sentence_ends.with_sentences(shortened(t)).select("row_id", F.posexplode("sentences").alias("pos", "sentence"))
+
+
 def _tag_sql(table) -> str:
     pairs = ", ".join(f"('{a}', {i}, [{S.quoted(k)}])" for i, (a, k) in enumerate(table.items()))
     return f"""aspects(aspect, no, keywords) AS (VALUES {pairs}),

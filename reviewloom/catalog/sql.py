@@ -65,3 +65,7 @@ def tokens(col: str) -> str:
 
 def quoted(values) -> str:
     return ", ".join("'" + str(v).replace("'", "''") + "'" for v in values)
+
+
+def escaped(text: str) -> str:
+    return text.replace("'", "''")

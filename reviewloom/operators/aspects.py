@@ -61,19 +61,24 @@ def _runs(words: Column, n: int) -> Column:
     return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
 
 
-def _marked_sentences(text: Column, lower: bool, lengths: Sequence[int]) -> Column:
+def _sentences_of(df: DataFrame, text: str) -> Column:
+    """The sentences of a text column, or those that were cut before, where the column holds arrays."""
+    return F.col(text) if dict(df.dtypes)[text] == "array<string>" else sentences(F.col(text))
+
+
+def _marked_sentences(said: Column, lower: bool, lengths: Sequence[int]) -> Column:
     tested = (lambda s: F.lower(s)) if lower else (lambda s: s)
-    return F.transform(sentences(text), lambda s: F.struct(s.alias("s"), spoken_keys(tokens(tested(s)), lengths).alias("t")))
+    return F.transform(said, lambda s: F.struct(s.alias("s"), spoken_keys(tokens(tested(s)), lengths).alias("t")))
 
 
-def _known_aspects(text: Column, lower: bool, lengths: Sequence[int], numbers_of) -> Column:
+def _known_aspects(cut: Column, lower: bool, lengths: Sequence[int], numbers_of) -> Column:
     """Sentences with the numbers (or other marks, which sort alike) of the aspects that their tokens are keywords of."""
 
     def numbers(s: Column) -> Column:
         said = F.array_distinct(spoken_keys(tokens(F.lower(s) if lower else s), lengths))
         return F.array_distinct(F.flatten(F.array_compact(F.transform(said, numbers_of))))
 
-    return F.transform(sentences(text), lambda s: F.struct(s.alias("s"), numbers(s).alias("nos")))
+    return F.transform(cut, lambda s: F.struct(s.alias("s"), numbers(s).alias("nos")))
 
 
 def _spelled(keyword) -> Column:
@@ -93,16 +98,16 @@ def _tag_by_table(df: DataFrame, table: DataFrame, text: str, lower: bool, sever
     if may_broadcast(pairs):
         held = df.withColumn("_known", keyword_maps(pairs))
         of = lambda t: F.try_element_at(F.get(F.col("_known.maps"), _place(t)), t)
-        return held.withColumn("_marked", _known_aspects(F.col(text), lower, lengths, of)), lambda no: F.get(F.col("_known.names"), no)
+        return held.withColumn("_marked", _known_aspects(_sentences_of(df, text), lower, lengths, of)), lambda no: F.get(F.col("_known.names"), no)
     # a long table: only ids and words meet it, and a mark is the aspect's place and name
     least = pairs.groupBy("aspect").agg(F.min("aspect_no").alias("_order"))
     mark = F.struct(F.col("_order").alias("order"), F.col("aspect").alias("name"))
     words = pairs.select("aspect", "keyword").join(least, "aspect").groupBy("keyword").agg(F.array_sort(F.collect_list(mark)).alias("_marks"))
     # word by word of each sentence, so that a run never crosses from one into the next
-    each = F.transform(sentences(F.col(text)), lambda s: spoken_keys(tokens(F.lower(s) if lower else s), lengths))
+    each = F.transform(_sentences_of(df, text), lambda s: spoken_keys(tokens(F.lower(s) if lower else s), lengths))
     held = with_known(df, F.flatten(each), words, row_id, "_known")
     of = lambda t: F.try_element_at("_known", t)
-    return held.withColumn("_marked", _known_aspects(F.col(text), lower, lengths, of)), lambda mark: mark["name"]
+    return held.withColumn("_marked", _known_aspects(_sentences_of(df, text), lower, lengths, of)), lambda mark: mark["name"]
 
 
 def _matching(marked: Column, keywords: Sequence[str]) -> Column:
@@ -122,6 +127,7 @@ def tag_aspects(
 ) -> DataFrame:
     """Rows per (review, aspect) with the joined matching sentences, in aspect order.
 
+    ``text`` may also name an array of sentences, as :func:`~reviewloom.operators.sentence_ends.with_sentences` cuts them.
     A keyword matches a whole token, case-sensitively unless ``lower``.
     ``per="review"`` gives one row per review with its set of aspects instead.
     With ``several_words`` a keyword of several tokens matches where they follow one another in a sentence.
@@ -145,7 +151,7 @@ def tag_aspects(
             # the same spelling as that of a sentence's tokens
             table = {a: [w for w in (" ".join(re.findall(r"[^\W_]+(?:-[^\W_]+)*|\$", k)) for k in words) if w] for a, words in table.items()}
         lengths = sorted({1, *(len(k.split(" ")) for words in table.values() for k in words)}) if several_words else [1]
-        marked = df.withColumn("_marked", _marked_sentences(F.col(text), lower, lengths))
+        marked = df.withColumn("_marked", _marked_sentences(_sentences_of(df, text), lower, lengths))
         found = F.array(*[
             F.struct(F.lit(i).alias("aspect_no"), F.lit(a).alias("aspect"), _matching(F.col("_marked"), k).alias("relevant_sentences"))
             for i, (a, k) in enumerate(table.items())
@@ -168,7 +174,7 @@ def phrase_sentences(
 ) -> DataFrame:
     """Rows per (review, aspect, sentence) by lower-case substring."""
     table = phrases or ASPECT_PHRASES
-    split = df.withColumn("sentence", F.explode(sentences(F.col(text))))
+    split = df.withColumn("sentence", F.explode(_sentences_of(df, text)))
     low = F.lower("sentence")
     found = []
     for aspect, words in table.items():
