@@ -239,7 +239,7 @@ def shortened(t):
 
 
 def _core_sql(w: str) -> str:
-    return f"regexp_replace(regexp_replace({w}, '{S.escaped(sentence_ends.OPENING)}', ''), '{S.escaped(sentence_ends.CLOSING)}', '')"
+    return f"ltrim(rtrim({w}, '{S.escaped(sentence_ends.CLOSING)}'), '{S.escaped(sentence_ends.OPENING)}')"
 
 
 def _type_sql(core: str, before: str) -> str:

@@ -22,7 +22,8 @@ from reviewloom.session import settle
 LEAST_SCORE = 0.3
 ABBREVIATED = 0.99
 
-OPENING, CLOSING = r"""^["'(\[{]+""", r"""["')\]},;:]+\z"""
+OPENING, CLOSING = "\"'([{", "\"')]},;:"
+SHUT = "\"')]}"
 NUMBER = r"^[0-9][0-9.,]*\z"
 AFTER_NUMBER = "# "
 # marks of a word in the learnt table; both may hold
@@ -31,37 +32,43 @@ IS_ABBREVIATION, IS_STARTER = 1.0, 2.0
 
 def _core(word: Column) -> Column:
     """A word without quotes and brackets around it."""
-    return F.regexp_replace(F.regexp_replace(word, OPENING, ""), CLOSING, "")
+    return F.ltrim(F.rtrim(word, F.lit(CLOSING)), F.lit(OPENING))
 
 
-def _type(core: Column, before: Column) -> Column:
+def _type(core: Column, behind_number: Column) -> Column:
     """The word as it is counted: lower case, without its last period, marked when a number stands before it."""
     bare = F.lower(F.when(core.endswith("."), F.substring(core, F.lit(1), F.length(core) - 1)).otherwise(core))
-    return F.when(_core(before).rlike(NUMBER), F.concat(F.lit(AFTER_NUMBER), bare)).otherwise(bare)
+    return F.when(behind_number, F.concat(F.lit(AFTER_NUMBER), bare)).otherwise(bare)
+
+
+def _is_number(core: Column) -> Column:
+    """Most words are told by their first character, without a pattern."""
+    return F.coalesce(core.between("0", ":") & core.rlike(NUMBER), F.lit(False))
 
 
 def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
     """Per word: occurrences, those with a period, in lower case, in upper case inside a sentence and after a period.
 
-    One map-side count over all words of the corpus. Words without a letter don't count; null texts have none.
+    Words as they are written are counted map-side, with three marks of the word before; only distinct ones are looked at
+    closer. Words without a letter don't count; null texts have none.
     """
 
     def seen(said: Column) -> Column:
-        def one(word: Column, i: Column) -> Column:
-            before = F.when(i > 0, F.get(said, i - 1))
-            core = _core(word)
-            upper, ended = core.rlike(r"^\p{Lu}"), before.rlike(r"""[.!?:]["')\]}]*\z""")
-            return F.struct(
-                _type(core, before).alias("word"), core.endswith(".").alias("dotted"), core.rlike(r"^\p{Ll}").alias("lower"),
-                (upper & ~F.coalesce(ended, F.lit(True))).alias("inner"), (upper & F.coalesce(_core(before).endswith("."), F.lit(False))).alias("after"),
-            )
-
-        return F.transform(said, one)
+        return F.transform(said, lambda word, i: F.struct(word.alias("w"), F.when(i > 0, F.get(said, i - 1)).alias("before")))
 
     # the one-element array keeps the word list from being built again per word
-    each = df.select(F.explode(F.flatten(F.transform(F.array(words(text)), seen))).alias("w")).select("w.*").filter(F.col("word").rlike(r"\p{L}"))
-    flags = ("dotted", "lower", "inner", "after")
-    return each.groupBy("word").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(f).alias(f"n_{f}") for f in flags])
+    each = df.select(F.explode(F.flatten(F.transform(F.array(words(text)), seen))).alias("w")).select("w.*")
+    inner, shut = _core(F.col("before")), F.rtrim(F.col("before"), F.lit(SHUT))
+    ended = F.substring(shut, -1, 1).isin(".", "!", "?", ":")
+    written = each.groupBy("w", _is_number(inner).alias("number"), F.coalesce(ended, F.lit(True)).alias("ended"), F.coalesce(inner.endswith("."), F.lit(False)).alias("behind"))
+    core = _core(F.col("w"))
+    typed = written.agg(F.count(F.lit(1)).alias("k")).select(
+        "k", "ended", "behind", _type(core, F.col("number")).alias("word"), core.endswith(".").alias("dotted"),
+        core.rlike(r"^\p{Ll}").alias("lower"), core.rlike(r"^\p{Lu}").alias("upper"),
+    )
+    flags = {"dotted": F.col("dotted"), "lower": F.col("lower"), "inner": F.col("upper") & ~F.col("ended"), "after": F.col("upper") & F.col("behind")}
+    sums = [F.coalesce(F.sum(F.when(flag, F.col("k"))), F.lit(0)).alias(f"n_{name}") for name, flag in flags.items()]
+    return typed.filter(F.col("word").rlike(r"\p{L}")).groupBy("word").agg(F.sum("k").alias("n"), *sums)
 
 
 def abbreviation_scores(counts: DataFrame) -> DataFrame:
@@ -90,13 +97,13 @@ PIECE = rf"(?s).+?(?:(?<=[.!?]){WHITESPACE}+|\z)"
 
 def _edges(piece: Column) -> Column:
     """The words by which pieces are told apart: how the last is counted, if it carries a period, and the first."""
-    said = words(piece)
-    last = _core(F.try_element_at(said, F.lit(-1)))
-    return F.struct(
-        piece.alias("piece"),
-        F.when(last.endswith("."), _type(last, F.try_element_at(said, F.lit(-2)))).alias("last"),
-        _core(F.get(said, F.lit(0))).alias("first"),
-    )
+
+    def edges(said: Column) -> Column:
+        last = _core(F.try_element_at(said, F.lit(-1)))
+        counted = F.when(last.endswith("."), _type(last, _is_number(_core(F.try_element_at(said, F.lit(-2))))))
+        return F.struct(piece.alias("piece"), counted.alias("last"), _core(F.get(said, F.lit(0))).alias("first"))
+
+    return F.get(F.transform(F.array(words(piece)), edges), F.lit(0))
 
 
 def with_sentences(df: DataFrame, counts: DataFrame | None = None, text: str = "text", name: str = "sentences", row_id: str = "row_id") -> DataFrame:
@@ -113,7 +120,7 @@ def with_sentences(df: DataFrame, counts: DataFrame | None = None, text: str = "
         held = df.withColumn("_marks", lexicon_maps(learnt.withColumnRenamed("mark", "valence")))
         mark = lambda word: F.coalesce(map_value("_marks")(word), F.lit(0.0))
     else:
-        edges = F.array_compact(F.flatten(F.transform(cut, lambda e: F.array(e["last"], _type(e["first"], F.lit(None).cast("string"))))))
+        edges = F.array_compact(F.flatten(F.transform(cut, lambda e: F.array(e["last"], _type(e["first"], F.lit(False))))))
         held = with_known(df, edges, learnt, row_id, "_marks")
         mark = lambda word: F.coalesce(F.try_element_at("_marks", word), F.lit(0.0))
 
@@ -121,7 +128,7 @@ def with_sentences(df: DataFrame, counts: DataFrame | None = None, text: str = "
         def ends(piece: Column, i: Column) -> Column:
             following = F.get(pieces, i + 1)["first"]
             short = piece["last"].isNotNull() & mark(piece["last"]).isin(IS_ABBREVIATION, IS_ABBREVIATION + IS_STARTER)
-            starts = following.rlike(r"^\p{Lu}") & (mark(_type(following, F.lit(None).cast("string"))) >= IS_STARTER)
+            starts = following.rlike(r"^\p{Lu}") & (mark(_type(following, F.lit(False))) >= IS_STARTER)
             return (i + 1 == F.size(pieces)) | ~F.coalesce(short, F.lit(False)) | F.coalesce(starts, F.lit(False))
 
         # places after which a sentence ends, counted from 1, then the run of pieces up to each
