@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import zlib
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,12 +14,16 @@ from reviewloom.llm.registry import query, table
 CRAWLED = "2024-01-01T00:00:00Z"
 SOFTWARE = "reviewloom"
 
-# fixed values: elements whose content is no text, elements that break lines, common named references
+# fixed values: elements whose content is no text, elements that break lines
 HIDDEN = ["script", "style", "noscript", "template"]
 BREAKS = "p|div|br|li|ul|ol|dl|dt|dd|h[1-6]|tr|table|td|th|thead|tbody|article|section|header|footer|nav|aside|main|title|head|body|html|blockquote|pre|hr|form|option|figure|figcaption"
-NAMED = [("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("nbsp", " ")]
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
+# every named reference of the standard that ends at a semicolon
+NAMES = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+# names are dealt into so many short maps, since a map is searched entry by entry
+NAME_MAPS = 1024
+
 # comments and hidden elements, whichever comes first
 UNSEEN = "(?is)<!--.*?-->|<(?:" + "|".join(rf"{tag}\b[^>]*>.*?</{tag}" for tag in HIDDEN) + r")\s*>"
 BREAK_TAG = rf"(?i)</?(?:{BREAKS})\b[^>]*>"
@@ -25,29 +33,39 @@ LINK = r"""(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
 # blanks that one space can't stand for
 RUN = r"[\t\f\r\n][\t\f\r\n ]*| [\t\f\r\n ]+"
 LINE_RUN = r"[\t\f\r][\t\f\r ]*| [\t\f\r ]+"
-NUMERIC = r"^(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+NUMERIC = r"^#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
 
 
 def visible(html: Column) -> Column:
     return F.regexp_replace(html, UNSEEN, " ")
 
 
-def _character(piece: Column) -> Column:
-    """A piece of text after ``&#``: the code point it starts with becomes a character."""
-    digits = F.regexp_extract(piece, "^([^;]*);", 1)
-    code = F.when(digits.rlike("^[xX]"), F.conv(F.substring(digits, 2, 6), 16, 10)).otherwise(digits).cast("long")
+def _name_maps() -> Column:
+    """The names as one literal: an array of short maps, by checksum."""
+    maps = [{} for _ in range(NAME_MAPS)]
+    for name, text in NAMES.items():
+        maps[zlib.crc32(name.encode()) % NAME_MAPS][name] = text
+    return F.from_json(F.lit(json.dumps(maps)), "array<map<string,string>>")
+
+
+def _character(piece: Column, maps: Column) -> Column:
+    """A piece of text after ``&``: the reference it starts with becomes its characters, otherwise the sign comes back."""
+    # null where no semicolon follows
+    end = F.nullif(F.instr(piece, ";"), F.lit(0))
+    name, rest = F.substring(piece, F.lit(1), end - 1), F.substring(piece, end + 1, F.length(piece))
+    code = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 6), 16, 10)).otherwise(F.substring(name, 2, 7)).try_cast("long")
     good = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code < 0x110000))
     hexed = F.lpad(F.hex(F.when(good, code).otherwise(F.lit(0xFFFD))), 8, "0")
-    rest = F.regexp_replace(piece, "^[^;]*;", "")
-    return F.when(piece.rlike(NUMERIC), F.concat(F.decode(F.unhex(hexed), "UTF-32"), rest)).otherwise(F.concat(F.lit("&#"), piece))
+    named = F.try_element_at(F.get(maps, F.crc32(name) % NAME_MAPS), name)
+    numbered = F.when(piece.rlike(NUMERIC), F.decode(F.unhex(hexed), "UTF-32"))
+    found = F.when(piece.startswith("#"), numbered).otherwise(named)
+    return F.coalesce(F.concat(found, rest), F.concat(F.lit("&"), piece))
 
 
 def unescape(text: Column) -> Column:
-    """Numeric and common named character references become characters; others stay."""
-    text = F.array_join(F.transform(F.split(text, "&#"), lambda piece, i: F.when(i == 0, piece).otherwise(_character(piece))), "")
-    for name, character in NAMED:
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(character))
-    return F.replace(text, F.lit("&amp;"), F.lit("&"))
+    """Numeric and named character references that end at a semicolon become characters; others stay."""
+    maps = _name_maps()
+    return F.array_join(F.transform(F.split(text, "&"), lambda piece, i: F.when(i == 0, piece).otherwise(_character(piece, maps))), "")
 
 
 def plain_text(seen: Column) -> Column:
@@ -157,16 +175,14 @@ def write_records(records: DataFrame, path: str) -> None:
 
 
 def _sql_unescape(text: str) -> str:
-    character = """CASE WHEN regexp_matches(p, '%s') THEN
-      chr(CAST(CASE WHEN (c > 0 AND c < 55296) OR (c > 57343 AND c < 1114112) THEN c ELSE 65533 END AS INTEGER)) || regexp_replace(p, '^[^;]*;', '')
-      ELSE '&#' || p END""" % NUMERIC
-    digits = "regexp_extract(p, '^([^;]*);', 1)"
-    code = f"CASE WHEN regexp_matches(p, '{NUMERIC}') THEN CASE WHEN regexp_matches({digits}, '^[xX]') THEN CAST('0x' || substr({digits}, 2) AS BIGINT) ELSE CAST({digits} AS BIGINT) END END"
-    character = character.replace(" c ", f" ({code}) ").replace("(c ", f"(({code}) ")
-    out = f"split({text}, '&#')[1] || array_to_string(list_transform(split({text}, '&#')[2:], lambda p: {character}), '')"
-    for name, c in NAMED:
-        out = f"replace({out}, '&{name};', '{c.replace(chr(39), chr(39) * 2)}')"
-    return f"replace({out}, '&amp;', '&')"
+    name = "substr(p, 1, instr(p, ';') - 1)"
+    code = f"CASE WHEN regexp_matches({name}, '^#[xX]') THEN CAST('0x' || substr({name}, 3) AS BIGINT) ELSE CAST(substr({name}, 2) AS BIGINT) END"
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    names = "MAP {" + ", ".join(f"{quoted(n)}: {quoted(t)}" for n, t in NAMES.items()) + "}"
+    character = f"""CASE WHEN regexp_matches(p, '{NUMERIC}') THEN
+      chr(CAST(CASE WHEN (({code}) > 0 AND ({code}) < 55296) OR (({code}) > 57343 AND ({code}) < 1114112) THEN ({code}) ELSE 65533 END AS INTEGER)) || substr(p, instr(p, ';') + 1)
+      ELSE coalesce({names}[{name}] || substr(p, instr(p, ';') + 1), '&' || p) END"""
+    return f"split({text}, '&')[1] || array_to_string(list_transform(split({text}, '&')[2:], lambda p: {character}), '')"
 
 
 def _sql_digest(content: str) -> str:

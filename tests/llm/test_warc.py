@@ -4,11 +4,13 @@ import base64
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from reviewloom.llm.warc import derivatives, responses, write_records
 
 HTML = """<html><head><title>T &amp; U</title><style>p{x}</style><script>var a="</p>";</script></head><body><!-- no <p> --><p>Caf&eacute; &#233;&#x1F44D; &#0; &#xD800; &#99999999; a&lt;b &amp;lt;</p>
 <a href="/one?a=1&amp;b=2">one</a><a class=x HREF='two'>two</a><br/>3 < 4 <NoScript>hidden</noscript>end&#xzz;</body></html>"""
-TEXT = "T & U\nCaf&eacute; é👍 � � &#99999999; a<b &lt;\none two\n3 < 4 end&#xzz;"
+TEXT = "T & U\nCafé é👍 � � &#99999999; a<b &lt;\none two\n3 < 4 end&#xzz;"
 
 
 def sha1(text):
@@ -69,6 +71,20 @@ def test_written_files_parse_back(rows, tmp_path):
     assert sorted(found) == sorted(r.block for r in out)
 
 
+def test_references_are_those_of_the_standard(rows):
+    from html import unescape
+
+    from reviewloom.llm.warc import NAMES
+    from reviewloom.llm.warc import unescape as resolved
+
+    every = " ".join(f"&{name};" for name in NAMES)
+    texts = [every, "&copy; &middot; &hellip;&mdash;&Eacute;&NotEqualTilde;", "&amp;copy; &amp;amp; a & b; c &; &nosuchname; &#; &#x; &#xg; && &lt", "", "x", "&", "&#12a; &#00000065; &#65;;&lt;;"]
+    got = [r.r for r in rows("t string", *[(t,) for t in texts], (None,)).select(resolved(F.col("t")).alias("r")).collect()]
+    assert got[:2] == [unescape(t) for t in texts[:2]]
+    assert got[2] == "&copy; &amp; a & b; c &; &nosuchname; &#; &#x; &#xg; && &lt"
+    assert got[3:] == ["", "x", "&", "&#12a; &#00000065; A;<;", None]
+
+
 def test_links_with_other_quotes_or_none(rows):
     html = """<a href="/o'brien">1</a><a href='/say "hi"'>2</a><a href=/plain/x.html>3</a><a class=b href=it's id=c>4</a><a HREF = "">5</a>
     <a href="/a>b">6</a><a name=top>7</a><a href=/q?a=1&amp;b=2
