@@ -91,6 +91,25 @@ def name_emoji(t):
     return t.events.select("event_id", text.name_emoji(raw).alias("text"))
 
 
+# emoji of more than one character, and what they are named; the last ones are no emoji
+SEQUENCES = [
+    ("\U0001f468\u200d\U0001f469\u200d\U0001f467", ":man_woman_girl:"), ("\U0001f44d\U0001f3fd", ":thumbs_up_medium_skin_tone:"), ("\U0001f1eb\U0001f1f7", ":flag_fr:"),
+    ("1\ufe0f\u20e3", ":keycap_1:"), ("\u2b50\ufe0f", ":star:"), ("\u23f0", ":alarm_clock:"),
+    ("\U0001f3f4\U000e0067\U000e0062\U000e0065\U000e006e\U000e0067\U000e007f", ":flag_gbeng:"), ("\u2764\ufe0f\u200d\U0001f525", ":red_heart_fire:"),
+    ("\U0001f1eb\U0001f1f7\U0001f1e9\U0001f1ea", ":flag_fr::flag_de:"), ("1 \u6f22 \u200d", "1 \u6f22 \u200d"),
+]
+
+
+@query(
+    "B11_emoji_sequences",
+    "SELECT event_id, event_type || ' ' || CASE event_id % 10 " + " ".join(f"WHEN {i} THEN '{name}{name}'" for i, (_, name) in enumerate(SEQUENCES)) + " END || ' ' || event_type AS text FROM events",
+)
+def emoji_sequences(t):
+    """Families, skin tones, flags, keycaps, the star and a clock, each twice between words."""
+    one = F.element_at(F.array(*[F.lit(s + s) for s, _ in SEQUENCES]), (F.col("event_id") % 10 + 1).cast("int"))
+    return t.events.select("event_id", text.name_emoji(F.concat_ws(" ", "event_type", one, "event_type")).alias("text"))
+
+
 FEATURE_SQL = f"""{S.JOINED}, feature_rows AS (
   SELECT row_id, coalesce(text, '') AS text, coalesce(title, '') AS title, coalesce(price, 0.0) AS price,
          CAST(price IS NULL AS INTEGER) AS price_missing, CAST(coalesce(helpful_vote, 0) AS INTEGER) AS helpful_vote,

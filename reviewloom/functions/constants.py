@@ -36,6 +36,14 @@ EMOJI_NARROW = (
     r"\x{1F780}-\x{1F7FF}\x{1F800}-\x{1F8FF}\x{1F900}-\x{1F9FF}\x{1FA00}-\x{1FAFF}"
     r"\x{2702}-\x{27B0}\x{2600}-\x{26FF}\x{2700}-\x{27BF}]"
 )
+# Emoji outside those ranges, and the published forms of sequences: flags, flags by tags, keycaps, and
+# characters with a selector or skin tone, joined by U+200D.
+EMOJI_OTHER = r"[\x{231A}\x{231B}\x{23E9}-\x{23F3}\x{23F8}-\x{23FA}\x{25FB}-\x{25FE}\x{2934}\x{2935}\x{2B05}-\x{2B07}\x{2B1B}\x{2B1C}\x{2B50}\x{2B55}]"
+EMOJI_ONE = rf"(?:{EMOJI_NARROW}|{EMOJI_OTHER})(?:[\x{{1F3FB}}-\x{{1F3FF}}]|\x{{FE0F}})?"
+EMOJI_SEQUENCE = (
+    r"[\x{1F1E6}-\x{1F1FF}]{2}|\x{1F3F4}[\x{E0030}-\x{E0039}\x{E0061}-\x{E007A}]+\x{E007F}|[0-9#*]\x{FE0F}?\x{20E3}|"
+    rf"{EMOJI_ONE}(?:\x{{200D}}{EMOJI_ONE})*"
+)
 
 # Limits of the quality checks.
 RANGES = {"rating": (1, 5), "price": (0, None), "year": (2018, 2023), "rating_number": (1, None)}

@@ -8,7 +8,7 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from reviewloom.functions.constants import EMOJI_NARROW, HTML_TAG, WHITESPACE
+from reviewloom.functions.constants import EMOJI_NARROW, EMOJI_SEQUENCE, HTML_TAG, WHITESPACE
 
 # a word, a hyphenated word, or a lone dollar sign
 TOKEN = r"[\p{L}\p{N}]+(?:-[\p{L}\p{N}]+)*|\$"
@@ -93,14 +93,18 @@ EMOJI_NAMES = {
     "\U0001f62d": "loudly_crying_face", "\U0001f621": "enraged_face", "\U0001f620": "angry_face",
     "\U0001f618": "face_blowing_a_kiss", "\U0001f60e": "smiling_face_with_sunglasses",
     "\U0001f495": "two_hearts", "\U0001f44b": "waving_hand", "\U0001f4aa": "flexed_biceps",
+    "\u2b50": "star", "\u231b": "hourglass_done", "\u23f3": "hourglass_not_done",
+    "\U0001f3fb": "light_skin_tone", "\U0001f3fc": "medium-light_skin_tone", "\U0001f3fd": "medium_skin_tone",
+    "\U0001f3fe": "medium-dark_skin_tone", "\U0001f3ff": "dark_skin_tone",
     "\U0001f648": "see-no-evil_monkey", "\U0001f61e": "disappointed_face", "\U0001f615": "confused_face",
 }
-VARIATION_SELECTOR = "️"
+VARIATION_SELECTOR = "\ufe0f"
+JOINER = "\u200d"
 
 
 def emoji_table() -> dict[str, str]:
     """Emoji to short name, by rule from the Unicode names of the symbol ranges."""
-    ranges = [(0x2600, 0x27BF), (0x1F300, 0x1F64F), (0x1F680, 0x1F6FF), (0x1F700, 0x1F8FF), (0x1F900, 0x1FAFF)]
+    ranges = [(0x231A, 0x231B), (0x23E9, 0x23FA), (0x25FB, 0x25FE), (0x2600, 0x27BF), (0x2934, 0x2935), (0x2B05, 0x2B55), (0x1F300, 0x1F64F), (0x1F680, 0x1F6FF), (0x1F700, 0x1F8FF), (0x1F900, 0x1FAFF)]
     table = {}
     for low, high in ranges:
         for code in range(low, high + 1):
@@ -110,18 +114,49 @@ def emoji_table() -> dict[str, str]:
     return {**table, **EMOJI_NAMES}
 
 
+REGIONAL = "".join(chr(0x1F1E6 + i) for i in range(26))
+TAGS = "".join(chr(0xE0061 + i) for i in range(26)) + "".join(chr(0xE0030 + i) for i in range(10))
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def _sequence_name(seq: Column, names: Column, by_rule: bool) -> Column:
+    """A sequence's own name, that of its flag or key, or those of its characters; null where one has none."""
+    parts = F.transform(
+        F.filter(F.regexp_extract_all(seq, F.lit("(?s)."), F.lit(0)), lambda c: ~c.isin(VARIATION_SELECTOR, JOINER)),
+        lambda c: F.try_element_at(names, c),
+    )
+    composed = F.when(~F.exists(parts, lambda p: p.isNull()), F.array_join(parts, "_"))
+    own = F.try_element_at(names, seq)
+    if not by_rule:
+        return F.coalesce(own, composed)
+    # signs beyond the letters have nothing to become and vanish
+    flag = F.translate(F.translate(seq, REGIONAL, LETTERS), f"{TAGS}\U0001f3f4\U000e007f", f"{LETTERS}0123456789")
+    special = F.when(seq.rlike(r"^[\x{1F1E6}-\x{1F1FF}]|\x{E007F}\z"), F.concat(F.lit("flag_"), flag)).when(
+        seq.endswith("\u20e3"), F.concat(F.lit("keycap_"), F.substring(seq, 1, 1))
+    )
+    return F.coalesce(own, special, composed)
+
+
 def name_emoji(c, table: dict[str, str] | None = None) -> Column:
-    """Replace each emoji by ``:name:``; unknown ones stay."""
+    """Replace each emoji by ``:name:``; unknown ones stay.
+
+    The longest sequence counts as one emoji: families and others joined by U+200D, skin tones, flags and keycaps. A table
+    may name whole sequences; otherwise one is named by its characters, a flag by its letters, a keycap by its key.
+    """
     text = _col(c)
     names = F.from_json(F.lit(json.dumps(table or emoji_table())), "map<string,string>")
-    present = F.array_distinct(emoji_characters(text))
 
-    def swap(acc: Column, char: Column) -> Column:
-        short = F.concat(F.lit(":"), names[char], F.lit(":"))
-        named = F.replace(F.replace(acc, F.concat(char, F.lit(VARIATION_SELECTOR)), short), char, short)
-        return F.coalesce(named, acc)
+    def named(found: Column) -> Column:
+        def after(piece: Column, i: Column) -> Column:
+            seq = F.get(found, i)
+            short = F.concat(F.lit(":"), _sequence_name(seq, names, table is None), F.lit(":"))
+            return F.concat(piece, F.coalesce(short, seq, F.lit("")))
+
+        return F.transform(F.split(text, EMOJI_SEQUENCE, -1), after)
 
-    return F.when(F.size(present) > 0, F.aggregate(present, text, swap)).otherwise(text)
+    # the one-element array keeps the sequences from being searched again per piece
+    found = F.regexp_extract_all(text, F.lit(EMOJI_SEQUENCE), F.lit(0))
+    return F.when(text.rlike(EMOJI_SEQUENCE), F.array_join(F.flatten(F.transform(F.array(found), named)), "")).otherwise(text)
 
 
 def matches(c, pattern: str) -> Column:

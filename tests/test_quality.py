@@ -189,3 +189,23 @@ def test_white_space_class_is_the_published_one(spark):
     plain = F.regexp_replace(F.regexp_replace(F.concat(F.lit("a"), "c", F.lit("\n"), "c", F.lit("b")), C.WHITESPACE + "+", " "), C.HTML_TAG, " ")
     assert points.filter(fast != plain).count() == 0
     assert points.filter(fast == "a b").count() == sum(chr(i).isspace() for i in range(1, 0x3101))
+
+
+@pytest.mark.parametrize("text, want", [
+    ("a👨‍👩‍👧b👨c", "a:man_woman_girl:b:man:c"),
+    ("👍🏽👍", ":thumbs_up_medium_skin_tone::thumbs_up:"),
+    ("🇫🇷🇩🇪 🇫", ":flag_fr::flag_de: 🇫"),
+    ("1️⃣ #⃣ 12", ":keycap_1: :keycap_#: 12"),
+    ("⭐ ⏰ ⌛", ":star: :alarm_clock: :hourglass_done:"),
+    ("❤️‍🔥❤️x", ":red_heart_fire::red_heart:x"),
+    ("🏴\U000e0067\U000e0062\U000e0065\U000e006e\U000e0067\U000e007f.", ":flag_gbeng:."),
+    ("a: 漢\n🙂\n", "a: 漢\n:slightly_smiling_face:\n"),
+    ("", ""), (None, None),
+])
+def test_emoji_sequences(rows, text, want):
+    assert rows("t string", (text,)).select(name_emoji("t")).first()[0] == want
+
+
+def test_named_sequences_of_a_given_table(rows):
+    table = {"👨‍👩‍👧": "family", "👍": "yes"}
+    assert rows("t string", ("👨‍👩‍👧 👍🏽 👍 🇫🇷",)).select(name_emoji("t", table)).first()[0] == ":family: 👍🏽 :yes: 🇫🇷"
