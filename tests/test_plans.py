@@ -1,10 +1,13 @@
 """What the physical plans must and must not hold."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from reviewloom.functions.columns import add_review_time
-from reviewloom.operators import aspects, filters, labeling, quality, retrieval, sampling
+from reviewloom.operators import aspects, filters, labeling, quality, retrieval, rollup, sampling, summaries
+from reviewloom.sources.adapters import Tables
 
 
 def plan(df) -> str:
@@ -69,3 +72,33 @@ def test_top_k_keeps_k_per_task(stored):
 
 def test_duplicates_read_the_ids_only_on_the_second_pass(stored):
     assert "ReadSchema: struct<row_id:bigint>" in plan(quality.duplicates(stored))
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="test tables are not there")
+def test_no_join_moves_the_texts_of_reviews(spark, no_broadcast):
+    """Texts are joined above all other joins, so only keys and numbers are exchanged for those."""
+    joins = [line for line in plan(Tables(spark, "/root/testdata/sf0.001").joined()).splitlines() if "Join [" in line]
+    assert "_doc" in joins[0] and any("parent_asin" in line for line in joins[1:])
+
+
+@pytest.mark.parametrize("make", [rollup.document_parts, rollup.monthly_documents])
+@pytest.mark.parametrize("part_chars", [50, 8_000_000])
+def test_texts_of_documents_move_once(spark, make, part_chars):
+    columns = ["id as row_id", "string(id) as text", "double(id) as rating", "int(id) as helpful_vote", "int(id % 2) as year", "int(id % 3) as review_month"]
+    columns += ["concat('a,b,c', id % 2) as categories", "string(id) as main_category", "string(id % 3) as sentiment_label"]
+    text = plan(make(spark.range(60).selectExpr(*columns), part_chars))
+    assert text.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in text
+
+
+def test_key_sentences_move_no_rows(stored):
+    text = plan(summaries.key_sentences(stored, ["row_id"], "text", 1))
+    assert not any(word in text for word in ("Exchange", "Sort", "Window", "Generate"))
