@@ -14,6 +14,8 @@ from reviewloom.session import settle
 
 VECTORS_IN_BLOCK = 8192
 QUERIES_IN_BLOCK = 1024
+# queries of a block that meet a block of vectors at once: bounds the matrix of scores, some 8 MB
+QUERIES_AT_ONCE = 128
 # rounding of a matrix product; candidates this close to the last place are scored again one by one
 SLACK = 1e-9
 FACETS = ("category", "year", "month")
@@ -74,21 +76,29 @@ def _best(asked: dict, held: dict, k: int, facets: Sequence[str]) -> tuple[np.nd
     width = max(asked["width"], held["width"])
     (q, q_sizes), (v, v_sizes) = _matrix(asked, width), _matrix(held, width)
     q_norm, v_norm = np.sqrt(_sequential(q, q)), np.sqrt(_sequential(v, v))
-    fits = (q_sizes[:, None] == v_sizes) & (q_norm > 0)[:, None] & (v_norm > 0) & _allowed(asked, held, facets)
     with np.errstate(divide="ignore", invalid="ignore"):
-        rough = np.where(fits, (q / q_norm[:, None]) @ (v / v_norm[:, None]).T, -np.inf)
-    if rough.shape[1] > k:
-        least = np.partition(rough, rough.shape[1] - k, axis=1)[:, rough.shape[1] - k]
-        fits &= rough >= least[:, None] - SLACK
-    at, row = np.nonzero(fits)
-    score = np.concatenate([np.zeros(0), *[_sequential(q[at[i : i + 65536]], v[row[i : i + 65536]]) for i in range(0, len(at), 65536)]])
-    score = score / (q_norm[at] * v_norm[row])
+        q_unit, v_unit = q / q_norm[:, None], (v / v_norm[:, None]).T
     place = np.empty(v.shape[0], np.int64)
     place[sorted(range(len(place)), key=held["id"].__getitem__)] = np.arange(len(place))
-    order = np.lexsort((place[row], -score, at))
-    at, row, score = at[order], row[order], score[order]
-    keep = np.arange(len(at)) - np.searchsorted(at, at) < k
-    return at[keep], row[keep], score[keep]
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    for lo in range(0, len(q), QUERIES_AT_ONCE):
+        now = slice(lo, lo + QUERIES_AT_ONCE)
+        some = {c: asked[c][now] for c in facets}
+        fits = (q_sizes[now, None] == v_sizes) & (q_norm[now] > 0)[:, None] & (v_norm > 0) & _allowed(some, held, facets)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            rough = np.where(fits, q_unit[now] @ v_unit, -np.inf)
+        if rough.shape[1] > k:
+            least = np.partition(rough, rough.shape[1] - k, axis=1)[:, rough.shape[1] - k]
+            fits &= rough >= least[:, None] - SLACK
+        at, row = np.nonzero(fits)
+        at += lo
+        score = np.concatenate([np.zeros(0), *[_sequential(q[at[i : i + 65536]], v[row[i : i + 65536]]) for i in range(0, len(at), 65536)]])
+        score = score / (q_norm[at] * v_norm[row])
+        order = np.lexsort((place[row], -score, at))
+        at, row, score = at[order], row[order], score[order]
+        keep = np.arange(len(at)) - np.searchsorted(at, at) < k
+        found.append((at[keep], row[keep], score[keep]))
+    return tuple(np.concatenate(parts) for parts in zip(*found))
 
 
 def top_k_table(

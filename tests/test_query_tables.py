@@ -55,3 +55,27 @@ def test_text_ids_and_empty_tables(rows):
     assert [(r.id, r.score, r["rank"]) for r in top_k_table(asked, df, 2).orderBy("rank").collect()] == [("a", 1.0, 1), ("b", 1.0, 2)]
     assert top_k_table(asked.limit(0), df, 2).count() == 0
     assert top_k_table(asked, df.limit(0), 2).count() == 0
+
+
+def test_scores_of_a_pair_of_full_blocks_stay_small():
+    """Python's own count of a pair's memory; the whole matrix of scores alone would take 64 MB."""
+    import tracemalloc
+
+    import numpy as np
+
+    from reviewloom.operators import query_tables as q
+
+    rng = np.random.default_rng(0)
+
+    def block(n):
+        x = rng.normal(size=(n, 16))
+        return {"id": list(range(n)), "width": 16, "data": x.tobytes(), "sizes": np.full(n, 16, np.int32).tobytes()}, x
+
+    (asked, a), (held, b) = block(q.QUERIES_IN_BLOCK), block(q.VECTORS_IN_BLOCK)
+    tracemalloc.start()
+    at, row, _ = q._best(asked, held, 3, ())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 48 * 2**20
+    cosine = (a / np.linalg.norm(a, axis=1)[:, None]) @ (b / np.linalg.norm(b, axis=1)[:, None]).T
+    assert (at == np.repeat(np.arange(len(a)), 3)).all() and (row.reshape(-1, 3) == np.argsort(-cosine, axis=1)[:, :3]).all()
