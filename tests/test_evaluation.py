@@ -89,3 +89,53 @@ def test_classifier_learns_and_scores(spark):
     assert set(shares) == {"NEG", "NEU", "POS"}
     flat = flatten_predictions(scored.select("row_id", "c", "prediction"))
     assert flat.filter("c <> sentiment_label").count() == 0 and flat.filter("POS_confidence is null").count() == 0
+
+
+def _reviews_of_few_texts(spark):
+    words = ["awful broken late", "okay fine late", "great love fast", "broken but great", None, ""]
+    data = [(words[(i * 7 + i // 5) % 6], "t" if i % 3 else None, float(i % 11), i % 2, i % 4, i % 2, (i * 7 + i // 3) % 3) for i in range(240)]
+    ddl = "text string, title string, price double, price_missing int, helpful_vote int, verified_purchase int, label int"
+    return spark.createDataFrame(data, ddl).coalesce(2)
+
+
+def test_equal_texts_of_a_batch_are_read_once(spark):
+    rows = _reviews_of_few_texts(spark)
+    grouped = classifier.by_text(rows)
+    # two batches, six texts, with and without title
+    assert grouped.count() <= 24
+    back = grouped.select("title", "text", F.explode("rows").alias("r")).select("title", "text", "r.*")
+    assert sorted(map(str, back.select(*rows.columns).collect())) == sorted(map(str, rows.collect()))
+
+
+def test_training_on_texts_equals_training_on_rows(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import IDF, HashingTF, VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    from reviewloom.functions.text import tokens
+
+    rows = _reviews_of_few_texts(spark)
+    blocks = classifier._blocks(rows, "label", 64, 1.0, 0)
+    model = classifier._trained(blocks, 64, [0.01], 100, None)[0]
+    spoken = features.model_input(rows).withColumn("tokens", tokens(F.lower("combined_text")))
+    stages = [
+        HashingTF(inputCol="tokens", outputCol="tf", numFeatures=64), IDF(inputCol="tf", outputCol="tfidf"),
+        VectorAssembler(inputCols=["tfidf", *classifier.NUMERIC], outputCol="features"),
+        LogisticRegression(labelCol="label", regParam=0.01, family="multinomial", tol=1e-10, maxIter=500),
+    ]
+    plain = Pipeline(stages=stages).fit(spoken).transform(spoken)
+    expected = {str(r[:-1]): r[-1] for r in plain.select(*rows.columns, vector_to_array("probability")).collect()}
+    scored = classifier.score(model, rows, CLASS_NAMES).collect()
+    assert len(scored) == 240 and model.steps < 100
+    for r in scored:
+        shares = json.loads(r.prediction)[1]
+        assert [shares[c[:3]] for c in CLASS_NAMES] == pytest.approx(expected[str(r[:-1])], abs=0.0075)
+
+
+def test_tuning_scores_the_held_out_rows(spark):
+    rows = _reviews_of_few_texts(spark).withColumn("label", F.when(F.col("text").contains("great"), 2).when(F.col("text").contains("awful"), 0).otherwise(1))
+    model, scores = classifier.tune_classifier(rows.union(rows.withColumn("label", F.lit(None).cast("int"))), n_features=64)
+    assert list(scores) == [0.0, 0.01, 0.1] and max(scores.values()) == pytest.approx(1.0)
+    said = classifier.score(model, rows, CLASS_NAMES).select("label", F.get_json_object("prediction", "$[0]").alias("p"))
+    assert said.filter(F.col("p") != F.element_at(F.array(*map(F.lit, CLASS_NAMES)), F.col("label") + 1)).count() == 0
