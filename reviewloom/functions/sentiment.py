@@ -1,11 +1,14 @@
 """Sentiment of a text by word valences in their scope: negation, strength, capitals, contrast and exclamation.
 
-The text is folded from the first token to the last. What the fold carries is the total so far and the scope: of the last
-three tokens, how much each strengthens what follows and whether it negates it.
+Spark cuts the texts and looks the words up; the scope of a token, what the three before it strengthen or negate, is counted
+for all tokens of an Arrow batch at once. Nothing is exploded or shuffled.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,6 +33,8 @@ STRONGER = [
 ]
 WEAKER = ["almost", "barely", "kinda", "kindof", "less", "little", "marginally", "occasionally", "partly", "scarce", "slightly", "somewhat", "sorta", "sortof"]
 CONTRAST = "but"
+_NEGATIONS, _STRONGER, _WEAKER = map(frozenset, (NEGATIONS, STRONGER, WEAKER))
+TEXTS_AT_ONCE = 256
 
 # a word with inner apostrophes or hyphens, or a lone dollar sign
 SPOKEN = r"[\p{L}\p{N}]+(?:['’-][\p{L}\p{N}]+)*|\$"
@@ -65,8 +70,85 @@ def emphasis(text) -> Column:
     return F.least(calls, F.lit(EXCLAMATIONS)) * EXCLAMATION + doubt
 
 
-def scoped_valence(text="text", valence=None) -> Column:
-    """Total valence of a text; ``valence`` gives the value of a lower-case word, or null.
+def _behind(values: np.ndarray, pos: np.ndarray, steps: int, none: float) -> np.ndarray:
+    """The value so many tokens ahead in the same text."""
+    out = np.full(len(values), none)
+    out[steps:] = values[: max(0, len(values) - steps)]
+    out[pos < steps] = none
+    return out
+
+
+def _scoped_totals(sizes: np.ndarray, low: pa.Array, v: np.ndarray, loud: np.ndarray) -> np.ndarray:
+    """Totals of a run of texts without emphasis; ``sizes`` holds the tokens of each text."""
+    text_of = np.repeat(np.arange(len(sizes)), sizes)
+    pos = np.arange(len(text_of)) - (np.cumsum(sizes) - sizes)[text_of]
+    n_loud = np.bincount(text_of, loud, len(sizes))
+    shout = np.where(((n_loud > 0) & (n_loud < sizes))[text_of] & loud, CAPITALS, 0.0)
+    # a word's part in the scope is told once for all of its tokens
+    coded = low.dictionary_encode()
+    words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    push, turn = (np.array(c, np.float64)[at] for c in ([(w in _STRONGER) - (w in _WEAKER) for w in words], [NEGATED if w in _NEGATIONS or w.endswith("n't") else 1.0 for w in words]))
+    contrast = np.array([w == CONTRAST for w in words], bool)[at]
+    push = np.where(v != 0, 0.0, push * (BOOST + shout))
+    v = v + np.sign(v) * shout
+    pushed = sum((_behind(push, pos, d, 0.0) * fade for d, fade in zip((1, 2, 3), FADE)), np.zeros(len(v)))
+    value = v + np.sign(v) * pushed
+    for d in (1, 2, 3):
+        value = value * _behind(turn, pos, d, 1.0)
+    first = np.full(len(sizes), len(pos))
+    np.minimum.at(first, text_of[contrast], pos[contrast])
+    none, at_first = (first == len(pos))[text_of], first[text_of]
+    weight = np.where(none, 1.0, np.where(pos < at_first, BEFORE_CONTRAST, np.where(pos > at_first, AFTER_CONTRAST, 0.0)))
+    return np.bincount(text_of, value * weight, len(sizes))
+
+
+def _found(words: pa.Array, known: pa.Array) -> np.ndarray:
+    """Values of words by the (word, value) entries of their texts, 0 for others. A word has the same value in all texts."""
+    entries, values = known.flatten().flatten()
+    coded = entries.dictionary_encode()
+    _, first = np.unique(coded.indices.to_numpy(), return_index=True)
+    by_code = pc.fill_null(values, 0.0).to_numpy()[first]
+    at = pc.fill_null(pc.index_in(words, value_set=coded.dictionary), len(by_code)).to_numpy()
+    return np.append(by_code, 0.0)[at]
+
+
+def _pieces(*columns: pa.Array):
+    # few texts at a time: their tokens are several times as large in numbers
+    for lo in range(0, len(columns[0]), TEXTS_AT_ONCE):
+        yield [c.slice(lo, TEXTS_AT_ONCE) for c in columns]
+
+
+def _totals(spoken: pa.Array) -> pa.Array:
+    out = [np.zeros(0)]
+    for (piece,) in _pieces(spoken):
+        low, loud, v = piece.flatten().flatten()
+        out.append(_scoped_totals(pc.list_value_length(piece).to_numpy(), low, v.to_numpy(), loud.to_numpy(zero_copy_only=False)))
+    return pa.array(np.concatenate(out), pa.float64())
+
+
+def _totals_of_known(spoken: pa.Array, known: pa.Array) -> pa.Array:
+    out = [np.zeros(0)]
+    for piece, entries in _pieces(spoken, known):
+        low, loud = piece.flatten().flatten()
+        out.append(_scoped_totals(pc.list_value_length(piece).to_numpy(), low, _found(low, entries), loud.to_numpy(zero_copy_only=False)))
+    return pa.array(np.concatenate(out), pa.float64())
+
+
+def _sums_of_known(words: pa.Array, known: pa.Array) -> pa.Array:
+    out = [np.zeros(0)]
+    for piece, entries in _pieces(words, known):
+        sizes = pc.list_value_length(piece).to_numpy()
+        out.append(np.bincount(np.repeat(np.arange(len(sizes)), sizes), _found(piece.flatten(), entries), len(sizes)))
+    return pa.array(np.concatenate(out), pa.float64())
+
+
+def known_sum(words: Column, known) -> Column:
+    """Sum of the values of a row's words by ``known``, a map of its words: found by hash, where a map is searched entry by entry."""
+    return F.arrow_udf(_sums_of_known, "double")(words, F.map_entries(known))
+
+
+def scoped_valence(text="text", valence=None, known=None) -> Column:
+    """Total valence of a text; ``valence`` gives the value of a lower-case word, or null, or the map ``known`` holds the row's words.
 
     A word in capitals counts more when others are not. A strengthening or weakening word up to three tokens ahead adds to
     the strength, less with distance, unless it has a valence itself. Each negation up to three tokens ahead turns the value
@@ -77,36 +159,13 @@ def scoped_valence(text="text", valence=None) -> Column:
     text = F.col(text) if isinstance(text, str) else text
     loud = lambda w: (F.upper(w) == w) & (F.lower(w) != w)
 
-    def mixed(words: Column) -> Column:
-        n_loud = F.size(F.filter(words, loud))
-        return (n_loud > 0) & (n_loud < F.size(words))
-
-    def told(w: Column, some_loud: Column) -> Column:
-        return F.struct(F.lower(w).alias("low"), F.coalesce(valence(F.lower(w)), F.lit(0.0)).alias("v"), F.when(some_loud & loud(w), CAPITALS).otherwise(0.0).alias("shout"))
-
-    def marked(w: Column) -> Column:
-        low, value, shout = w["low"], w["v"], w["shout"]
-        push = F.when(value != 0, 0.0).when(low.isin(STRONGER), BOOST + shout).when(low.isin(WEAKER), -BOOST - shout).otherwise(0.0)
-        turns = low.isin(NEGATIONS) | low.endswith("n't")
-        return F.struct((value + F.signum(value) * shout).alias("v"), push.alias("b"), F.when(turns, NEGATED).otherwise(1.0).alias("n"), (low == CONTRAST).alias("c"))
-
-    start = F.struct(
-        F.lit(0.0).alias("total"), F.lit(1.0).alias("weight"), *[F.lit(x).alias(f"{c}{d}") for d in (1, 2, 3) for c, x in (("b", 0.0), ("n", 1.0))]
-    )
-
-    def step(s: Column, t: Column) -> Column:
-        pushed = sum((s[f"b{d}"] * fade for d, fade in zip((1, 2, 3), FADE)), F.lit(0.0))
-        value = (t["v"] + F.signum(t["v"]) * pushed) * s["n1"] * s["n2"] * s["n3"]
-        turn = t["c"] & (s["weight"] == 1.0)
-        total = F.when(turn, s["total"] * BEFORE_CONTRAST).otherwise(s["total"] + F.when(t["v"] != 0, value * s["weight"]).otherwise(0.0))
-        return F.struct(
-            total.alias("total"), F.when(turn, AFTER_CONTRAST).otherwise(s["weight"]).alias("weight"),
-            t["b"].alias("b1"), t["n"].alias("n1"), s["b1"].alias("b2"), s["n1"].alias("n2"), s["b2"].alias("b3"), s["n2"].alias("n3"),
-        )
-
-    def folded(words: Column, some_loud: Column) -> Column:
-        return F.aggregate(F.transform(F.transform(words, lambda w: told(w, some_loud)), marked), start, step, lambda s: s["total"])
-
-    # one-element arrays keep what stands in them from being found again for each use
-    per_text = F.transform(F.array(spoken_tokens(text)), lambda words: F.transform(F.array(mixed(words)), lambda some: folded(words, some)))
-    return F.transform(F.flatten(per_text), lambda s: s + F.signum(s) * emphasis(text))[0]
+    def told(w: Column) -> Column:
+        value = [] if known is not None else [F.coalesce(valence(F.lower(w)), F.lit(0.0)).alias("v")]
+        return F.struct(F.lower(w).alias("low"), loud(w).alias("loud"), *value)
+
+    spoken = F.transform(spoken_tokens(text), told)
+    if known is None:
+        total = F.arrow_udf(_totals, "double")(spoken)
+    else:
+        total = F.arrow_udf(_totals_of_known, "double")(spoken, F.map_entries(known))
+    return total + F.signum(total) * emphasis(text)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions.columns import label_name
 from reviewloom.functions.labels import DEFAULT_RULES, RULES, compound, lexicon_maps, map_value, score_label, valence_sum
-from reviewloom.functions.sentiment import literal_valence, scoped_valence, spoken_tokens
+from reviewloom.functions.sentiment import known_sum, literal_valence, scoped_valence, spoken_tokens
 from reviewloom.functions.text import tokens
 from reviewloom.plans.skew import may_broadcast
 from reviewloom.session import settle
@@ -120,10 +120,11 @@ def _with_valence(
     known = settle(known)
     if may_broadcast(known):
         held, value = df.withColumn("_maps", lexicon_maps(known)), map_value("_maps")
+        total = scoped_valence(text, value) if scoped else valence_sum(text, value=value)
     else:
         said = F.transform(spoken_tokens(text), F.lower) if scoped else tokens(F.lower(F.coalesce(F.col(text), F.lit(""))))
-        held, value = with_known(df, said, known, row_id, "_maps"), lambda word: F.try_element_at("_maps", word)
-    total = scoped_valence(text, value) if scoped else valence_sum(text, value=value)
+        held = with_known(df, said, known, row_id, "_maps")
+        total = scoped_valence(text, known="_maps") if scoped else known_sum(said, "_maps")
     return held.withColumn(name, of(total)).drop("_maps")
 
 
