@@ -113,7 +113,7 @@ def scoped_rule(text="text", lexicon: dict[str, float] | None = None) -> Column:
     """As :func:`lexicon_rule`, with negation, strength and contrast."""
     from reviewloom.functions.sentiment import literal_valence, scoped_valence
 
-    return score_label(compound(scoped_valence(text, literal_valence(lexicon))))
+    return score_label(compound(scoped_valence(text, literal_valence(lexicon) if lexicon else None)))
 
 
 def rating_class(rating) -> Column:

@@ -78,15 +78,18 @@ def _behind(values: np.ndarray, pos: np.ndarray, steps: int, none: float) -> np.
     return out
 
 
-def _scoped_totals(sizes: np.ndarray, low: pa.Array, v: np.ndarray, loud: np.ndarray) -> np.ndarray:
-    """Totals of a run of texts without emphasis; ``sizes`` holds the tokens of each text."""
+def _coded(words: pa.Array) -> tuple[np.ndarray, list[str]]:
+    coded = words.dictionary_encode()
+    return coded.indices.to_numpy(), coded.dictionary.to_pylist()
+
+
+def _scoped_totals(sizes: np.ndarray, at: np.ndarray, words: list[str], v: np.ndarray, loud: np.ndarray) -> np.ndarray:
+    """Totals of a run of texts without emphasis; ``sizes`` holds the tokens of each text, ``at`` their lower-case words."""
     text_of = np.repeat(np.arange(len(sizes)), sizes)
     pos = np.arange(len(text_of)) - (np.cumsum(sizes) - sizes)[text_of]
     n_loud = np.bincount(text_of, loud, len(sizes))
     shout = np.where(((n_loud > 0) & (n_loud < sizes))[text_of] & loud, CAPITALS, 0.0)
     # a word's part in the scope is told once for all of its tokens
-    coded = low.dictionary_encode()
-    words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
     push, turn = (np.array(c, np.float64)[at] for c in ([(w in _STRONGER) - (w in _WEAKER) for w in words], [NEGATED if w in _NEGATIONS or w.endswith("n't") else 1.0 for w in words]))
     contrast = np.array([w == CONTRAST for w in words], bool)[at]
     push = np.where(v != 0, 0.0, push * (BOOST + shout))
@@ -122,7 +125,7 @@ def _totals(spoken: pa.Array) -> pa.Array:
     out = [np.zeros(0)]
     for (piece,) in _pieces(spoken):
         low, loud, v = piece.flatten().flatten()
-        out.append(_scoped_totals(pc.list_value_length(piece).to_numpy(), low, v.to_numpy(), loud.to_numpy(zero_copy_only=False)))
+        out.append(_scoped_totals(pc.list_value_length(piece).to_numpy(), *_coded(low), v.to_numpy(), loud.to_numpy(zero_copy_only=False)))
     return pa.array(np.concatenate(out), pa.float64())
 
 
@@ -130,7 +133,19 @@ def _totals_of_known(spoken: pa.Array, known: pa.Array) -> pa.Array:
     out = [np.zeros(0)]
     for piece, entries in _pieces(spoken, known):
         low, loud = piece.flatten().flatten()
-        out.append(_scoped_totals(pc.list_value_length(piece).to_numpy(), low, _found(low, entries), loud.to_numpy(zero_copy_only=False)))
+        out.append(_scoped_totals(pc.list_value_length(piece).to_numpy(), *_coded(low), _found(low, entries), loud.to_numpy(zero_copy_only=False)))
+    return pa.array(np.concatenate(out), pa.float64())
+
+
+def _totals_of_default(spoken: pa.Array) -> pa.Array:
+    """By the built-in lexicon, for which each distinct word is looked at once."""
+    out = [np.zeros(0)]
+    for (piece,) in _pieces(spoken):
+        at, words = _coded(piece.flatten())
+        low = [w.lower() for w in words]
+        v = np.array([DEFAULT_LEXICON.get(w, 0.0) for w in low], np.float64)[at]
+        loud = np.array([w.upper() == w != x for w, x in zip(words, low)], bool)[at]
+        out.append(_scoped_totals(pc.list_value_length(piece).to_numpy(), at, low, v, loud))
     return pa.array(np.concatenate(out), pa.float64())
 
 
@@ -149,13 +164,13 @@ def known_sum(words: Column, known) -> Column:
 
 def scoped_valence(text="text", valence=None, known=None) -> Column:
     """Total valence of a text; ``valence`` gives the value of a lower-case word, or null, or the map ``known`` holds the row's words.
+    Without both the built-in lexicon serves.
 
     A word in capitals counts more when others are not. A strengthening or weakening word up to three tokens ahead adds to
     the strength, less with distance, unless it has a valence itself. Each negation up to three tokens ahead turns the value
     round and weakens it. What stands before the first "but" counts half, what stands after it half as much again. Exclamation
     and question marks strengthen the total. Null and empty texts have 0.
     """
-    valence = valence or literal_valence()
     text = F.col(text) if isinstance(text, str) else text
     loud = lambda w: (F.upper(w) == w) & (F.lower(w) != w)
 
@@ -163,6 +178,9 @@ def scoped_valence(text="text", valence=None, known=None) -> Column:
         value = [] if known is not None else [F.coalesce(valence(F.lower(w)), F.lit(0.0)).alias("v")]
         return F.struct(F.lower(w).alias("low"), loud(w).alias("loud"), *value)
 
+    if known is None and valence is None:
+        total = F.arrow_udf(_totals_of_default, "double")(spoken_tokens(text))
+        return total + F.signum(total) * emphasis(text)
     spoken = F.transform(spoken_tokens(text), told)
     if known is None:
         total = F.arrow_udf(_totals, "double")(spoken)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions.columns import label_name
 from reviewloom.functions.labels import DEFAULT_RULES, RULES, compound, lexicon_maps, map_value, score_label, valence_sum
-from reviewloom.functions.sentiment import known_sum, literal_valence, scoped_valence, spoken_tokens
+from reviewloom.functions.sentiment import known_sum, scoped_valence, spoken_tokens
 from reviewloom.functions.text import tokens
 from reviewloom.plans.skew import may_broadcast
 from reviewloom.session import settle
@@ -113,7 +113,7 @@ def _with_valence(
 ) -> DataFrame:
     """Add ``of`` the valence sum of a text."""
     if lexicon is None:
-        return df.withColumn(name, of(scoped_valence(text, literal_valence()) if scoped else valence_sum(text)))
+        return df.withColumn(name, of(scoped_valence(text) if scoped else valence_sum(text)))
     if isinstance(lexicon, dict):
         lexicon = df.sparkSession.createDataFrame([(w, float(v)) for w, v in lexicon.items()], "word string, valence double")
     known = lexicon.filter("word is not null").groupBy("word").agg(F.sum(F.col("valence").cast("double")).alias("valence"))
