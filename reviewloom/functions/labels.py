@@ -73,8 +73,12 @@ def compound(total) -> Column:
 LEXICON_MAPS = 1024
 
 
-def _place(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(LEXICON_MAPS)).cast("int")
+# and those of one row into so many
+ROW_MAPS = 64
+
+
+def _place(word: Column, maps: int = LEXICON_MAPS) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(maps)).cast("int")
 
 
 def lexicon_maps(words: DataFrame) -> Column:
@@ -86,9 +90,17 @@ def lexicon_maps(words: DataFrame) -> Column:
     ).scalar()
 
 
-def map_value(maps):
-    """Looks a word up in a column from ``lexicon_maps``."""
-    return lambda t: F.try_element_at(F.get(_col(maps), _place(t)), t)
+def map_value(maps, n_maps: int = LEXICON_MAPS):
+    """Looks a word up in a column from ``lexicon_maps``, or of as many short maps."""
+    return lambda t: F.try_element_at(F.get(_col(maps), _place(t, n_maps)), t)
+
+
+def row_maps(pairs: DataFrame, row_id: str, word: str, value: str, name: str) -> DataFrame:
+    """An array of short maps for each row id, from its distinct words and their values."""
+    at = F.struct(_place(F.col(word), ROW_MAPS).alias("at"), F.col(word).alias("word"), F.col(value).alias("value"))
+    held = pairs.groupBy(row_id, at["at"].alias("_at")).agg(F.map_from_entries(F.collect_list(F.struct(at["word"], at["value"]))).alias("_map"))
+    dealt = held.groupBy(row_id).agg(F.map_from_entries(F.collect_list(F.struct("_at", "_map"))).alias("_dealt"))
+    return dealt.select(row_id, F.transform(F.sequence(F.lit(0), F.lit(ROW_MAPS - 1)), lambda i: F.try_element_at("_dealt", i)).alias(name))
 
 
 def valence_sum(text="text", lexicon: dict[str, float] | None = None, value: Callable | None = None) -> Column:
@@ -113,7 +125,7 @@ def scoped_rule(text="text", lexicon: dict[str, float] | None = None) -> Column:
     """As :func:`lexicon_rule`, with negation, strength and contrast."""
     from reviewloom.functions.sentiment import literal_valence, scoped_valence
 
-    return score_label(compound(scoped_valence(text, literal_valence(lexicon) if lexicon else None)))
+    return score_label(compound(scoped_valence(text, literal_valence(lexicon))))
 
 
 def rating_class(rating) -> Column:

@@ -10,7 +10,6 @@ from collections.abc import Callable, Generator, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import RDD, StorageLevel
@@ -323,12 +322,19 @@ def score(model: TextModel, features: DataFrame, classes: Sequence[str]) -> Data
     shared = features.sparkSession.sparkContext.broadcast(model)
     n = model.n_features
 
-    @F.pandas_udf("array<double>")
-    def weighed(terms: pd.Series, counts: pd.Series) -> pd.Series:
+    told = with_terms(by_text(features), n)
+    schema = T.StructType([*told.schema.fields[:-2], T.StructField("_told", T.ArrayType(T.DoubleType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shared.value.weights
-        return pd.Series([weights[:, t] @ c for t, c in zip(terms, counts)])
+        for batch in batches:
+            sizes = pc.list_value_length(batch["terms"]).to_numpy()
+            terms, counts = (batch[c].flatten().to_numpy() for c in ("terms", "counts"))
+            ends = np.cumsum(sizes)
+            sums = [weights[:, terms[lo:hi]] @ counts[lo:hi] for lo, hi in zip(ends - sizes, ends)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(sums, pa.list_(pa.float64()))], schema.names)
 
-    told = with_terms(by_text(features), n).withColumn("_told", weighed("terms", "counts"))
+    told = told.mapInArrow(run, schema)
     rows = told.select(*TEXT, "_told", F.explode("rows").alias("_row")).select(*TEXT, "_told", "_row.*")
 
     def logit(k: int):

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.functions.columns import label_name
-from reviewloom.functions.labels import DEFAULT_RULES, RULES, compound, lexicon_maps, map_value, score_label, valence_sum
-from reviewloom.functions.sentiment import known_sum, scoped_valence, spoken_tokens
+from reviewloom.functions.labels import DEFAULT_RULES, ROW_MAPS, RULES, compound, lexicon_maps, map_value, row_maps, score_label, valence_sum
+from reviewloom.functions.sentiment import literal_valence, scoped_valence, spoken_tokens
 from reviewloom.functions.text import tokens
 from reviewloom.plans.skew import may_broadcast
 from reviewloom.session import settle
@@ -113,18 +113,19 @@ def _with_valence(
 ) -> DataFrame:
     """Add ``of`` the valence sum of a text."""
     if lexicon is None:
-        return df.withColumn(name, of(scoped_valence(text) if scoped else valence_sum(text)))
+        return df.withColumn(name, of(scoped_valence(text, literal_valence()) if scoped else valence_sum(text)))
     if isinstance(lexicon, dict):
         lexicon = df.sparkSession.createDataFrame([(w, float(v)) for w, v in lexicon.items()], "word string, valence double")
     known = lexicon.filter("word is not null").groupBy("word").agg(F.sum(F.col("valence").cast("double")).alias("valence"))
     known = settle(known)
     if may_broadcast(known):
         held, value = df.withColumn("_maps", lexicon_maps(known)), map_value("_maps")
-        total = scoped_valence(text, value) if scoped else valence_sum(text, value=value)
     else:
         said = F.transform(spoken_tokens(text), F.lower) if scoped else tokens(F.lower(F.coalesce(F.col(text), F.lit(""))))
-        held = with_known(df, said, known, row_id, "_maps")
-        total = scoped_valence(text, known="_maps") if scoped else known_sum(said, "_maps")
+        pairs = df.select(row_id, F.explode(F.array_distinct(said)).alias("word")).join(known, "word")
+        held = df.join(row_maps(pairs, row_id, "word", "valence", "_maps"), row_id, "left").select(*df.columns, "_maps")
+        value = map_value("_maps", ROW_MAPS)
+    total = scoped_valence(text, value) if scoped else valence_sum(text, value=value)
     return held.withColumn(name, of(total)).drop("_maps")
 
 
