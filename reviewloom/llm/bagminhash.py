@@ -371,6 +371,17 @@ def unite(labels: DataFrame, edges: DataFrame) -> DataFrame:
         labels = stored(labels.join(up, "group", "left").select("node", F.coalesce("up", "group").alias("group")))
 
 
+def _members(keys: DataFrame) -> DataFrame:
+    """The ``keys`` (node, at, band) of bands that several nodes share, with the band's least node as ``hub``.
+
+    Keys are dealt by band once, for counting and for the join with what was counted: both need every column, so Spark
+    takes the second reading from the first exchange.
+    """
+    dealt = keys.repartition("band")
+    shared = dealt.groupBy("band").agg(F.min(F.struct("node", "at")).alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return dealt.join(shared.select("band", F.col("least.node").alias("hub")), "band")
+
+
 def _linked(sketched: DataFrame, first: DataFrame, similarity: float) -> DataFrame:
     """(node, group) of all nodes that share a band with another; groups are connected by verified pairs.
 
@@ -378,8 +389,7 @@ def _linked(sketched: DataFrame, first: DataFrame, similarity: float) -> DataFra
     """
     keys = sketched.select("_rid", "_bands").join(first, "_rid", "left_semi")
     keys = keys.select(F.col("_rid").alias("node"), F.posexplode("_bands").alias("at", "band"))
-    shared = stored(keys.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "hub"))
-    members = stored(keys.join(shared, "band"))
+    members = stored(_members(keys))
     labels = stored(members.select("node").distinct().select("node", F.col("node").alias("group")))
     sizes = sketched.select(F.col("_rid").alias("node"), F.col("_short").alias("short"), F.octet_length("text").cast("long").alias("size"))
     shorts = stored(join_small(sizes, labels.select("node"), "node"))

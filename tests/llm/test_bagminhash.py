@@ -174,3 +174,17 @@ def test_no_rows_are_paired_up_across_groups(spark, rows, monkeypatch):
     monkeypatch.setattr(bagminhash, "stored", lambda d: (t := kept(d), sizes.append(t.count()))[0])
     got(df)
     assert max(sizes) <= len(docs) * bagminhash.BANDS
+
+
+def test_keys_are_dealt_by_band_once(spark):
+    keys = spark.createDataFrame([(i, i % 2, i // 3 if i < 9 else i) for i in range(20)], "node long, at int, band long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        members = bagminhash._members(keys).select("band", "node", "at", "hub")
+        found = sorted(map(tuple, members.collect()))
+        plan = members._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found == [(i // 3, i, i % 2, i // 3 * 3) for i in range(9)]
+    made = [x for x in plan.splitlines() if "hashpartitioning(band" in x and "ReusedExchange" not in x]
+    assert len(made) == 1 and "ReusedExchange" in plan
