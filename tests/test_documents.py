@@ -54,6 +54,28 @@ def test_document_chunks_equal_chunks_of_the_joined_text(labelled, monkeypatch,
     assert got == want
 
 
+@pytest.mark.parametrize("home_pieces", [0, 40, 1_000_000])
+@pytest.mark.parametrize("hot_rows", [10, 1_000_000])
+@pytest.mark.parametrize("n_words", [1, 7, 100_000])
+def test_chunks_of_shared_texts_equal_chunks_of_the_joined_text(labelled, rows, monkeypatch, n_words, hot_rows, home_pieces):
+    plain = skew.running_total
+    monkeypatch.setattr(rollup, "running_total", lambda *a: plain(*a, buckets=8, hot_rows=hot_rows))
+    # text 1 is shared by half of the rows, 3 is blank, 4 null, 5 missing
+    made = {i: f"  w{i}\u2003é{i}\n\tß{i} " + " ".join(f"x{i}_{j}" for j in range(i)) for i in range(12)} | {3: " \t ", 4: None}
+    del made[5]
+    text_id = F.when(F.col("row_id") % 2 == 1, 1).when(F.col("row_id") % 20 == 0, None).otherwise(F.col("row_id") % 12)
+    named = labelled.drop("text").withColumn("text_id", text_id.cast("bigint"))
+    texts = rows("text_id bigint, text string", *made.items())
+    joined = _joined_texts(named.join(texts, "text_id", "left").withColumn("text", F.coalesce("text", F.lit(""))))
+    want = {}
+    for key, text in joined.items():
+        words = text.split()
+        for i in range(0, len(words), n_words):
+            want[(*key, i // n_words)] = " ".join(words[i : i + n_words])
+    got = rollup.document_chunks_of(named, texts, n_words, home_pieces).collect()
+    assert {(r.year, r.month, r.category, r.chunk_no): r.text for r in got} == want and len(got) == len(want)
+
+
 def test_statistics_mode_tie_goes_to_the_smallest(labelled):
     got = {(r.month, r.category): r for r in rollup.document_statistics(labelled).collect()}
     assert {r.dominant_sentiment for r in got.values()} <= {"NEGATIVE", "POSITIVE"}

@@ -1,10 +1,12 @@
 """What the physical plans must and must not hold."""
 
+import re
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from reviewloom import catalog
 from reviewloom.functions.columns import add_review_time
 from reviewloom.operators import aspects, filters, labeling, quality, retrieval, rollup, sampling, summaries
 from reviewloom.sources.adapters import Tables
@@ -99,6 +101,17 @@ def test_texts_of_documents_move_once(spark, make, part_chars):
     assert text.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in text
 
 
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="test tables are not there")
+@pytest.mark.parametrize("name", ["E02_document_chunks", "CH5_document_chain"])
+def test_chunks_are_laid_out_without_texts(spark, no_broadcast, name):
+    """By document only numbers are exchanged; of a chunk's texts the largest piece stays where it is."""
+    catalog.load_all()
+    text = plan(catalog.QUERIES[name](spark, "/root/testdata/sf0.001"))
+    laid = re.findall(r"Exchange hashpartitioning\(year[^\n]*\n(?:[^\n]* Filter [^\n]*\n)?[^\n]*Scan ExistingRDD\[([^\]]*)\]", text)
+    assert laid and all("text#" not in columns for columns in laid)
+    assert len(laid) == text.count("Exchange hashpartitioning(year")
+
+
 def test_key_sentences_move_no_rows(stored):
     text = plan(summaries.key_sentences(stored, ["row_id"], "text", 1))
     assert not any(word in text for word in ("Exchange", "Sort", "Window", "Generate"))
