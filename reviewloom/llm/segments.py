@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewloom.llm.blocks import FIELDS, pack, unpack
 from reviewloom.llm.registry import query, table
 from reviewloom.session import settle
 
@@ -22,14 +23,9 @@ QUERIES_IN_BLOCK = 1024
 # pairs of a block whose bounds are looked up one by one instead of all together
 SPARSE = 1 / 16
 
-BLOCK = "part int, ids binary, rids binary, width int, ints binary"
 HITS = "q_rid long, query_id long, v_rid long, vec_id long, score long"
 
 
-def _matrix(ints: bytes, n: int, width: int) -> np.ndarray:
-    return np.frombuffer(ints, np.int64).reshape(n, width)
-
-
 def statistics(x: np.ndarray, segments: int) -> np.ndarray:
     """For each segment its mean and its deviation, both scaled by the root of its length."""
     cuts = np.linspace(0, x.shape[1], min(segments, max(1, x.shape[1])) + 1).astype(int)
@@ -86,8 +82,16 @@ def best_of_block(q: np.ndarray, q_rids: np.ndarray, v: np.ndarray, v_rids: np.n
             rows, cols = np.nonzero(alive)
             gone = np.einsum("ij,ij->i", sq[rows], sv[cols]) + slack[rows, cols] < least[rows]
             alive[rows[gone], cols[gone]] = False
-    rows, cols = np.nonzero(alive)
-    scores = _exact(q, v)[rows, cols] if alive.mean() > SPARSE else _exact(q, v, (rows, cols))
+    if alive.mean() > SPARSE:
+        every = _exact(q, v)
+        # of the many that are left only those that may be among the k best are sorted
+        every[~alive] = np.iinfo(np.int64).min
+        alive &= every >= np.partition(every, -take, axis=1)[:, -take, None]
+        rows, cols = np.nonzero(alive)
+        scores = every[rows, cols]
+    else:
+        rows, cols = np.nonzero(alive)
+        scores = _exact(q, v, (rows, cols))
     order = np.lexsort((v_rids[cols], v_ids[cols], ~scores, rows))
     rows, cols, scores = rows[order], cols[order], scores[order]
     first = np.searchsorted(rows, rows)
@@ -95,36 +99,13 @@ def best_of_block(q: np.ndarray, q_rids: np.ndarray, v: np.ndarray, v_rids: np.n
     return rows[keep], cols[keep], scores[keep]
 
 
-def _packed(rows: DataFrame, parts: int, size: int) -> DataFrame:
-    """Rows (id, rid, ints) dealt evenly over ``parts`` numbered parts and packed into blocks of at most ``size`` rows."""
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, size):
-                part = batch.slice(lo, size).to_pydict()
-                width = max(map(len, part["ints"]))
-                ints = np.zeros((len(part["ints"]), width), np.int64)
-                for i, x in enumerate(part["ints"]):
-                    ints[i, : len(x)] = x
-                ids, rids = (np.array(part[c], np.int64).tobytes() for c in ("id", "rid"))
-                yield pa.RecordBatch.from_pydict(
-                    {"part": pa.array([part["part"][0]], pa.int32()), "ids": [ids], "rids": [rids], "width": pa.array([width], pa.int32()), "ints": [ints.tobytes()]}
-                )
-
-    dealt = rows.repartition(parts).select(F.spark_partition_id().alias("part"), "id", "rid", "ints")
-    return dealt.mapInArrow(pack, BLOCK)
-
-
 def _search(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for pair in batch.to_pylist():
-                q_ids, q_rids, v_ids, v_rids = (np.frombuffer(pair[c], np.int64) for c in ("q_ids", "q_rids", "ids", "rids"))
                 width = max(pair["q_width"], pair["width"])
-                q = np.zeros((len(q_ids), width), np.int64)
-                v = np.zeros((len(v_ids), width), np.int64)
-                q[:, : pair["q_width"]] = _matrix(pair["q_ints"], len(q), pair["q_width"])
-                v[:, : pair["width"]] = _matrix(pair["ints"], len(v), pair["width"])
+                q_ids, q_rids, _, q = unpack(pair, "q_", width)
+                v_ids, v_rids, _, v = unpack(pair, "", width)
                 rows, cols, scores = best_of_block(q, q_rids, v, v_rids, v_ids, k)
                 yield pa.RecordBatch.from_pydict(
                     {"q_rid": q_rids[rows], "query_id": q_ids[rows], "v_rid": v_rids[cols], "vec_id": v_ids[cols], "score": scores}
@@ -142,25 +123,26 @@ def top_k(vectors: DataFrame, k: int = TOP, every: int = EVERY) -> DataFrame:
     counts as padded with zeros. Components and scores outside 64 bits stop at its ends. Ties go to the smaller id.
     Other columns are not read; empty tables give no rows.
 
-    Queries and vectors are packed into bounded blocks; each block of queries meets each block of vectors once. A
-    pair of blocks keeps k rows for each query, so what is shuffled is small, and groups of equal vectors are spread
-    like any others.
+    Queries and vectors are packed into bounded blocks, integers in the narrowest type; each block of queries meets each
+    block of vectors once, without a broadcast. A pair of blocks keeps k rows for each query, so what is shuffled is
+    small, and groups of equal vectors are spread like any others.
     """
     whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * SCALE).cast("long"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
     rows = vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite)
-    rows = settle(rows.select(F.col("vec_id").cast("long").alias("id"), F.monotonically_increasing_id().alias("rid"), whole.alias("ints")))
+    narrow = [F.col("vec_id").cast("long").alias("id"), F.monotonically_increasing_id().alias("rid"), F.lit(0).cast("long").alias("label")]
+    rows = settle(rows.select(*narrow, whole.alias("vector")))
     queries = rows.filter(F.col("id") % every == 0)
     sizes = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("id") % every == 0).alias("q")).first()
     cores = rows.sparkSession.sparkContext.defaultParallelism
     n_parts = max(1, -(-sizes["n"] // VECTORS_IN_BLOCK), min(2 * cores, -(-sizes["n"] // 512)))
     q_parts = max(1, -(-sizes["q"] // QUERIES_IN_BLOCK))
-    blocks = _packed(rows, n_parts, VECTORS_IN_BLOCK)
-    asked = _packed(queries, q_parts, QUERIES_IN_BLOCK).select(
-        F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))).alias("part"),
-        *[F.col(c).alias(f"q_{c}") for c in ("ids", "rids", "width", "ints")],
+    blocks = pack(rows, n_parts, VECTORS_IN_BLOCK)
+    asked = pack(queries, q_parts, QUERIES_IN_BLOCK).select(
+        F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))).alias("part"), *[F.col(c).alias(f"q_{c}") for c in FIELDS if c != "part"]
     )
-    pairs = blocks.join(asked, "part").repartition(max(1, min(n_parts * q_parts, 20_000)))
+    # a copy of the queries for every block of vectors: Spark can't tell their size, and broadcasting would bring all of them to the driver
+    pairs = blocks.join(asked.hint("merge"), "part").repartition(max(1, min(n_parts * q_parts, 20_000)))
     hits = pairs.mapInArrow(_search(k), HITS)
     place = Window.partitionBy("q_rid").orderBy(F.desc("score"), "vec_id", "v_rid")
     ranked = hits.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k)

@@ -69,3 +69,20 @@ def test_few_rows_and_none(rows):
     assert run(rows, [(50, [1.0])]) == []
     assert run(rows, [(1, [1.0]), (2, [1.0])]) == []
     assert run(rows, [(50, [1.0]), (2, [1.0]), (1, [1.0])]) == [(50, 1, 1, 65536), (50, 2, 2, 65536)]
+
+
+def test_blocks_of_queries_are_not_broadcast(rows):
+    """Copied for every block of vectors they grow with both tables, and a broadcast goes through the driver."""
+    df = rows(DDL, *[(i, [float(i % 7), 1.0], "x", "y", 1) for i in range(200)])
+    found = top_k(df)
+    assert len(found.collect()) == 20
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_candidates_are_sorted(monkeypatch):
+    sorted_rows = []
+    plain = np.lexsort
+    monkeypatch.setattr(segments.np, "lexsort", lambda keys: sorted_rows.append(len(keys[0])) or plain(keys))
+    v = np.random.default_rng(4).integers(-99, 99, (400, 64))
+    best_of_block(v[:10], np.arange(10), v, np.arange(400), np.arange(400), 5)
+    assert sorted_rows[0] < 10 * 20
