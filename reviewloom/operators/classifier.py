@@ -1,7 +1,8 @@
 """Sentiment classifier over text and four numeric features.
 
 Training and scoring work on texts, not on rows: rows of a batch that share title and text are counted, hashed and weighed
-once, and only their numbers are handled row by row. The sums are those over all rows.
+once, and only their numbers are handled row by row. In training a text is hashed and weighed once for all of its titles, as no
+word reaches from a title into its text. The sums are those over all rows.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import RDD, StorageLevel
 from pyspark.ml.feature import HashingTF
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,6 +51,20 @@ def iterations(model: TextModel) -> int:
     return model.steps
 
 
+def _lists(batch: pa.RecordBatch, carried: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.StructArray]:
+    """Groups of rows that share title and text, those of a text in sequence: a row of each, its number of text, how many rows it has, all their other columns."""
+    titles, texts = (pc.dictionary_encode(batch[c], null_encoding="encode") for c in TEXT)
+    text = texts.indices.to_numpy().astype(np.int64)
+    _, first, group = np.unique(text * (len(titles.dictionary) + 1) + titles.indices.to_numpy(), return_index=True, return_inverse=True)
+    order = pa.array(np.argsort(group, kind="stable"))
+    held = pa.StructArray.from_arrays([batch[c].take(order) for c in carried], carried)
+    return first, text[first], np.bincount(group, minlength=len(first)), held
+
+
+def _ends(sizes: np.ndarray) -> pa.Array:
+    return pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+
+
 def by_text(rows: DataFrame) -> DataFrame:
     """One row per title and text of a batch, the other columns of its rows as a list ``rows``; nothing is shuffled."""
     carried = [c for c in rows.columns if c not in TEXT]
@@ -58,29 +73,48 @@ def by_text(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            titles, texts = (pc.dictionary_encode(batch[c], null_encoding="encode") for c in TEXT)
-            key = titles.indices.to_numpy().astype(np.int64) * (len(texts.dictionary) + 1) + texts.indices.to_numpy()
-            _, first, group = np.unique(key, return_index=True, return_inverse=True)
-            order = pa.array(np.argsort(group, kind="stable"))
-            ends = np.concatenate([[0], np.cumsum(np.bincount(group, minlength=len(first)))]).astype(np.int32)
-            held = pa.StructArray.from_arrays([batch[c].take(order) for c in carried], carried)
-            lists = pa.ListArray.from_arrays(pa.array(ends), held)
+            first, _, sizes, held = _lists(batch, carried)
+            lists = pa.ListArray.from_arrays(_ends(sizes), held)
             yield pa.RecordBatch.from_arrays([*[batch[c].take(pa.array(first)) for c in TEXT], lists], schema.names)
 
     return rows.select(*TEXT, *carried).mapInArrow(run, schema)
 
 
+def by_piece(rows: DataFrame) -> DataFrame:
+    """Each text of a batch as a row of its own (``whole``) without ``rows``, followed by a row per title with the list of rows that have both."""
+    carried = [c for c in rows.columns if c not in TEXT]
+    inner = T.StructType([rows.schema[c] for c in carried])
+    schema = T.StructType([T.StructField("said", T.StringType()), T.StructField("whole", T.BooleanType()), T.StructField("rows", T.ArrayType(inner))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, text, sizes, held = _lists(batch, carried)
+            new = np.flatnonzero(np.diff(text, prepend=-1))
+            # the place of a text is before its first title
+            order = np.argsort(np.concatenate([2 * new, 2 * np.arange(len(first)) + 1]), kind="stable")
+            said = pa.concat_arrays([batch["text"].take(pa.array(first[new])), batch["title"].take(pa.array(first))]).take(pa.array(order))
+            sizes = np.concatenate([np.zeros(len(new), np.int64), sizes])[order]
+            yield pa.RecordBatch.from_arrays([said, pa.array(order < len(new)), pa.ListArray.from_arrays(_ends(sizes), held)], schema.names)
+
+    return rows.select(*TEXT, *carried).mapInArrow(run, schema)
+
+
+def _hashed(rows: DataFrame, said: Column, n_features: int) -> DataFrame:
+    spoken = rows.withColumn("_tokens", tokens(F.lower(said)))
+    counted = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=n_features).transform(spoken).withColumn("_tf", F.unwrap_udt("_tf"))
+    return counted.select(*rows.columns, F.col("_tf.indices").alias("terms"), F.col("_tf.values").alias("counts"))
+
+
 def with_terms(texts: DataFrame, n_features: int) -> DataFrame:
     """Add the hashed terms of title and text and how often each occurs."""
-    spoken = model_input(texts, "_combined").withColumn("_tokens", tokens(F.lower("_combined")))
-    counted = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=n_features).transform(spoken).withColumn("_tf", F.unwrap_udt("_tf"))
-    return counted.select(*texts.columns, F.col("_tf.indices").alias("terms"), F.col("_tf.values").alias("counts"))
+    return _hashed(model_input(texts, "_combined"), F.col("_combined"), n_features).drop("_combined")
 
 
 def _held(n_features: int) -> dict[str, type]:
-    """What a block of texts holds, as bytes: rows and terms per text, terms and their counts, numbers, labels and parts of rows."""
+    """What a block holds, as bytes: rows and terms per piece (a text or title), terms and their counts, numbers, labels and parts of rows,
+    which pieces are texts."""
     term = np.uint16 if n_features <= 1 << 16 else np.int32
-    return {"n_rows": np.int32, "n_terms": np.int32, "terms": term, "counts": np.uint32, "numbers": np.float64, "labels": np.int32, "parts": np.bool_}
+    return {"n_rows": np.int32, "n_terms": np.int32, "terms": term, "counts": np.uint32, "numbers": np.float64, "labels": np.int32, "parts": np.bool_, "whole": np.bool_}
 
 
 def _blocks(features: DataFrame, label: str, n_features: int, train_share: float, seed: int) -> RDD:
@@ -91,9 +125,17 @@ def _blocks(features: DataFrame, label: str, n_features: int, train_share: float
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text = None
         for batch in batches:
             for lo in range(0, batch.num_rows, TEXTS_IN_BLOCK):
                 piece = batch.slice(lo, TEXTS_IN_BLOCK)
+                if not piece["whole"][0].as_py():
+                    # titles of a text that the block before has
+                    piece = pa.concat_batches([text, piece])
+                at = int(np.flatnonzero(piece["whole"].to_numpy(zero_copy_only=False))[-1])
+                text = piece.slice(at, 1)
+                if not len(piece["rows"].flatten()):
+                    continue
                 *numbers, labels, parts = piece["rows"].flatten().flatten()
                 table = np.stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in numbers], 1)
                 if np.isnan(table).any():
@@ -101,42 +143,62 @@ def _blocks(features: DataFrame, label: str, n_features: int, train_share: float
                 values = [
                     pc.list_value_length(piece["rows"]).to_numpy(), pc.list_value_length(piece["terms"]).to_numpy(), piece["terms"].flatten().to_numpy(),
                     piece["counts"].flatten().to_numpy(), table, labels.to_numpy(), parts.to_numpy(zero_copy_only=False),
+                    piece["whole"].to_numpy(zero_copy_only=False),
                 ]
                 held = {name: [np.ascontiguousarray(v, dtype).tobytes()] for v, (name, dtype) in zip(values, kinds.items())}
                 yield pa.RecordBatch.from_pydict(held)
 
-    told = with_terms(by_text(rows), n_features).select("rows", "terms", "counts")
+    told = _hashed(by_piece(rows), F.coalesce("said", F.lit("")), n_features).select("whole", "rows", "terms", "counts")
     blocks = settle(told.mapInArrow(run, ", ".join(f"{name} binary" for name in kinds))).rdd
     return blocks.coalesce(2 * blocks.context.defaultParallelism).map(tuple).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 class _Block:
-    """A block of texts in numbers. ``part``: the rows of which part count, or None for all."""
+    """A block of texts and their titles in numbers. ``part``: the rows of which part count, or None for all."""
 
     def __init__(self, held: tuple, n_features: int, part: bool | None):
         kinds = _held(n_features).values()
-        self.n_rows, self.n_terms, terms, counts, numbers, self.labels, parts = (np.frombuffer(b, t) for b, t in zip(held, kinds))
+        self.n_rows, self.n_terms, terms, counts, numbers, self.labels, parts, self.whole = (np.frombuffer(b, t) for b, t in zip(held, kinds))
         # widened here once; every class and penalty looks them up
         self.terms, self.counts = terms.astype(np.intp), counts.astype(np.float64)
         self.numbers = numbers.reshape(-1, len(NUMERIC))
         self.n_features = n_features
         self.counted = np.ones(len(parts), bool) if part is None else parts == part
-        self.first_row = np.cumsum(self.n_rows) - self.n_rows
+        self.piece = np.repeat(np.arange(len(self.n_rows)), self.n_rows)
+        self.texts = np.flatnonzero(self.whole)
+        self.text = np.cumsum(self.whole) - 1
         self.spoken = np.flatnonzero(self.n_terms)
         self.first_term = (np.cumsum(self.n_terms) - self.n_terms)[self.spoken]
 
     def margins(self, weights: np.ndarray, intercepts: np.ndarray) -> np.ndarray:
-        """(class, row): a text's share is found once for all of its rows."""
+        """(class, row): the shares of a text and of a title are found once for all of their rows."""
         told = np.zeros((len(weights), len(self.n_rows)))
         for k, w in enumerate(weights):
             if len(self.spoken):
                 told[k, self.spoken] = np.add.reduceat(w[: self.n_features][self.terms] * self.counts, self.first_term)
-        return np.repeat(told, self.n_rows, axis=1) + weights[:, self.n_features :] @ self.numbers.T + intercepts[:, None]
+        told += told[:, self.texts[self.text]]
+        return told[:, self.piece] + weights[:, self.n_features :] @ self.numbers.T + intercepts[:, None]
+
+    def by_piece(self, per_row: np.ndarray) -> np.ndarray:
+        """Sum of a number for each row over the rows of a title, and of a text."""
+        per_piece = np.bincount(self.piece, per_row, len(self.n_rows))
+        per_piece[self.texts] = np.bincount(self.text, per_piece, len(self.texts))
+        return per_piece
 
     def sums(self, per_row: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Sum over rows of a number for each row times the row's counts of terms."""
-        per_text = np.add.reduceat(per_row, self.first_row)
-        return np.bincount(self.terms, np.repeat(per_text, self.n_terms) * counts, self.n_features)
+        return np.bincount(self.terms, np.repeat(self.by_piece(per_row), self.n_terms) * counts, self.n_features)
+
+    def squares(self, per_row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same with whether a row holds a term, and with its squared counts: terms that a title shares with its text are one term of the row."""
+        entry = np.repeat(np.arange(len(self.n_terms)), self.n_terms)
+        key, of_text = self.text[entry] * self.n_features + self.terms, self.whole[entry]
+        # terms of a piece are in order, so keys of texts are
+        keys, known = key[of_text], self.counts[of_text]
+        at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
+        shared = np.where(~of_text & (keys[at] == key), known[at], 0) if len(keys) else np.zeros(len(key))
+        weight = self.by_piece(per_row)[entry]
+        return tuple(np.bincount(self.terms, weight * x, self.n_features) for x in (shared == 0, self.counts * (self.counts + 2 * shared)))
 
 
 def _total(blocks: RDD, per_block: Callable[[tuple], list[np.ndarray]]) -> list[np.ndarray]:
@@ -173,8 +235,8 @@ def _scale(blocks: RDD, n_features: int, part: bool | None) -> _Scale:
         b = _Block(held, n_features, part)
         rows = b.counted.astype(np.float64)
         moved = (b.numbers - pivot)[b.counted]
-        of_terms = [b.sums(rows, c) for c in (np.ones(len(b.counts)), b.counts, b.counts**2)]
-        return [np.bincount(b.labels[b.counted], minlength=n_classes), *of_terms, moved.sum(0), (moved**2).sum(0)]
+        holding, squared = b.squares(rows)
+        return [np.bincount(b.labels[b.counted], minlength=n_classes), holding, b.sums(rows, b.counts), squared, moved.sum(0), (moved**2).sum(0)]
 
     classes, holding, once, squared, once_numbers, squared_numbers = _total(blocks, per_block)
     n = float(classes.sum())
@@ -243,7 +305,8 @@ def _trained(blocks: RDD, n_features: int, penalties: Sequence[float], max_iter:
             b, found = _Block(held, n_features, part), []
             row = np.arange(len(b.labels))
             for weights, intercepts in tried.values():
-                margin = b.margins(weights, intercepts)
+                # margins beside that of the last class, whose slope is what the others leave: all classes together have none
+                margin = np.concatenate([b.margins(weights[:-1] - weights[-1], intercepts[:-1] - intercepts[-1]), np.zeros((1, len(row)))])
                 margin -= margin.max(0)
                 share = np.exp(margin)
                 whole = share.sum(0)
@@ -251,7 +314,11 @@ def _trained(blocks: RDD, n_features: int, penalties: Sequence[float], max_iter:
                 share /= whole
                 share[b.labels, row] -= 1
                 share[:, ~b.counted] = 0
-                slopes = np.concatenate([np.stack([b.sums(m, b.counts) for m in share]), share @ b.numbers], 1)
+                slopes = np.zeros((k, n_features))
+                for j, m in enumerate(share[:-1]):
+                    slopes[j] = b.sums(m, b.counts)
+                slopes[-1] = -slopes[:-1].sum(0)
+                slopes = np.concatenate([slopes, share @ b.numbers], 1)
                 found += [np.array(loss), slopes, share.sum(1)]
             return found
 

@@ -2,6 +2,7 @@
 
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,6 +108,34 @@ def test_equal_texts_of_a_batch_are_read_once(spark):
     assert sorted(map(str, back.select(*rows.columns).collect())) == sorted(map(str, rows.collect()))
 
 
+@pytest.mark.parametrize("at_once", [1, 3, 4096])
+def test_a_text_is_hashed_once_for_all_of_its_titles(spark, monkeypatch, at_once):
+    """Titles share words with their texts; blocks may end between a text and its titles."""
+    monkeypatch.setattr(classifier, "TEXTS_IN_BLOCK", at_once)
+    words = ["great love, great fast", "awful broken late", "okay", None, ""]
+    data = [(words[i % 5], ["great", "late late", None, ""][i // 5 % 4], float(i % 11), i % 2, i % 4, i % 2, i // 2 % 3) for i in range(200)]
+    rows = spark.createDataFrame(data, "text string, title string, price double, price_missing int, helpful_vote int, verified_purchase int, label int").coalesce(1)
+    pieces = classifier.by_piece(rows)
+    assert pieces.filter("whole").count() == 5 and pieces.filter("not whole").count() == 20
+    assert pieces.select(F.sum(F.size("rows"))).first()[0] == 200
+
+    scale = classifier._scale(classifier._blocks(rows, "label", 64, 1.0, 0), 64, None)
+    counted = classifier.with_terms(rows.select("text", "title", *classifier.NUMERIC), 64).collect()
+    table = np.zeros((200, 64 + len(classifier.NUMERIC)))
+    for i, r in enumerate(counted):
+        table[i, r.terms] = r.counts
+        table[i, 64:] = [r[c] for c in classifier.NUMERIC]
+    spread = table.std(0, ddof=1)
+    says = (spread > 0) & ~np.append((table[:, :64] > 0).all(0), [False] * len(classifier.NUMERIC))
+    assert np.allclose(scale.mean, table.mean(0)) and scale.n == 200
+    assert np.allclose(scale.inverse, np.where(says, 1 / np.where(says, spread, 1), 0))
+
+    model = classifier._trained(classifier._blocks(rows, "label", 64, 1.0, 0), 64, [0.1], 30, None)[0]
+    monkeypatch.setattr(classifier, "TEXTS_IN_BLOCK", 4096)
+    same = classifier._trained(classifier._blocks(rows, "label", 64, 1.0, 0), 64, [0.1], 30, None)[0]
+    assert np.allclose(model.weights, same.weights) and np.allclose(model.intercepts, same.intercepts)
+
+
 def test_training_on_texts_equals_training_on_rows(spark):
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
