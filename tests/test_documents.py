@@ -40,6 +40,21 @@ def test_document_parts_make_the_whole_text(labelled, part_chars):
     assert rollup.monthly_documents(labelled, part_chars).filter("n_reviews is not null").count() == len(parts)
 
 
+@pytest.mark.parametrize("twice", [False, True])
+@pytest.mark.parametrize("at_once", [10, 16_000_000])
+@pytest.mark.parametrize("part_chars", [50, 8_000_000])
+def test_parts_of_named_texts_equal_those_of_rows(labelled, rows, monkeypatch, part_chars, at_once, twice):
+    """Texts shared by reviews, null, empty, missing, not plain, and ids that repeat."""
+    monkeypatch.setattr(rollup, "BYTES_AT_ONCE", at_once)
+    data = [(i, None if i == 3 else "" if i == 4 else f"größe {i} " * (i % 7)) for i in range(20)] + [(None, "never said")]
+    texts = rows("text_id bigint, text string", *data, *([(5, data[5][1])] if twice else []))
+    named = labelled.withColumn("text_id", F.when(F.col("row_id") % 5 > 0, F.col("row_id") % 23)).drop("text")
+    told = named.join(texts, "text_id", "left")
+    for make in (rollup.document_parts, rollup.monthly_documents):
+        want = sorted(map(str, make(told, part_chars).collect()))
+        assert sorted(map(str, make(named, part_chars, texts=texts).collect())) == want and want
+
+
 @pytest.mark.parametrize("hot_rows", [10, 1_000_000])
 @pytest.mark.parametrize("n_words", [1, 7, 100_000])
 def test_document_chunks_equal_chunks_of_the_joined_text(labelled, monkeypatch, n_words, hot_rows):

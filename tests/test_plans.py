@@ -112,6 +112,17 @@ def test_chunks_are_laid_out_without_texts(spark, no_broadcast, name):
     assert len(laid) == text.count("Exchange hashpartitioning(year")
 
 
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="test tables are not there")
+@pytest.mark.parametrize("name", ["E02_document_parts", "E02_monthly_documents"])
+def test_texts_of_parts_move_pressed(spark, no_broadcast, name):
+    catalog.load_all()
+    text = plan(catalog.QUERIES[name](spark, "/root/testdata/sf0.001"))
+    moved = re.findall(r"Exchange hashpartitioning[^\n]*\n[^\n]*", text)
+    assert not any(re.search(r"\btext#", m) for m in moved)
+    # by text and by document
+    assert sum("_pressed#" in m for m in moved) == 2
+
+
 def test_key_sentences_move_no_rows(stored):
     text = plan(summaries.key_sentences(stored, ["row_id"], "text", 1))
     assert not any(word in text for word in ("Exchange", "Sort", "Window", "Generate"))
