@@ -15,6 +15,17 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def nothing_left():
+    """What the tests of a module kept in memory is no concern of the next module's."""
+    yield
+    from pyspark import SparkContext
+
+    context = SparkContext._active_spark_context
+    for kept in list(context._jsc.getPersistentRDDs().values()) if context else []:
+        kept.unpersist()
+
+
 @pytest.fixture
 def rows(spark):
     """rows(ddl, tuple, ...) -> DataFrame"""

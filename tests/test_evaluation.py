@@ -119,7 +119,9 @@ def test_a_text_is_hashed_once_for_all_of_its_titles(spark, monkeypatch, at_once
     assert pieces.filter("whole").count() == 5 and pieces.filter("not whole").count() == 20
     assert pieces.select(F.sum(F.size("rows"))).first()[0] == 200
 
-    scale = classifier._scale(classifier._blocks(rows, "label", 64, 1.0, 0), 64, None)
+    blocks = classifier._blocks(rows, "label", 64, 1.0, 0)
+    scale, model = classifier._scale(blocks, 64, None), classifier._trained(blocks, 64, [0.1], 30, None)[0]
+    blocks.unpersist()
     counted = classifier.with_terms(rows.select("text", "title", *classifier.NUMERIC), 64).collect()
     table = np.zeros((200, 64 + len(classifier.NUMERIC)))
     for i, r in enumerate(counted):
@@ -130,9 +132,10 @@ def test_a_text_is_hashed_once_for_all_of_its_titles(spark, monkeypatch, at_once
     assert np.allclose(scale.mean, table.mean(0)) and scale.n == 200
     assert np.allclose(scale.inverse, np.where(says, 1 / np.where(says, spread, 1), 0))
 
-    model = classifier._trained(classifier._blocks(rows, "label", 64, 1.0, 0), 64, [0.1], 30, None)[0]
     monkeypatch.setattr(classifier, "TEXTS_IN_BLOCK", 4096)
-    same = classifier._trained(classifier._blocks(rows, "label", 64, 1.0, 0), 64, [0.1], 30, None)[0]
+    blocks = classifier._blocks(rows, "label", 64, 1.0, 0)
+    same = classifier._trained(blocks, 64, [0.1], 30, None)[0]
+    blocks.unpersist()
     assert np.allclose(model.weights, same.weights) and np.allclose(model.intercepts, same.intercepts)
 
 
